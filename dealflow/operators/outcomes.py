@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealflow.functions.numeric import pct, truthy
+from dealflow.functions.numeric import pct, truthy, rnd
 from dealflow.functions.timefns import (SESSION_OPEN_MINUTE, next_session_date,
                                         plus_minutes, session_open_ts)
 
@@ -106,7 +106,7 @@ def benchmark_context(bars: DataFrame, benchmark: str = BENCHMARK_TICKER,
         F.min_by(F.when(late, F.col("close")), F.when(late, F.col("ts"))).alias("_b4"))
     return agg.where(F.col("_bo").isNotNull()).select(
         "session_date",
-        F.round("_bo", 2).alias("spy_open_price"),
+        rnd("_bo", 2).alias("spy_open_price"),
         pct(F.col("_b4"), F.col("_bo")).alias("spy_4h_pct"))
 
 
@@ -139,7 +139,7 @@ def track_outcomes(alerts: DataFrame, bars: DataFrame, daily: DataFrame | None =
     po = F.col("price_open")
     tracked = po.isNotNull()
     o = o.withColumn("tracker_status", F.when(tracked, F.lit("tracked")).otherwise(F.lit("no_data")))
-    o = o.withColumn("price_at_open", F.round(po, 4))
+    o = o.withColumn("price_at_open", rnd(po, 4))
     vol_base = F.when(truthy(F.col("day_avg_volume")), F.col("day_avg_volume")).otherwise(F.lit(1.0))
     for label, m in horizons:
         s = _sfx(label)
@@ -148,7 +148,7 @@ def track_outcomes(alerts: DataFrame, bars: DataFrame, daily: DataFrame | None =
               .withColumn(f"high_pct_{s}", F.when(ok, pct(F.col(f"high_{s}"), po)))
               .withColumn(f"low_pct_{s}", F.when(ok, pct(F.col(f"low_{s}"), po)))
               .withColumn(f"volume_ratio_{s}",
-                          F.when(ok, F.round(F.col(f"vol_{s}") / (vol_base * F.lit(float(m))), 2))))
+                          F.when(ok, rnd(F.col(f"vol_{s}") / (vol_base * F.lit(float(m))), 2))))
     rok = tracked & (F.col("n_range") > 0) & (po > 0)
     o = (o.withColumn("range_high_pct", F.when(rok, pct(F.col("range_high"), po)))
           .withColumn("range_low_pct", F.when(rok, pct(F.col("range_low"), po)))
@@ -201,7 +201,7 @@ def track_outcomes(alerts: DataFrame, bars: DataFrame, daily: DataFrame | None =
         has_spy = tracked & F.col("spy_open_price").isNotNull()
         o = (o.withColumn("spy_open_price", F.when(has_spy, F.col("spy_open_price")))
               .withColumn("spy_4h_pct", F.when(has_spy, F.col("spy_4h_pct")))
-              .withColumn("alpha_4h", F.when(has_spy, F.round(F.col("close_4h_pct") - F.col("spy_4h_pct"), 2))))
+              .withColumn("alpha_4h", F.when(has_spy, rnd(F.col("close_4h_pct") - F.col("spy_4h_pct"), 2))))
 
     # Gap from the previous close and from the filing price.
     if daily is not None:
@@ -212,6 +212,6 @@ def track_outcomes(alerts: DataFrame, bars: DataFrame, daily: DataFrame | None =
         o = (o.withColumn("premarket_available", F.when(tracked, avail))
               .withColumn("gap_from_prev_close_pct", F.when(avail, pct(F.col("day_open"), F.col("prev_close"))))
               .withColumn("gap_from_filing_pct", F.when(avail & truthy(pf), pct(F.col("day_open"), pf)))
-              .withColumn("prev_close", F.when(avail, F.round("prev_close", 4)))
-              .withColumn("open_price", F.when(avail, F.round("day_open", 4))))
+              .withColumn("prev_close", F.when(avail, rnd("prev_close", 4)))
+              .withColumn("open_price", F.when(avail, rnd("day_open", 4))))
     return o

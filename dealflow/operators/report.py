@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dealflow.functions.numeric import rnd
+
 # Fixed values (reference): minimum sample, score buckets, reported contexts.
 MIN_SAMPLE = 2
 SCORE_BUCKETS = (("9-10 MEGA/MAJOR", 9, 10), ("7-8 MAJOR", 7, 8), ("5-6 STANDARD", 5, 6))
@@ -38,9 +40,9 @@ def report_totals(outcomes: DataFrame, min_sample: int = MIN_SAMPLE) -> DataFram
         n, p = _rate(flag, total)
         cols += [n.alias(f"n_{name}"), p.alias(f"pct_{name}")]
     ftm = F.col("first_touch_minutes")
-    cols += [F.round(F.avg("range_high_pct"), 2).alias("avg_range_high"),
-             F.round(F.avg("range_low_pct"), 2).alias("avg_range_low"),
-             F.round(F.avg("alpha_4h"), 2).alias("avg_alpha"),
+    cols += [rnd(F.avg("range_high_pct"), 2).alias("avg_range_high"),
+             rnd(F.avg("range_low_pct"), 2).alias("avg_range_low"),
+             rnd(F.avg("alpha_4h"), 2).alias("avg_alpha"),
              F.bround(F.avg(F.when(ftm != 0, ftm)), 0).cast("int").alias("avg_touch_minutes")]
     return t.agg(*cols).where(F.col("total") >= F.lit(min_sample))
 

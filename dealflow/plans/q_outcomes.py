@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealflow.functions.numeric import rnd
+
 from dealflow.operators import outcomes as oc
 from dealflow.operators.bars import daily_bars
 from dealflow.operators import report as rp
@@ -64,14 +66,14 @@ def ohlc_snapshots(spark, sf_dir):
     st = oc.session_aggregates(fx.bars_fx(spark, sf_dir)).where(F.col("price_open").isNotNull())
     po = F.col("price_open")
     vb = F.when((F.col("day_avg_volume") != 0), F.col("day_avg_volume")).otherwise(F.lit(1.0))
-    cols = [F.col("ticker"), _sd(), F.round(po, 4).alias("price_at_open")]
+    cols = [F.col("ticker"), _sd(), rnd(po, 4).alias("price_at_open")]
     for (label, m) in oc.HORIZONS:
         s = oc._sfx(label)
         ok = (F.col(f"n_{s}") > 0) & (po != 0)
         cols += [F.when(ok, oc.pct(F.col(f"close_{s}"), po)).alias(f"close_pct_{s}"),
                  F.when(ok, oc.pct(F.col(f"high_{s}"), po)).alias(f"high_pct_{s}"),
                  F.when(ok, oc.pct(F.col(f"low_{s}"), po)).alias(f"low_pct_{s}"),
-                 F.when(ok, F.round(F.col(f"vol_{s}") / (vb * F.lit(float(m))), 2)).alias(f"volume_ratio_{s}")]
+                 F.when(ok, rnd(F.col(f"vol_{s}") / (vb * F.lit(float(m))), 2)).alias(f"volume_ratio_{s}")]
     return st.select(*cols)
 
 
@@ -97,7 +99,7 @@ def range_4h(spark, sf_dir):
     st = oc.session_aggregates(fx.bars_fx(spark, sf_dir)).where(F.col("price_open").isNotNull())
     po = F.col("price_open")
     ok = (F.col("n_range") > 0) & (po > 0)
-    return st.select("ticker", _sd(), F.round(po, 4).alias("price_at_open"),
+    return st.select("ticker", _sd(), rnd(po, 4).alias("price_at_open"),
                      F.when(ok, oc.pct(F.col("range_high"), po)).alias("range_high_pct"),
                      F.when(ok, oc.pct(F.col("range_low"), po)).alias("range_low_pct"),
                      F.when(ok, oc.pct(F.col("range_close"), po)).alias("close_4h_pct"),
