@@ -256,8 +256,10 @@ def truncate_sentence(text: Column, max_len: int = 1020) -> Column:
     return F.when(F.length(text) <= max_len, text).otherwise(cut)
 
 
-# Fixed value: money or decimal-percent guard.
-MONEY_OR_PERCENT = r"\$[\d,]+|\b\d+[.,]\d+\s*%"
+# Fixed value: money or decimal-percent guard, as written in the reference:
+#   \$[\d,]+|\b\d+[.,]\d+\s*%
+# spelled with an explicit Unicode word boundary so that Java and RE2 agree.
+MONEY_OR_PERCENT = r"\$[\d,]+|(?:^|[^\p{L}\p{N}_])\d+[.,]\d+[\s\x{00A0}]*%"
 
 
 def verdict_guard(text: Column) -> Column:

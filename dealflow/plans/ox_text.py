@@ -130,3 +130,8 @@ def ticker_v2_sql(doc: str, compat: bool = True) -> str:
         rx = "(?i)" + p if compat else T._case_sensitive_capture(p)
         outs.append(f"nullif(regexp_extract({doc}, {q(rx)}, 1), '')")
     return f"upper(coalesce({', '.join(outs)}))"
+
+
+def re2_guard() -> str:
+    """F11's pattern in RE2 spelling (``\\x{00A0}`` is the same in both)."""
+    return T.MONEY_OR_PERCENT
