@@ -5,8 +5,9 @@ array functions) evaluated per row inside whole-stage codegen, except HTML
 entity decoding, which uses the standard library's decoder in an
 Arrow-batched pandas UDF (the HTML5 entity table has over 2,000 names).
 
-Regex notes: Java's ``\\s`` is ASCII unless ``(?U)`` is set; Python's is
-Unicode.  Patterns that must see a no-break space carry ``(?U)``.
+Regex notes: Java's and RE2's ``\\s`` are ASCII while Python's is Unicode.
+Patterns that follow the reference's ``\\s`` spell Python's whitespace set
+as an explicit class (``WS``), which Java and RE2 read the same way.
 """
 
 from __future__ import annotations
@@ -18,17 +19,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Python's str.strip() set, as far as Java's Unicode White_Space reaches.
-_WS = r"(?U)^\s+|\s+$"
+# Python's whitespace: every character for which str.isspace() is true.  The
+# set follows from that rule; both Spark (Java regex, trim) and the DuckDB
+# oracle (RE2, trim) use it, so "\s" means the same thing in all three.
+WS_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
+def _cls(chars: str) -> str:
+    return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in chars) + "]"
+
+
+WS = _cls(WS_CHARS)                                  # Python \s
+WS_NO_NL = _cls(WS_CHARS.replace("\n", ""))
+NOT_WS = "[^" + WS[1:]
+
+
+def py_ws(pattern: str) -> str:
+    """Spell Python's Unicode ``\\s`` (outside character classes) explicitly."""
+    return pattern.replace(r"\s", WS)
 
 
 def pystrip(c: Column) -> Column:
-    """``str.strip()``: trim Unicode whitespace (no-break space included)."""
-    return F.regexp_replace(c, _WS, "")
+    """``str.strip()``: trim Python whitespace from both ends."""
+    return F.trim(c, F.lit(WS_CHARS))
 
 
 def pyrstrip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+$", "")
+    return F.rtrim(c, F.lit(WS_CHARS))
 
 
 def lines(c: Column, limit: int | None = None) -> Column:
@@ -48,11 +65,21 @@ def decode_entities(s: pd.Series) -> pd.Series:
 
 def strip_markup(raw: Column) -> Column:
     """Drop comments, doctype, script/style/noscript bodies; every other tag
-    becomes a line break so that each text node starts a new line."""
-    t = F.regexp_replace(raw, r"(?s)<!--.*?-->", "\n")
-    t = F.regexp_replace(t, r"(?is)<!DOCTYPE[^>]*>", "\n")
-    t = F.regexp_replace(t, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", "\n")
-    return F.regexp_replace(t, r"(?s)<[^>]*>", "\n")
+    becomes a line break so that each text node starts a new line.  The
+    costlier patterns only run on rows that contain their opening marker."""
+    low = F.lower(raw)
+    t = F.when(raw.contains("<!--"), F.regexp_replace(raw, r"(?s)<!--.*?-->", "\n")).otherwise(raw)
+    t = F.when(low.contains("<!doctype"), F.regexp_replace(t, r"(?is)<!DOCTYPE[^>]*>", "\n")).otherwise(t)
+    t = F.when(low.contains("<script") | low.contains("<style") | low.contains("<noscript"),
+               F.regexp_replace(t, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", "\n")).otherwise(t)
+    return F.when(t.contains("<"), F.regexp_replace(t, r"(?s)<[^>]*>", "\n")).otherwise(t)
+
+
+def strip_lines(t: Column) -> Column:
+    """Each line stripped, blank lines dropped, joined by newlines: one regex
+    that turns every whitespace run holding a newline into one newline, then
+    a trim of the ends."""
+    return pystrip(F.regexp_replace(t, WS_NO_NL + "*\n" + WS + "*", "\n"))
 
 
 def clean_html(raw: Column, decode: bool = True) -> Column:
@@ -60,8 +87,7 @@ def clean_html(raw: Column, decode: bool = True) -> Column:
     t = strip_markup(raw)
     if decode:
         t = decode_entities(t)
-    ls = F.filter(F.transform(F.split(t, "\n"), pystrip), lambda x: x != "")
-    return F.array_join(ls, "\n")
+    return strip_lines(t)
 
 
 def cleaning_ratio(raw: Column, clean: Column) -> Column:
@@ -91,7 +117,7 @@ def _ticker_line_v1(l: Column) -> Column:
     u = F.upper(l)
     parts = F.split(l, ":")
     has_parts = F.size(parts) > 1
-    tok = F.regexp_extract(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")), r"^\s*(\S+)", 1)
+    tok = F.regexp_extract(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")), "^" + WS + "*(" + NOT_WS + "+)", 1)
     clean = F.regexp_replace(tok, r"[,.()]", "")
     ok = (clean != "") & (F.length(clean) <= 5)
     r1 = u.contains("TRADING SYMBOL") | u.contains("TICKER SYMBOL")
@@ -113,11 +139,20 @@ def _ticker_line_v1(l: Column) -> Column:
             .when(r4 & ok4, F.upper(pot)))
 
 
+# Lines that can satisfy a rule contain one of these (any case).
+_V1_TRIGGER = r"(?imd)^.*(?:symbol|nasdaq:|nyse:|company).*$"
+
+
 def ticker_v1(doc: Column, head_lines: int = 200, compat: bool = True) -> Column:
     """T4: four line rules over the first ``head_lines`` lines, line order
     first.  A rule-1/2 line whose remainder is empty aborts the document
-    (null) in compat mode; corrected mode skips that line."""
-    found = F.filter(F.transform(lines(doc, head_lines), _ticker_line_v1),
+    (null) in compat mode; corrected mode skips that line.
+
+    Only lines holding a rule's trigger word can match, so one regex pass
+    over the head picks those lines (in order) and the rules run on them."""
+    head = F.substring_index(doc, "\n", head_lines)
+    cands = F.regexp_extract_all(head, F.lit(_V1_TRIGGER), 0)
+    found = F.filter(F.transform(cands, _ticker_line_v1),
                      lambda x: x.isNotNull() if compat else (x.isNotNull() & (x != _ERR)))
     first = F.try_element_at(found, F.lit(1))
     return F.when(first != _ERR, first)
@@ -181,15 +216,16 @@ SECTION_END_V2 = (r"Item\s*[2-9]\.\d+", r"ITEM\s*[2-9]", r"SIGNATURES?",
 
 def section_v2(text: Column, max_chars: int = 12000) -> Column:
     """Start at the first start *pattern* that matches anywhere; end at the
-    earliest end-pattern match from start+100; strip; cap."""
-    pos = [F.regexp_instr(text, F.lit("(?iU)" + p)) for p in SECTION_START_V2]
-    start = F.coalesce(*[F.when(p > 0, p) for p in pos])            # 1-based
+    earliest end-pattern match from start+100 (one alternation finds the
+    leftmost match of any end pattern); strip; cap."""
+    start = F.lit(None).cast("int")
+    for p in reversed(SECTION_START_V2):
+        pos = F.regexp_instr(text, F.lit("(?i)" + py_ws(p)))
+        start = F.when(pos > 0, pos).otherwise(start)
+    ends = "(?i)(?:" + "|".join(py_ws(p) for p in SECTION_END_V2) + ")"
     tail = F.substring(text, start + 100, 2147483647)
-    ends = []
-    for p in SECTION_END_V2:
-        e = F.regexp_instr(tail, F.lit("(?iU)" + p))
-        ends.append(F.when(e > 0, e + 99))                           # relative to start
-    length = F.coalesce(F.least(*ends), F.length(text) - start + 1)
+    e = F.regexp_instr(tail, F.lit(ends))
+    length = F.when(e > 0, e + 99).otherwise(F.length(text) - start + 1)
     section = F.substring(pystrip(F.substring(text, start, length)), 1, max_chars)
     return F.when(start.isNotNull(), section).otherwise(F.substring(text, 1, max_chars))
 
@@ -226,14 +262,19 @@ def to_usd(amount: Column, unit: Column) -> Column:
 
 def deal_value(text: Column, compat: bool = True, patterns=DEAL_VALUE_PATTERNS,
                minimum: float = MIN_DEAL_VALUE) -> Column:
-    """First pattern whose first match converts to more than ``minimum``."""
+    """First pattern whose first match converts to more than ``minimum``.
+
+    Every pattern needs a ``$``, so rows without one are skipped; per
+    pattern one scan finds the first match, and its groups are read from
+    that short match."""
     n = _NUM if compat else _NUM_BOUNDED
     vals = []
     for p in patterns:
         rx = "(?i)" + p.replace("{n}", n)
-        v = to_usd(F.regexp_extract(text, rx, 1), F.regexp_extract(text, rx, 2))
-        vals.append(F.when(F.regexp_like(text, F.lit(rx)) & (v > F.lit(float(minimum))), v))
-    return F.coalesce(*vals)
+        m = F.regexp_extract(text, rx, 0)
+        v = to_usd(F.regexp_extract(m, rx, 1), F.regexp_extract(m, rx, 2))
+        vals.append(F.when((m != "") & (v > F.lit(float(minimum))), v))
+    return F.when(text.contains("$"), F.coalesce(*vals))
 
 
 # --------------------------------------------------------------------------
@@ -259,7 +300,7 @@ def truncate_sentence(text: Column, max_len: int = 1020) -> Column:
 # Fixed value: money or decimal-percent guard, as written in the reference:
 #   \$[\d,]+|\b\d+[.,]\d+\s*%
 # spelled with an explicit Unicode word boundary so that Java and RE2 agree.
-MONEY_OR_PERCENT = r"\$[\d,]+|(?:^|[^\p{L}\p{N}_])\d+[.,]\d+[\s\x{00A0}]*%"
+MONEY_OR_PERCENT = r"\$[\d,]+|(?:^|[^\p{L}\p{N}_])\d+[.,]\d+" + WS + "*%"
 
 
 def verdict_guard(text: Column) -> Column:
@@ -280,7 +321,7 @@ def has_item_101_v1(doc: Column) -> Column:
 
 def has_item_101_v2(doc: Column) -> Column:
     """F2 (v2): ``item\\s*1\\.01`` on raw text; a no-break space counts."""
-    return doc.rlike(r"(?iU)item\s*1\.01")
+    return doc.rlike("(?i)item" + WS + r"*1\.01")
 
 
 # Keyword lists of the M&A gate (strong, weak, exclusions).

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dealflow.functions import text as T
 
-# Entities decoded by the SQL oracle.
+# Entities decoded by the SQL oracle (a subset of HTML5's).
 ORACLE_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
                    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"),
                    ("&reg;", "®"), ("&mdash;", "—"), ("&ndash;", "–"), ("&amp;", "&"))
@@ -22,20 +22,23 @@ def q(s: str) -> str:
 
 
 def re2(p: str) -> str:
-    """A Java pattern that relies on Unicode ``\\s`` in RE2 spelling."""
-    return p.replace(r"[:\s]", r"[:\s\x{00A0}]").replace(r"\s", r"[\s\x{00A0}]") \
-            .replace(r"[:[\s\x{00A0}]\x{00A0}]", r"[:\s\x{00A0}]")
+    """Python's ``\\s`` spelled as the explicit class (same as the Spark side)."""
+    return T.py_ws(p)
 
 
-WS = r"[\s\x{00A0}]"
+def chars_sql(chars: str) -> str:
+    return "(" + " || ".join(f"chr({ord(c)})" for c in chars) + ")"
+
+
+WS_SQL = chars_sql(T.WS_CHARS)
 
 
 def strip_sql(x: str) -> str:
-    return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
+    return f"trim({x}, {WS_SQL})"
 
 
 def rstrip_sql(x: str) -> str:
-    return f"regexp_replace({x}, '{WS}+$', '')"
+    return f"rtrim({x}, {WS_SQL})"
 
 
 def clean_html_sql(raw: str) -> str:
@@ -46,8 +49,7 @@ def clean_html_sql(raw: str) -> str:
     t = f"regexp_replace({t}, '(?s)<[^>]*>', chr(10), 'g')"
     for ent, ch in ORACLE_ENTITIES:
         t = f"replace({t}, {q(ent)}, {q(ch)})"
-    return (f"array_to_string(list_filter(list_transform(string_split({t}, chr(10)), lambda x: {strip_sql('x')}), "
-            f"lambda x: x <> ''), chr(10))")
+    return strip_sql(f"regexp_replace({t}, {q(T.WS_NO_NL + '*' + chr(92) + 'n' + T.WS + '*')}, chr(10), 'g')")
 
 
 def regex_pos_sql(text: str, pattern: str) -> str:
@@ -60,8 +62,9 @@ def section_v2_sql(text: str, max_chars: int = 12000) -> str:
     starts = [regex_pos_sql(text, "(?i)" + re2(p)) for p in T.SECTION_START_V2]
     start = f"coalesce({', '.join(starts)})"
     tail = f"substr({text}, {start} + 100)"
-    ends = [f"({regex_pos_sql(tail, '(?i)' + re2(p))} + 99)" for p in T.SECTION_END_V2]
-    length = f"coalesce(least({', '.join(ends)}), length({text}) - {start} + 1)"
+    ends = "(?i)(?:" + "|".join(re2(p) for p in T.SECTION_END_V2) + ")"
+    end = f"({regex_pos_sql(tail, ends)} + 99)"
+    length = f"coalesce({end}, length({text}) - {start} + 1)"
     section = f"substr({strip_sql(f'substr({text}, {start}, {length})')}, 1, {max_chars})"
     return f"(CASE WHEN {start} IS NOT NULL THEN {section} ELSE substr({text}, 1, {max_chars}) END)"
 

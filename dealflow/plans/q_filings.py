@@ -585,7 +585,7 @@ SELECT outcome, count(*) AS n FROM (
               WHEN is_processed THEN 'already_processed'
               WHEN cik IS NOT NULL AND has_item_101 = false THEN 'no_item_101_meta'
               WHEN length(coalesce(raw, '')) = 0 THEN 'empty_document'
-              WHEN has_item_101 IS NULL AND NOT regexp_matches(raw, '(?i)item[\\s\\x{{00A0}}]*1\\.01') THEN 'no_item_101_text'
+              WHEN has_item_101 IS NULL AND NOT regexp_matches(raw, {ot.q('(?i)item' + T.WS + '*1' + chr(92) + '.01')}) THEN 'no_item_101_text'
               WHEN ticker IS NOT NULL AND {LIQ_SQL} <> 'OK' THEN 'liquidity'
               WHEN NOT v2_ok THEN 'score_failed'
               WHEN TRY_CAST(CAST(model_score AS VARCHAR) AS DOUBLE) IS NULL THEN 'bad_score'

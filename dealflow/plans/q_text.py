@@ -13,10 +13,10 @@ from dealflow.plans.registry import register
 from dealflow.sources.tables import table
 
 
-@register("item_filter", lambda: sql(query="""
+@register("item_filter", lambda: sql(query=f"""
 SELECT k, length(raw) = 0 AS is_empty,
        contains(lower(raw), 'item 1.01') OR contains(lower(raw), 'item 1.1') AS item_v1,
-       regexp_matches(raw, '(?i)item[\\s\\x{00A0}]*1\\.01') AS item_v2
+       regexp_matches(raw, {ot.q('(?i)item' + T.WS + '*1' + chr(92) + '.01')}) AS item_v2
 FROM filing_docs_fx"""))
 def item_filter(spark, sf_dir):
     """F2 (v1 substring, v2 regex) and F7 (empty document) per filing document."""
@@ -84,7 +84,7 @@ def _ticker_v1_line_sql(l: str) -> str:
     u = f"upper({l})"
     parts = f"string_split({l}, ':')"
     has_parts = f"(len({parts}) > 1)"
-    tok = f"regexp_extract(coalesce({parts}[2], ''), '^\\s*(\\S+)', 1)"
+    tok = f"regexp_extract(coalesce({parts}[2], ''), {ot.q('^' + T.WS + '*(' + T.NOT_WS + '+)')}, 1)"
     clean = f"regexp_replace({tok}, '[,.()]', '', 'g')"
     ok = f"({clean} <> '' AND length({clean}) <= 5)"
     r1 = f"(contains({u}, 'TRADING SYMBOL') OR contains({u}, 'TICKER SYMBOL'))"
