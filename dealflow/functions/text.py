@@ -15,7 +15,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -29,14 +29,20 @@ def _cls(chars: str) -> str:
     return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in chars) + "]"
 
 
-WS = _cls(WS_CHARS)                                  # Python \s
-WS_NO_NL = _cls(WS_CHARS.replace("\n", ""))
-NOT_WS = "[^" + WS[1:]
+# Java spelling: Unicode White_Space plus the four separators Python adds
+# (U+001C-U+001F).  One property lookup per character.
+WS = r"[\x{1C}-\x{1F}\p{IsWhite_Space}]"
+WS_NO_NL = r"[\x{1C}-\x{1F}\p{IsWhite_Space}&&[^\n]]"
+NOT_WS = r"[^\x{1C}-\x{1F}\p{IsWhite_Space}]"
+# RE2 spelling of the same sets, for the DuckDB oracle.
+WS_RE2 = _cls(WS_CHARS)
+WS_NO_NL_RE2 = _cls(WS_CHARS.replace("\n", ""))
+NOT_WS_RE2 = "[^" + WS_RE2[1:]
 
 
-def py_ws(pattern: str) -> str:
+def py_ws(pattern: str, re2: bool = False) -> str:
     """Spell Python's Unicode ``\\s`` (outside character classes) explicitly."""
-    return pattern.replace(r"\s", WS)
+    return pattern.replace(r"\s", WS_RE2 if re2 else WS)
 
 
 def pystrip(c: Column) -> Column:
@@ -65,14 +71,12 @@ def decode_entities(s: pd.Series) -> pd.Series:
 
 def strip_markup(raw: Column) -> Column:
     """Drop comments, doctype, script/style/noscript bodies; every other tag
-    becomes a line break so that each text node starts a new line.  The
-    costlier patterns only run on rows that contain their opening marker."""
-    low = F.lower(raw)
-    t = F.when(raw.contains("<!--"), F.regexp_replace(raw, r"(?s)<!--.*?-->", "\n")).otherwise(raw)
-    t = F.when(low.contains("<!doctype"), F.regexp_replace(t, r"(?is)<!DOCTYPE[^>]*>", "\n")).otherwise(t)
-    t = F.when(low.contains("<script") | low.contains("<style") | low.contains("<noscript"),
-               F.regexp_replace(t, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", "\n")).otherwise(t)
-    return F.when(t.contains("<"), F.regexp_replace(t, r"(?s)<[^>]*>", "\n")).otherwise(t)
+    becomes a line break so that each text node starts a new line.  Each
+    step wraps the previous one once (no repeated sub-expressions)."""
+    t = F.regexp_replace(raw, r"(?s)<!--.*?-->", "\n")
+    t = F.regexp_replace(t, r"(?is)<!DOCTYPE[^>]*>", "\n")
+    t = F.regexp_replace(t, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", "\n")
+    return F.regexp_replace(t, r"(?s)<[^>]*>", "\n")
 
 
 def strip_lines(t: Column) -> Column:
@@ -143,19 +147,31 @@ def _ticker_line_v1(l: Column) -> Column:
 _V1_TRIGGER = r"(?imd)^.*(?:symbol|nasdaq:|nyse:|company).*$"
 
 
-def ticker_v1(doc: Column, head_lines: int = 200, compat: bool = True) -> Column:
+def ticker_v1_candidate(doc: Column, head_lines: int = 200, compat: bool = True) -> Column:
+    """First rule hit among the head's candidate lines (``!ERR`` marks the
+    reference's abort); finish with ``ticker_v1_final``."""
+    head = F.substring_index(doc, "\n", head_lines)
+    cands = F.regexp_extract_all(head, F.lit(_V1_TRIGGER), 0)
+    found = F.filter(F.transform(cands, _ticker_line_v1),
+                     lambda x: x.isNotNull() if compat else (x.isNotNull() & (x != _ERR)))
+    return F.try_element_at(found, F.lit(1))
+
+
+def ticker_v1_final(candidate: Column) -> Column:
+    return F.when(candidate != _ERR, candidate)
+
+
+def with_ticker_v1(df: DataFrame, doc: str, out: str, head_lines: int = 200, compat: bool = True) -> DataFrame:
     """T4: four line rules over the first ``head_lines`` lines, line order
     first.  A rule-1/2 line whose remainder is empty aborts the document
     (null) in compat mode; corrected mode skips that line.
 
     Only lines holding a rule's trigger word can match, so one regex pass
-    over the head picks those lines (in order) and the rules run on them."""
-    head = F.substring_index(doc, "\n", head_lines)
-    cands = F.regexp_extract_all(head, F.lit(_V1_TRIGGER), 0)
-    found = F.filter(F.transform(cands, _ticker_line_v1),
-                     lambda x: x.isNotNull() if compat else (x.isNotNull() & (x != _ERR)))
-    first = F.try_element_at(found, F.lit(1))
-    return F.when(first != _ERR, first)
+    over the head picks those lines (in order) and the rules run on them.
+    Two projections, so the candidate is computed once."""
+    tmp = f"_{out}_cand"
+    return (df.withColumn(tmp, ticker_v1_candidate(F.col(doc), head_lines, compat))
+              .withColumn(out, ticker_v1_final(F.col(tmp))).drop(tmp))
 
 
 _TICK = r"([A-Z]{1,5}(?:[.\-][A-Z]{1,3})?)"
@@ -214,20 +230,27 @@ SECTION_END_V2 = (r"Item\s*[2-9]\.\d+", r"ITEM\s*[2-9]", r"SIGNATURES?",
                   r"Pursuant\s+to\s+the\s+requirements", r"SIGNATURE\s+PAGE")
 
 
-def section_v2(text: Column, max_chars: int = 12000) -> Column:
+def with_section_v2(df: DataFrame, text: str, out: str, max_chars: int = 12000) -> DataFrame:
     """Start at the first start *pattern* that matches anywhere; end at the
     earliest end-pattern match from start+100 (one alternation finds the
-    leftmost match of any end pattern); strip; cap."""
-    start = F.lit(None).cast("int")
-    for p in reversed(SECTION_START_V2):
-        pos = F.regexp_instr(text, F.lit("(?i)" + py_ws(p)))
-        start = F.when(pos > 0, pos).otherwise(start)
+    leftmost match of any end pattern); strip; cap.
+
+    Positions are computed in their own projections so that each regex scan
+    runs once per row."""
+    t = F.col(text)
+    starts = [f"_{out}_p{i}" for i in range(len(SECTION_START_V2))]
+    d = df.select("*", *[F.regexp_instr(t, F.lit("(?i)" + py_ws(p))).alias(n)
+                         for n, p in zip(starts, SECTION_START_V2)])
+    start = F.coalesce(*[F.when(F.col(n) > 0, F.col(n)) for n in starts])
+    d = d.withColumn(f"_{out}_st", start)
     ends = "(?i)(?:" + "|".join(py_ws(p) for p in SECTION_END_V2) + ")"
-    tail = F.substring(text, start + 100, 2147483647)
-    e = F.regexp_instr(tail, F.lit(ends))
-    length = F.when(e > 0, e + 99).otherwise(F.length(text) - start + 1)
-    section = F.substring(pystrip(F.substring(text, start, length)), 1, max_chars)
-    return F.when(start.isNotNull(), section).otherwise(F.substring(text, 1, max_chars))
+    st = F.col(f"_{out}_st")
+    d = d.withColumn(f"_{out}_e", F.regexp_instr(F.substring(t, st + 100, 2147483647), F.lit(ends)))
+    e = F.col(f"_{out}_e")
+    length = F.when(e > 0, e + 99).otherwise(F.length(t) - st + 1)
+    section = F.substring(pystrip(F.substring(t, st, length)), 1, max_chars)
+    d = d.withColumn(out, F.when(st.isNotNull(), section).otherwise(F.substring(t, 1, max_chars)))
+    return d.drop(*starts, f"_{out}_st", f"_{out}_e")
 
 
 # --------------------------------------------------------------------------
@@ -260,21 +283,23 @@ def to_usd(amount: Column, unit: Column) -> Column:
                                                                        .otherwise(num * mult))
 
 
-def deal_value(text: Column, compat: bool = True, patterns=DEAL_VALUE_PATTERNS,
-               minimum: float = MIN_DEAL_VALUE) -> Column:
+def with_deal_value(df: DataFrame, text: str, out: str, compat: bool = True, patterns=DEAL_VALUE_PATTERNS,
+                    minimum: float = MIN_DEAL_VALUE) -> DataFrame:
     """First pattern whose first match converts to more than ``minimum``.
 
     Every pattern needs a ``$``, so rows without one are skipped; per
-    pattern one scan finds the first match, and its groups are read from
-    that short match."""
+    pattern one scan finds the first match (own projection), and its groups
+    are read from that short match."""
     n = _NUM if compat else _NUM_BOUNDED
+    rxs = ["(?i)" + p.replace("{n}", n) for p in patterns]
+    t = F.col(text)
+    ms = [f"_{out}_m{i}" for i in range(len(rxs))]
+    d = df.select("*", *[F.when(t.contains("$"), F.regexp_extract(t, rx, 0)).alias(m) for m, rx in zip(ms, rxs)])
     vals = []
-    for p in patterns:
-        rx = "(?i)" + p.replace("{n}", n)
-        m = F.regexp_extract(text, rx, 0)
-        v = to_usd(F.regexp_extract(m, rx, 1), F.regexp_extract(m, rx, 2))
-        vals.append(F.when((m != "") & (v > F.lit(float(minimum))), v))
-    return F.when(text.contains("$"), F.coalesce(*vals))
+    for m, rx in zip(ms, rxs):
+        v = to_usd(F.regexp_extract(F.col(m), rx, 1), F.regexp_extract(F.col(m), rx, 2))
+        vals.append(F.when((F.coalesce(F.col(m), F.lit("")) != "") & (v > F.lit(float(minimum))), v))
+    return d.withColumn(out, F.coalesce(*vals)).drop(*ms)
 
 
 # --------------------------------------------------------------------------
@@ -300,7 +325,9 @@ def truncate_sentence(text: Column, max_len: int = 1020) -> Column:
 # Fixed value: money or decimal-percent guard, as written in the reference:
 #   \$[\d,]+|\b\d+[.,]\d+\s*%
 # spelled with an explicit Unicode word boundary so that Java and RE2 agree.
-MONEY_OR_PERCENT = r"\$[\d,]+|(?:^|[^\p{L}\p{N}_])\d+[.,]\d+" + WS + "*%"
+_MONEY = r"\$[\d,]+|(?:^|[^\p{L}\p{N}_])\d+[.,]\d+{ws}*%"
+MONEY_OR_PERCENT = _MONEY.replace("{ws}", WS)
+MONEY_OR_PERCENT_RE2 = _MONEY.replace("{ws}", WS_RE2)
 
 
 def verdict_guard(text: Column) -> Column:

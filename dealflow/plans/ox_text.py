@@ -23,7 +23,7 @@ def q(s: str) -> str:
 
 def re2(p: str) -> str:
     """Python's ``\\s`` spelled as the explicit class (same as the Spark side)."""
-    return T.py_ws(p)
+    return T.py_ws(p, re2=True)
 
 
 def chars_sql(chars: str) -> str:
@@ -49,7 +49,7 @@ def clean_html_sql(raw: str) -> str:
     t = f"regexp_replace({t}, '(?s)<[^>]*>', chr(10), 'g')"
     for ent, ch in ORACLE_ENTITIES:
         t = f"replace({t}, {q(ent)}, {q(ch)})"
-    return strip_sql(f"regexp_replace({t}, {q(T.WS_NO_NL + '*' + chr(92) + 'n' + T.WS + '*')}, chr(10), 'g')")
+    return strip_sql(f"regexp_replace({t}, {q(T.WS_NO_NL_RE2 + '*' + chr(92) + 'n' + T.WS_RE2 + '*')}, chr(10), 'g')")
 
 
 def regex_pos_sql(text: str, pattern: str) -> str:
@@ -137,4 +137,4 @@ def ticker_v2_sql(doc: str, compat: bool = True) -> str:
 
 def re2_guard() -> str:
     """F11's pattern in RE2 spelling (``\\x{00A0}`` is the same in both)."""
-    return T.MONEY_OR_PERCENT
+    return T.MONEY_OR_PERCENT_RE2

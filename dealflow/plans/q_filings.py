@@ -419,7 +419,7 @@ SELECT k, rule_score, {_priority_sql('rule_score')} AS rule_priority FROM rs2"""
 def rule_score(spark, sf_dir):
     """R2 (+R3): deterministic rubric score of each filing and its priority."""
     r = roles_frame(spark, sf_dir)
-    d = docs_clean(spark, sf_dir).select("k", T.section_v2(F.col("clean")).alias("section"))
+    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section").select("k", "section")
     j = r.join(d, "k", "left")
     s = score.rule_score(F.col("section"), F.col("deal_type"), F.col("is_full_acquisition"),
                          F.col("deal_structure"), F.col("premium_pct"), F.col("tgt_short_percent"))
@@ -585,7 +585,7 @@ SELECT outcome, count(*) AS n FROM (
               WHEN is_processed THEN 'already_processed'
               WHEN cik IS NOT NULL AND has_item_101 = false THEN 'no_item_101_meta'
               WHEN length(coalesce(raw, '')) = 0 THEN 'empty_document'
-              WHEN has_item_101 IS NULL AND NOT regexp_matches(raw, {ot.q('(?i)item' + T.WS + '*1' + chr(92) + '.01')}) THEN 'no_item_101_text'
+              WHEN has_item_101 IS NULL AND NOT regexp_matches(raw, {ot.q('(?i)item' + T.WS_RE2 + '*1' + chr(92) + '.01')}) THEN 'no_item_101_text'
               WHEN ticker IS NOT NULL AND {LIQ_SQL} <> 'OK' THEN 'liquidity'
               WHEN NOT v2_ok THEN 'score_failed'
               WHEN TRY_CAST(CAST(model_score AS VARCHAR) AS DOUBLE) IS NULL THEN 'bad_score'

@@ -16,7 +16,7 @@ from dealflow.sources.tables import table
 @register("item_filter", lambda: sql(query=f"""
 SELECT k, length(raw) = 0 AS is_empty,
        contains(lower(raw), 'item 1.01') OR contains(lower(raw), 'item 1.1') AS item_v1,
-       regexp_matches(raw, {ot.q('(?i)item' + T.WS + '*1' + chr(92) + '.01')}) AS item_v2
+       regexp_matches(raw, {ot.q('(?i)item' + T.WS_RE2 + '*1' + chr(92) + '.01')}) AS item_v2
 FROM filing_docs_fx"""))
 def item_filter(spark, sf_dir):
     """F2 (v1 substring, v2 regex) and F7 (empty document) per filing document."""
@@ -55,7 +55,7 @@ SELECT k, {ot.section_v2_sql('clean')} AS section, length({ot.section_v2_sql('cl
 FROM docs_clean"""))
 def section_cut_v2(spark, sf_dir):
     """T1 + T7: v2 pattern cut of the cleaned document (12,000 characters)."""
-    d = docs_clean(spark, sf_dir).withColumn("section", T.section_v2(F.col("clean")))
+    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section")
     return d.select("k", "section", F.length("section").alias("section_len"))
 
 
@@ -66,9 +66,10 @@ SELECT k, {ot.deal_value_sql('section', True)} AS deal_value_compat,
 FROM sec"""))
 def deal_value(spark, sf_dir):
     """T8 + T9 on the Item 1.01 section: reference reading and bounded unit."""
-    d = docs_clean(spark, sf_dir).select("k", T.section_v2(F.col("clean")).alias("section"))
-    return d.select("k", T.deal_value(F.col("section"), compat=True).alias("deal_value_compat"),
-                    T.deal_value(F.col("section"), compat=False).alias("deal_value_fixed"))
+    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section").select("k", "section")
+    d = T.with_deal_value(d, "section", "deal_value_compat", compat=True)
+    d = T.with_deal_value(d, "section", "deal_value_fixed", compat=False)
+    return d.select("k", "deal_value_compat", "deal_value_fixed")
 
 
 @register("company_name", lambda: sql(DOCS_SQL, query=f"""
@@ -84,7 +85,7 @@ def _ticker_v1_line_sql(l: str) -> str:
     u = f"upper({l})"
     parts = f"string_split({l}, ':')"
     has_parts = f"(len({parts}) > 1)"
-    tok = f"regexp_extract(coalesce({parts}[2], ''), {ot.q('^' + T.WS + '*(' + T.NOT_WS + '+)')}, 1)"
+    tok = f"regexp_extract(coalesce({parts}[2], ''), {ot.q('^' + T.WS_RE2 + '*(' + T.NOT_WS_RE2 + '+)')}, 1)"
     clean = f"regexp_replace({tok}, '[,.()]', '', 'g')"
     ok = f"({clean} <> '' AND length({clean}) <= 5)"
     r1 = f"(contains({u}, 'TRADING SYMBOL') OR contains({u}, 'TICKER SYMBOL'))"
@@ -117,8 +118,9 @@ FROM filing_docs_fx"""))
 def ticker_v1(spark, sf_dir):
     """T4: the v1 line rules over the first 200 lines of the raw document."""
     d = fxf.filing_docs_fx(spark, sf_dir)
-    return d.select("k", T.ticker_v1(F.col("raw"), compat=True).alias("ticker_compat"),
-                    T.ticker_v1(F.col("raw"), compat=False).alias("ticker_fixed"))
+    d = T.with_ticker_v1(d, "raw", "ticker_compat", compat=True)
+    d = T.with_ticker_v1(d, "raw", "ticker_fixed", compat=False)
+    return d.select("k", "ticker_compat", "ticker_fixed")
 
 
 @register("clean_html", lambda: f"""

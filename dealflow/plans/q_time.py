@@ -79,7 +79,7 @@ def alert_payload(spark, sf_dir):
     """One JSON payload per routed alert (rows-only check:
     the payload is display text)."""
     r = gates.routed(routed_frame(spark, sf_dir))
-    d = docs_clean(spark, sf_dir).select(
-        "k", T.company_name(F.col("clean")).alias("company"),
-        T.deal_value(T.section_v2(F.col("clean"))).alias("deal_value_regex"))
+    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section")
+    d = T.with_deal_value(d, "section", "deal_value_regex").select(
+        "k", T.company_name(F.col("clean")).alias("company"), "deal_value_regex")
     return route.alert_payload(r.join(d, "k", "left"))

@@ -15,6 +15,11 @@ def one(spark, col, value, schema="x string"):
     return spark.createDataFrame([(value,)], schema).select(col.alias("r")).first().r
 
 
+def via(spark, fn, value, **kw):
+    """Run a DataFrame-level text transform on one value."""
+    return fn(spark.createDataFrame([(value,)], "x string"), "x", "r", **kw).first().r
+
+
 def col():
     return F.col("x")
 
@@ -109,9 +114,9 @@ def test_company_name_takes_last_colon(spark):
 
 def test_ticker_v1_empty_remainder_aborts_in_compat(spark):
     doc = "Trading Symbol:\nACME COMPANY INC (ACME)"
-    assert one(spark, T.ticker_v1(col(), compat=True), doc) is None
-    assert one(spark, T.ticker_v1(col(), compat=False), doc) == "ACME"
-    assert one(spark, T.ticker_v1(col()), "listed (NASDAQ: XYZ) today") == "XYZ"
+    assert via(spark, T.with_ticker_v1, doc, compat=True) is None
+    assert via(spark, T.with_ticker_v1, doc, compat=False) == "ACME"
+    assert via(spark, T.with_ticker_v1, "listed (NASDAQ: XYZ) today") == "XYZ"
 
 
 def test_ticker_v2_nasdaq_stock_market_trap(spark):
@@ -123,7 +128,7 @@ def test_ticker_v2_nasdaq_stock_market_trap(spark):
 
 def test_section_v2_sees_nbsp_item_header(spark):
     body = "Intro text\nITEM 1.01 Entry into agreement " + "x" * 150 + "\nItem 9.01 Exhibits"
-    s = one(spark, T.section_v2(col()), body)
+    s = via(spark, T.with_section_v2, body)
     assert s.startswith("ITEM 1.01") and s.endswith("x")
 
 
@@ -136,10 +141,10 @@ def test_section_v1_markers(spark):
 
 def test_deal_value_unit_trap(spark):
     trap = "The purchase price of $5,000,000 by the buyer is fixed."
-    assert one(spark, T.deal_value(col(), compat=True), trap) == 5e15
-    assert one(spark, T.deal_value(col(), compat=False), trap) == 5e6
-    assert one(spark, T.deal_value(col()), "valued at approximately $2.5 bn") == 2.5e9
-    assert one(spark, T.deal_value(col()), "$1,000,000 in cash") is None
+    assert via(spark, T.with_deal_value, trap, compat=True) == 5e15
+    assert via(spark, T.with_deal_value, trap, compat=False) == 5e6
+    assert via(spark, T.with_deal_value, "valued at approximately $2.5 bn") == 2.5e9
+    assert via(spark, T.with_deal_value, "$1,000,000 in cash") is None
 
 
 def test_truncate_sentence_boundaries(spark):
