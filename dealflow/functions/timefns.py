@@ -56,15 +56,57 @@ def filing_context(ts: Column, open_minute: int = SESSION_OPEN_MINUTE,
             .otherwise(F.lit("after-hours")))
 
 
+# English day and month abbreviations (RFC 2822).
+DAY_ABBR = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
+MONTH_ABBR = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+# Rendering works on the NTZ value's own text (``cast(ts as string)``), so it
+# never passes through the session time zone (no DST gap or overlap shifts).
+
+
+def ntz_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a TIMESTAMP_NTZ."""
+    return F.substring(ts.cast("string"), 1, 19)
+
+
+def fmt_date(ts: Column) -> Column:
+    return F.substring(ts.cast("string"), 1, 10)
+
+
+def fmt_minute(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm``."""
+    return F.substring(ts.cast("string"), 1, 16)
+
+
 def iso_seconds(ts: Column) -> Column:
     """``YYYY-MM-DDTHH:MM:SS`` rendering (the reference's ISO form)."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    t = ntz_text(ts)
+    return F.concat(F.substring(t, 1, 10), F.lit("T"), F.substring(t, 12, 8))
+
+
+def rfc2822(ts: Column) -> Column:
+    """``Mon, 01 Jan 2024 10:00:00`` (no zone suffix)."""
+    t = ntz_text(ts)
+    days = F.array(*[F.lit(d) for d in DAY_ABBR])
+    months = F.array(*[F.lit(m) for m in MONTH_ABBR])
+    return F.concat(F.try_element_at(days, F.weekday(ts) + 1), F.lit(", "), F.substring(t, 9, 2), F.lit(" "),
+                    F.try_element_at(months, F.month(ts)), F.lit(" "), F.substring(t, 1, 4), F.lit(" "),
+                    F.substring(t, 12, 8))
+
+
+def utc_instant(ntz: Column) -> Column:
+    """UTC wall clock (TIMESTAMP_NTZ) to the instant (TIMESTAMP), exactly.
+    Pass a column reference: the input is read once per field."""
+    return F.make_timestamp(F.year(ntz), F.month(ntz), F.dayofmonth(ntz), F.hour(ntz), F.minute(ntz),
+                            F.date_part(F.lit("SECOND"), ntz), F.lit("UTC"))
 
 
 def to_utc_wall(ltz: Column) -> Column:
     """An instant (TIMESTAMP) to its UTC wall clock as TIMESTAMP_NTZ,
-    whatever the session zone is."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ltz.cast("timestamp_ntz"))
+    whatever the session zone is (epoch arithmetic, no zone rules)."""
+    secs = (F.unix_micros(ltz) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit(EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
 def parse_published(raw: Column) -> Column:
@@ -78,8 +120,8 @@ def parse_published(raw: Column) -> Column:
     no_day = F.regexp_replace(s, r"^[A-Za-z]{3},\s*", "")
     rfc = F.try_to_timestamp(no_day, F.lit("d MMM yyyy HH:mm:ss Z"))
     iso = F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
-    bare = F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("timestamp_ntz")
-    return F.coalesce(to_utc_wall(F.coalesce(rfc, iso)), bare)
+    bare = F.try_to_timestamp(F.concat(s, F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
+    return to_utc_wall(F.coalesce(rfc, iso, bare))
 
 
 def local_time_v1(ts: Column) -> Column:
@@ -90,7 +132,8 @@ def local_time_v1(ts: Column) -> Column:
     off = F.when(summer, F.lit(2)).otherwise(F.lit(1))
     local = ts + F.make_dt_interval(F.lit(0), off, F.lit(0), F.lit(0))
     name = F.when(summer, F.lit("CEST")).otherwise(F.lit("CET"))
-    return F.concat(F.date_format(local, "yyyy-MM-dd 'o' HH:mm:ss "), name)
+    t = ntz_text(local)
+    return F.concat(F.substring(t, 1, 10), F.lit(" o "), F.substring(t, 12, 8), F.lit(" "), name)
 
 
 def local_time_v2(ts: Column) -> Column:
@@ -100,11 +143,11 @@ def local_time_v2(ts: Column) -> Column:
     off = F.when(summer, F.lit(2)).otherwise(F.lit(1))
     local = ts + F.make_dt_interval(F.lit(0), off, F.lit(0), F.lit(0))
     name = F.when(summer, F.lit("CEST")).otherwise(F.lit("CET"))
-    return F.concat(F.date_format(local, "yyyy-MM-dd HH:mm "), name)
+    return F.concat(fmt_minute(local), F.lit(" "), name)
 
 
 def local_time_iana(ts: Column, zone: str = "Europe/Warsaw") -> Column:
     """P9 corrected: the IANA zone's real transitions (UTC wall clock in)."""
     # convert_timezone works on NTZ wall clocks and ignores the session zone
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
-    return F.date_format(local, "yyyy-MM-dd HH:mm")
+    return fmt_minute(local)

@@ -136,10 +136,18 @@ def _bullets(arr: Column, cap: int) -> Column:
 def alert_payload(df: DataFrame) -> DataFrame:
     """R6 + R7 + T13 (v2 layout): title, description lines, field list,
     colour and chart link; conditional parts are null and skipped."""
-    title_tick = display_ticker({c: F.col(c) for c in ("tgt_ticker", "target_ticker", "acq_ticker",
-                                                       "acquirer_ticker")}, with_acquirer_model=False)
-    target_name = F.coalesce(F.nullif(F.col("target_company"), F.lit("")), F.col("company"))
-    dv = F.trim(F.coalesce(F.col("deal_value"), F.lit("")))
+    # pieces used more than once get their own projection (smaller generated code)
+    df = df.select(
+        "*",
+        display_ticker({c: F.col(c) for c in ("tgt_ticker", "target_ticker", "acq_ticker", "acquirer_ticker")},
+                       with_acquirer_model=False).alias("_title_tick"),
+        F.coalesce(F.nullif(F.col("target_company"), F.lit("")), F.col("company")).alias("_target_name"),
+        F.trim(F.coalesce(F.col("deal_value"), F.lit(""))).alias("_dv"),
+        volume_label(F.col("tgt_volume_spike")).alias("_vol_label"),
+        short_label(F.col("tgt_short_percent")).alias("_short_label"),
+        institutions_label(F.col("tgt_institutional_pct")).alias("_inst_label"),
+        verdict_guard(F.col("analyst_verdict")).alias("_verdict"))
+    title_tick, target_name, dv = F.col("_title_tick"), F.col("_target_name"), F.col("_dv")
     dv_ok = (dv != "") & ~F.lower(dv).isin("null", "undisclosed", "none")
     prem = F.col("premium_pct_checked").cast("string").try_cast("double")
     desc = F.concat_ws(
@@ -166,7 +174,7 @@ def alert_payload(df: DataFrame) -> DataFrame:
                         F.coalesce(F.col("impact_score").cast("string"), F.lit("0")),
                         F.coalesce(F.col("confidence").cast("string"), F.lit("0")),
                         F.coalesce(F.nullif(F.col("deal_structure"), F.lit("")), F.lit("N/A"))))
-    verdict = verdict_guard(F.col("analyst_verdict"))
+    verdict = F.col("_verdict")
     fld = lambda name, value, inline: F.struct(F.lit(name).alias("name"), value.alias("value"),
                                                F.lit(inline).alias("inline"))
     target_block = F.concat_ws(
@@ -175,17 +183,17 @@ def alert_payload(df: DataFrame) -> DataFrame:
         F.when(truthy(F.col("tgt_price")), F.concat(F.lit("Price: $"), F.col("tgt_price").cast("string"))),
         F.when(F.col("tgt_volume_spike") > 1.5,
                F.concat(F.format_string("Volume: %.1fx avg", F.col("tgt_volume_spike")),
-                        F.when(volume_label(F.col("tgt_volume_spike")).isNotNull(),
-                               F.concat(F.lit(" ("), volume_label(F.col("tgt_volume_spike")), F.lit(")"))))),
+                        F.when(F.col("_vol_label").isNotNull(),
+                               F.concat(F.lit(" ("), F.col("_vol_label"), F.lit(")"))).otherwise(F.lit("")))),
         F.when(F.col("tgt_week_change_pct").isNotNull(),
                F.concat(F.format_string("Week: %+.2f%%", F.col("tgt_week_change_pct")),
                         F.when(week_move_label(F.col("tgt_week_change_pct")).isNotNull(), F.lit(" (already moved)")))),
-        F.when(short_label(F.col("tgt_short_percent")).isNotNull(),
+        F.when(F.col("_short_label").isNotNull(),
                F.concat(F.format_string("Short: %.1f%% of float (", F.col("tgt_short_percent") * 100),
-                        short_label(F.col("tgt_short_percent")), F.lit(")"))),
-        F.when(institutions_label(F.col("tgt_institutional_pct")).isNotNull(),
+                        F.col("_short_label"), F.lit(")"))),
+        F.when(F.col("_inst_label").isNotNull(),
                F.concat(F.format_string("Institutions: %.0f%% (", F.col("tgt_institutional_pct") * 100),
-                        institutions_label(F.col("tgt_institutional_pct")), F.lit(")"))))
+                        F.col("_inst_label"), F.lit(")"))))
     has_tgt = F.col("tgt_ticker").isNotNull() & F.col("tgt_error").isNull()
     fields = F.array_compact(F.array(
         F.when(has_tgt, fld("Target data", target_block, True))

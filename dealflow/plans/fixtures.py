@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealflow.functions.timefns import filing_context
+from dealflow.functions.timefns import filing_context, fmt_date
 from dealflow.operators.bars import daily_bars, minute_bars
 from dealflow.sources.tables import table
 
@@ -47,6 +47,5 @@ def alerts_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(k % 2 == 0, F.lit("bullish")).otherwise(F.lit("neutral")).alias("direction"),
                     ((k / 7).cast("bigint") % 12).cast("double").alias("groq_score"),
                     structure.alias("deal_structure"),
-                    F.concat_ws("-", F.col("event_type"),
-                                F.date_format("ts", "yyyy-MM-dd")).alias("id"),
+                    F.concat_ws("-", F.col("event_type"), fmt_date(F.col("ts"))).alias("id"),
                     filing_context(F.col("ts")).alias("filing_context")))

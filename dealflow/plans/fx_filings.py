@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealflow.functions.timefns import iso_seconds, rfc2822
 from dealflow.sources.tables import table
 
 # Fixed values for the fixtures.
@@ -52,15 +53,15 @@ def filings_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     pub = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), (k * 37 % 1440).cast("int"), F.lit(0))
     minus5 = pub - F.make_dt_interval(F.lit(0), F.lit(5), F.lit(0), F.lit(0))
     raw = (F.when(k % 31 == 0, F.lit(""))
-           .when(k % 4 == 2, F.concat(F.date_format(minus5, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" -0500")))
-           .when(k % 2 == 0, F.concat(F.date_format(pub, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")))
-           .otherwise(F.concat(F.date_format(pub, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))))
+           .when(k % 4 == 2, F.concat(rfc2822(minus5), F.lit(" -0500")))
+           .when(k % 2 == 0, F.concat(rfc2822(pub), F.lit(" +0000")))
+           .otherwise(F.concat(iso_seconds(pub), F.lit("Z"))))
     return j.select(
         k, cik.alias("cik"), acc18.alias("accession18"), dashed.alias("accession_true"),
         form.alias("form"), F.concat(form, F.lit(" - "), F.upper("c_name"), suffix).alias("title"),
         link.alias("link"), entry_id.alias("entry_id"), pub.alias("published_ts"),
         raw.alias("published_raw"),
-        F.concat(F.date_format(pub, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("updated"),
+        F.concat(iso_seconds(pub), F.lit("Z")).alias("updated"),
         (k % 5 != 0).alias("in_primary"), (k % 5).isin(0, 1).alias("in_backup"),
         k.alias("feed_rank"), F.col("o_custkey").alias("custkey"), "c_name",
         "o_totalprice", "o_orderpriority")

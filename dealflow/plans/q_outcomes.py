@@ -25,7 +25,7 @@ def outcomes_fx(spark: SparkSession, sf_dir: str, compat: bool = True) -> DataFr
 
 
 def _sd(c="session_date"):
-    return F.date_format(F.col(c), "yyyy-MM-dd").alias(c)
+    return F.col(c).cast("string").alias(c)
 
 
 # ---- flagship -------------------------------------------------------------

@@ -11,7 +11,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from dealflow.functions.timefns import parse_published
+from dealflow.functions.timefns import ntz_text, parse_published
 from dealflow.plans import fx_filings as fxf
 from dealflow.plans import oracle as osql
 from dealflow.plans.q_filings import FEED_SQL, feed_ids, sql
@@ -50,7 +50,7 @@ def stream_bars(spark, sf_dir):
     ticks = ev.select(F.col("event_type").alias("ticker"), S.utc_instant(F.col("ts")).alias("ts"),
                       F.col("value").alias("price"), (F.col("user_id") + 1).alias("size"))
     out = _run(spark, "bars", ticks, lambda s: S.minute_bars_stream(s, f"{BAR_DELAY_MIN} minutes"))
-    return out.select("ticker", F.date_format("minute", "yyyy-MM-dd HH:mm:ss").alias("minute"),
+    return out.select("ticker", ntz_text(F.col("minute")).alias("minute"),
                       "open", "high", "low", "close", "volume")
 
 
@@ -70,6 +70,7 @@ GROUP BY 1""")
 def daily_digest(spark, sf_dir):
     """ST7: low-impact filings per UTC day (the digest the docs describe)."""
     a = fxf.analysis_fx(spark, sf_dir)
-    rows = a.select(S.utc_instant(parse_published(F.col("published_raw"))).alias("event_time"),
-                    "impact_score").where(F.col("event_time").isNotNull())
+    rows = (a.select(parse_published(F.col("published_raw")).alias("published_ts"), "impact_score")
+             .where(F.col("published_ts").isNotNull())
+             .select(S.utc_instant(F.col("published_ts")).alias("event_time"), "impact_score"))
     return _run(spark, "digest", rows, lambda s: S.daily_digest_stream(s, f"{DIGEST_DELAY_H} hour"))

@@ -33,7 +33,7 @@ FROM w""")
 def trailing_change(spark, sf_dir):
     """E3 + W1: week and month change of the daily close per ticker and day."""
     t = enrich.trailing_changes(daily_bars(fx.bars_fx(spark, sf_dir)))
-    return t.select("ticker", F.date_format("d", "yyyy-MM-dd").alias("d"), "close", "rows_in_lookback",
+    return t.select("ticker", F.col("d").cast("string").alias("d"), "close", "rows_in_lookback",
                     "week_change_pct", "month_change_pct")
 
 
@@ -46,7 +46,7 @@ def session_calendar(spark, sf_dir):
     f = fxf.filings_fx(spark, sf_dir)
     ts = F.col("published_ts")
     return f.select("k", tf.filing_context(ts).alias("filing_context"),
-                    F.date_format(tf.next_session_date(ts), "yyyy-MM-dd").alias("session_date"))
+                    tf.next_session_date(ts).cast("string").alias("session_date"))
 
 
 def _local_v1_sql(ts):

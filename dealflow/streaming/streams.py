@@ -24,15 +24,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealflow.functions.timefns import to_utc_wall
+from dealflow.functions.timefns import fmt_date, to_utc_wall, utc_instant  # noqa: F401
 from dealflow.session import ensure_checkpoint_dir
 
 
-def utc_instant(ntz: Column) -> Column:
-    """UTC wall clock (TIMESTAMP_NTZ) to the instant (TIMESTAMP)."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ntz).cast("timestamp")
-
-
 def stream_workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
     return os.path.join(ensure_checkpoint_dir(spark), "dealflow-streams", f"{name}-{uuid.uuid4().hex}")
@@ -80,7 +75,7 @@ def daily_digest_stream(filings: DataFrame, delay: str = "1 hour", ts: str = "ev
     low = filings.where(F.col(score).isNull() | (F.col(score) < F.lit(threshold)))
     agg = (low.withWatermark(ts, delay).groupBy(F.window(ts, "1 day").alias("win"))
            .agg(F.count(F.lit(1)).alias("n_low")))
-    return agg.select(F.date_format(to_utc_wall(F.col("win.start")), "yyyy-MM-dd").alias("day"), "n_low")
+    return agg.select(fmt_date(to_utc_wall(F.col("win.start"))).alias("day"), "n_low")
 
 
 def run_available_now(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append",
