@@ -170,8 +170,7 @@ def item_metadata(spark, sf_dir):
 
 
 def docs_clean(spark, sf_dir):
-    d = fxf.filing_docs_fx(spark, sf_dir)
-    return d.withColumn("clean", T.clean_html(F.col("raw")))
+    return T.with_clean_html(fxf.filing_docs_fx(spark, sf_dir), "raw", "clean")
 
 
 DOCS_SQL = f"""

@@ -131,7 +131,7 @@ FROM c""")
 def clean_html(spark, sf_dir):
     """T1 + T2 over every page: text nodes as lines, kept-character ratio."""
     p = table(spark, sf_dir, "pages").select("page_id", "html")
-    c = p.withColumn("clean", T.clean_html(F.col("html")))
+    c = T.with_clean_html(p, "html", "clean")
     return c.select("page_id", "clean", F.length("clean").alias("clean_len"),
                     rnd(T.cleaning_ratio(F.col("html"), F.col("clean")), 2).alias("clean_ratio"))
 
