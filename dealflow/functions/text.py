@@ -333,11 +333,12 @@ def with_deal_value(df: DataFrame, text: str, out: str, compat: bool = True, pat
             has = has & any_kw
         cols.append(F.when(has, F.regexp_extract(t, rx, 0)).alias(m))
     d = d.select("*", *cols)
-    vals = []
-    for m, rx in zip(ms, rxs):
-        v = to_usd(F.regexp_extract(F.col(m), rx, 1), F.regexp_extract(F.col(m), rx, 2))
-        vals.append(F.when((F.coalesce(F.col(m), F.lit("")) != "") & (v > F.lit(float(minimum))), v))
-    return d.withColumn(out, F.coalesce(*vals)).drop(low, *ms)
+    vs = [f"_{out}_v{i}" for i in range(len(rxs))]
+    d = d.select("*", *[F.when(F.coalesce(F.col(m), F.lit("")) != "",
+                               to_usd(F.regexp_extract(F.col(m), rx, 1), F.regexp_extract(F.col(m), rx, 2))).alias(v)
+                         for m, rx, v in zip(ms, rxs, vs)])
+    vals = [F.when(F.col(v) > F.lit(float(minimum)), F.col(v)) for v in vs]
+    return d.withColumn(out, F.coalesce(*vals)).drop(low, *ms, *vs)
 
 
 # --------------------------------------------------------------------------
