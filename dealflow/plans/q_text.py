@@ -47,7 +47,7 @@ FROM filing_docs_fx"""))
 def section_cut_v1(spark, sf_dir):
     """v1 marker cut of the raw document (6,000 characters, as called)."""
     d = fxf.filing_docs_fx(spark, sf_dir).withColumn("section", T.section_v1(F.col("raw"), 6000))
-    return d.select("k", "section", F.length("section").alias("section_len"))
+    return d.select("k", "section", F.length("section").cast("bigint").alias("section_len"))
 
 
 @register("section_cut_v2", lambda: sql(DOCS_SQL, query=f"""
@@ -56,7 +56,7 @@ FROM docs_clean"""))
 def section_cut_v2(spark, sf_dir):
     """T1 + T7: v2 pattern cut of the cleaned document (12,000 characters)."""
     d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section")
-    return d.select("k", "section", F.length("section").alias("section_len"))
+    return d.select("k", "section", F.length("section").cast("bigint").alias("section_len"))
 
 
 @register("deal_value", lambda: sql(DOCS_SQL, f"""
@@ -132,7 +132,7 @@ def clean_html(spark, sf_dir):
     """T1 + T2 over every page: text nodes as lines, kept-character ratio."""
     p = table(spark, sf_dir, "pages").select("page_id", "html")
     c = T.with_clean_html(p, "html", "clean")
-    return c.select("page_id", "clean", F.length("clean").alias("clean_len"),
+    return c.select("page_id", "clean", F.length("clean").cast("bigint").alias("clean_len"),
                     rnd(T.cleaning_ratio(F.col("html"), F.col("clean")), 2).alias("clean_ratio"))
 
 
@@ -146,7 +146,7 @@ def verdict_guard(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     g = T.verdict_guard(F.col("text"))
     t = T.pystrip(F.coalesce(F.col("text"), F.lit("")))
-    return d.select("doc_id", t.rlike(T.MONEY_OR_PERCENT).alias("verdict_blanked"), F.length(g).alias("verdict_len"))
+    return d.select("doc_id", t.rlike(T.MONEY_OR_PERCENT).alias("verdict_blanked"), F.length(g).cast("bigint").alias("verdict_len"))
 
 
 @register("truncate_sentence", lambda: f"""
@@ -156,4 +156,4 @@ def truncate_sentence(spark, sf_dir):
     """T10 over every document's whole text (1,020 characters)."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     t = T.truncate_sentence(F.col("text"), 1020)
-    return d.select("doc_id", t.alias("truncated"), F.length(t).alias("truncated_len"))
+    return d.select("doc_id", t.alias("truncated"), F.length(t).cast("bigint").alias("truncated_len"))
