@@ -20,6 +20,10 @@ def _norm(v):
     return repr(v)
 
 
+SPARK_T = {"int": "i32", "bigint": "i64", "double": "f64", "string": "str", "boolean": "bool", "date": "date"}
+DUCK_T = {"INTEGER": "i32", "BIGINT": "i64", "DOUBLE": "f64", "VARCHAR": "str", "BOOLEAN": "bool", "DATE": "date"}
+
+
 def _rows(cols, records):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(_norm(r[i]) for i in order) for r in records), key=repr)
@@ -43,10 +47,12 @@ def test_every_query_has_an_oracle_or_is_rows_only():
 def test_query_matches_oracle(spark, sf_small, con, name):
     df = QUERIES[name](spark, sf_small)
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(ORACLES[name])
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
+    rel = con.sql(ORACLES[name])
+    ocols = list(rel.columns)
+    otypes = {c: DUCK_T.get(str(t).split("(")[0], str(t)) for c, t in zip(rel.columns, rel.types)}
+    orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert {c: SPARK_T.get(t, t) for c, t in df.dtypes} == otypes
     assert len(srows) == len(orows)
     assert _rows(df.columns, srows) == _rows(ocols, orows)
 
