@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dealflow.session import ensure_checkpoint_dir
+
 
 def drop_without(df: DataFrame, col: str = "accession") -> DataFrame:
     """rows without the key are not processed."""
@@ -77,15 +79,19 @@ def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank"
     keyed = flagged.where(F.col("is_processed").isNotNull())
     b = keyed.withColumn("_bucket", F.floor(F.col(order) / F.lit(bucket_rows)).cast("bigint"))
     w = Window.partitionBy("_bucket").orderBy(order)
-    b = b.withColumn("_new_upto", F.sum((~F.col("is_processed")).cast("int"))
-                     .over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    wr = Window.partitionBy("_bucket", "_new_upto").orderBy(order)
-    b = b.withColumn("_local_run", F.when(
-        F.col("is_processed"),
-        F.row_number().over(wr) - F.when(F.col("_new_upto") > 0, F.lit(1)).otherwise(F.lit(0)))
-        .otherwise(F.lit(0)))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    # one partitioning and order for every window: row number, and the row
+    # number of the last new (unprocessed) row so far; the run is their gap
+    b = b.withColumn("_rn", F.row_number().over(w))
+    b = b.withColumn("_last_new", F.max(F.when(~F.col("is_processed"), F.col("_rn"))).over(upto))
+    b = b.withColumn("_local_run", F.when(F.col("is_processed"), F.col("_rn") - F.coalesce(F.col("_last_new"), F.lit(0)))
+                     .otherwise(F.lit(0)))
+    # the per-row frame feeds three branches (bucket summary, stops, result):
+    # cut the lineage once with a reliable checkpoint in the shared folder
+    ensure_checkpoint_dir(b.sparkSession)
+    b = b.checkpoint(eager=True)
     summary = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"),
-                                       (F.max("_new_upto") > 0).alias("_has_new"),
+                                       F.max("_last_new").isNotNull().alias("_has_new"),
                                        F.max_by("_local_run", order).alias("_trail"))
     ws = Window.orderBy("_bucket")                      # one row per bucket
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
@@ -99,11 +105,11 @@ def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank"
     b = b.join(summary.select("_bucket", "_carry"), "_bucket", "left")
     b = b.withColumn("run_length", F.when(
         F.col("is_processed"),
-        F.col("_local_run") + F.when(F.col("_new_upto") == 0, F.col("_carry")).otherwise(F.lit(0)))
+        F.col("_local_run") + F.when(F.col("_last_new").isNull(), F.col("_carry")).otherwise(F.lit(0)))
         .otherwise(F.lit(0)))
     stops = b.groupBy("_bucket").agg(
         F.min(F.when(F.col("run_length") >= threshold, F.col(order))).alias("_stop_b"))
     stops = stops.withColumn("_stop", F.min("_stop_b").over(ws.rowsBetween(Window.unboundedPreceding, 0)))
     b = b.join(stops.select("_bucket", "_stop"), "_bucket", "left")
     b = b.withColumn("examined", F.col("_stop").isNull() | (F.col(order) <= F.col("_stop")))
-    return b.drop("_bucket", "_new_upto", "_local_run", "_carry", "_stop")
+    return b.drop("_bucket", "_rn", "_last_new", "_local_run", "_carry", "_stop")
