@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dealflow.llm import (
-    bpe_monoid, chat_grammar, compression_bands, orc_tokens, simhash_bktree, site_template, sos_packing, suffix_levels)
+    bpe_monoid, chat_grammar, compression_bands, learned_partitions, orc_tokens, simhash_bktree, site_template,
+    sos_packing, suffix_levels)
 from dealflow.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_site_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_template.extract(table(spark, sf_dir, "pages"))
 
@@ -55,6 +61,6 @@ def op10_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_site_template, op4_bpe_monoid, op5_orc_tokens, op6_simhash_bktree, op7_sos_packing, op8_chat_grammar, op9_compression_bands, op10_suffix_levels)}
+    op1_learned_partitions, op3_site_template, op4_bpe_monoid, op5_orc_tokens, op6_simhash_bktree, op7_sos_packing, op8_chat_grammar, op9_compression_bands, op10_suffix_levels)}
 
 ORACLES: dict[str, str] = {}
