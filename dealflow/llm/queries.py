@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealflow.llm import (
-    bpe_monoid, chat_grammar, compression_bands, learned_partitions, orc_tokens, simhash_bktree, site_template,
-    sos_packing, suffix_levels)
+    bpe_monoid, chat_grammar, compression_bands, learned_partitions, license_scan, orc_tokens, simhash_bktree,
+    site_template, sos_packing, suffix_levels)
 from dealflow.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,20 @@ def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learned_partitions.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a file of a tree: source, language, a folder of a thousand ids, the id."""
+    docs = table(spark, sf_dir, "documents")
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(".txt"))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")),
+                       F.coalesce(F.expr("doc_id DIV 1000").cast("string"), F.lit("-")), name)
+    return license_scan.scan(docs.select("doc_id", path.alias("path"), "text"), id_col="doc_id")
+
+
+LICENSE_FILES_SQL = """
+SELECT doc_id AS id, concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), coalesce(CAST(doc_id // 1000 AS VARCHAR), '-'),
+                               coalesce(CAST(doc_id AS VARCHAR), '-') || '.txt') AS path, text FROM documents"""
+
+
 def op3_site_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_template.extract(table(spark, sf_dir, "pages"))
 
@@ -61,6 +75,8 @@ def op10_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_learned_partitions, op3_site_template, op4_bpe_monoid, op5_orc_tokens, op6_simhash_bktree, op7_sos_packing, op8_chat_grammar, op9_compression_bands, op10_suffix_levels)}
+    op1_learned_partitions, op2_license_scan, op3_site_template, op4_bpe_monoid, op5_orc_tokens, op6_simhash_bktree, op7_sos_packing, op8_chat_grammar, op9_compression_bands, op10_suffix_levels)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_license_scan": license_scan.oracle_sql(LICENSE_FILES_SQL),
+}
