@@ -44,18 +44,21 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(u, v)`` as ``(node, root)``, root being the smallest node.
 
     Alternates large-star and small-star rounds (O(log n) of them in practice).  Every round is a grouped
-    minimum, combined before its shuffle, and one join on the node, whose skewed side AQE may split.  Each
-    round's edges go to the shared checkpoint folder.  Nodes without an edge are not returned.
+    minimum, combined before its shuffle, and a join on the node.  Minima and edges go to the shared
+    checkpoint folder: a join of a written table has an exchange of its own, so AQE may split a node of many
+    edges, which it can't where the join shares the exchange of the grouping.  Nodes without an edge are not
+    returned.
     """
     shared_folder(edges.sparkSession)
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).checkpoint()
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = large.checkpoint()
+        low = large.groupBy("u").agg(F.min("v").alias("m")).checkpoint()
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v")))
         e = small.where("u <> v").distinct().checkpoint()
