@@ -136,16 +136,16 @@ class MonoidBpe:
         if (pair := self.chunks.get(chunk)) is None:
             if not regular(chunk):
                 raise _Irregular
-            pair = self._chunk(" " + chunk)
+            pair = self._chunk(chunk if chunk[0] == "\n" else " " + chunk)
             if len(self.chunks) < self.limit:
                 self.chunks[chunk] = pair
         return pair
 
     def round_trip(self, text: str) -> tuple[bytes, bytes]:
         """Decimal ids joined by one space, and the bytes decoded from them."""
-        first, *rest = text.split(" ")
+        first, *rest = text.replace("\n", " \n").split(" ")
         try:
-            if not rest or not regular(first):
+            if not rest or not regular(first) or first[0] == "\n":
                 raise _Irregular
             parts = [self._chunk(first), *map(self._known, rest)]
         except _Irregular:

@@ -1,9 +1,10 @@
 """Whole texts to token ids with the tokenizers library, each distinct word-like chunk encoded once per worker.
 
-A boundary between a non-space character and a single space before another non-space one always separates
-pre-tokens (a leading space belongs to what follows it), so a text whose spaces are all of that kind is the
-concatenation of its chunks, each encoded on its own.  A text with any other white space beside a space is
-encoded as a whole.  New chunks of a group of texts go to the library in one call, parted by the vocabulary's
+A boundary between a non-space character and a single space or line feed before another non-space one always
+separates pre-tokens (a leading space belongs to what follows it), so a text whose white space is all of that kind
+is the concatenation of its chunks, each encoded on its own; a text with any other run of white space is encoded
+as a whole.  Letters and a full stop or comma after them are different pre-tokens too, so ``word,`` is composed of
+``word`` and ``,``.  New chunks of a group of texts go to the library in one call, parted by the vocabulary's
 end-of-text token.  The cache only saves time: ids never depend on it, and its size is bounded.
 """
 
@@ -14,13 +15,15 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 1_000_000
 GROUP_CHARS = 1 << 20
 END = "<|endoftext|>"
 
 
 def regular(chunk: str) -> bool:
-    return bool(chunk) and not chunk[0].isspace() and not chunk[-1].isspace()
+    """No white space at either end, but for one line feed before other characters."""
+    bare = chunk.strip()
+    return bool(bare) and (len(bare) == len(chunk) or (len(bare) == len(chunk) - 1 and chunk[0] == "\n"))
 
 
 class TokenCache:
@@ -34,6 +37,7 @@ class TokenCache:
         self.parting = Tokenizer.from_file(path)              # here the end-of-text token parts the chunks
         self.end = self.parting.token_to_id(END)
         self.known: dict[str, bytes] = {}
+        self.marks = {c: self._ids(c) for c in ".,"}
         self.limit = limit
 
     def _ids(self, text: str) -> bytes:
@@ -42,7 +46,7 @@ class TokenCache:
     def _learn(self, chunks: list[str]) -> None:
         for a in range(0, len(chunks), 2048):
             some = chunks[a:a + 2048]
-            text = " " + (END + " ").join(some)
+            text = END.join([c if c[0] == "\n" else " " + c for c in some])
             ids = np.array(self.parting.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.nonzero(ids == self.end)[0]
             raw = ids.tobytes()
@@ -50,24 +54,39 @@ class TokenCache:
             for chunk, p, q in zip(some, begin, [*(4 * cuts).tolist(), len(raw)]):
                 self.known[chunk] = raw[p:q]
 
+    def _compose(self, new: list[str]) -> None:
+        """Learn new regular chunks, a trailing full stop or comma apart."""
+        whole, composed = set(), []
+        for c in new:
+            base = c[:-1]
+            if c[-1] in ".," and (base[1:] if base[:1] == "\n" else base).isalpha():
+                composed.append(c)
+                if base not in self.known:
+                    whole.add(base)
+            else:
+                whole.add(c)
+        self._learn(list(whole))
+        for c in composed:
+            self.known[c] = self.known[c[:-1]] + self.marks[c[-1]]
+
     def _group(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        split = [x.split(" ") for x in texts]
+        known, before = self.known, len(self.known)
+        split = [x.replace("\n", " \n").split(" ") for x in texts]
         new = {c for chunks in split for c in chunks[1:] if c not in known}
-        odd = {c for c in new if not c or len(c.strip()) != len(c)}
+        odd = {c for c in new if not regular(c)}
         special = [c for c in new if "<|" in c or "|>" in c]
         for c in special:
             if c not in odd:
-                known[c] = self._ids(" " + c)
-        self._learn(list(new.difference(odd, special)))
+                known[c] = self._ids(c if c[0] == "\n" else " " + c)
+        self._compose(list(new.difference(odd, special)))
         out = []
         for text, (first, *rest) in zip(texts, split):
-            if not rest or not regular(first) or (odd and not odd.isdisjoint(rest)):
+            if not rest or not regular(first) or first[0] == "\n" or (odd and not odd.isdisjoint(rest)):
                 out.append(self._ids(text))
             else:
                 out.append(b"".join([self._ids(first), *map(known.__getitem__, rest)]))
         if len(known) > self.limit:                            # keep those met first: the common ones
-            for c in new.difference(odd):
+            for c in list(known)[max(before, self.limit):]:
                 del known[c]
         return out
 
