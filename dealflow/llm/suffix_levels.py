@@ -212,8 +212,11 @@ class SuffixIndex:
 
 
 def _several(kinds: DataFrame, core: str) -> DataFrame:
-    """Rows of ``kinds`` whose core has several distinct contexts."""
-    return kinds.join(kinds.groupBy(core).agg(F.count(F.lit(1)).alias("k")).where("k > 1"), core, "left_semi")
+    """Rows of ``kinds`` whose core has several distinct contexts.
+
+    The counted cores are written first: the join then has an exchange of its own, which AQE can split."""
+    counts = kinds.groupBy(core).agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    return kinds.join(stage(counts, f"several-{core}"), core, "left_semi")
 
 
 def _with_owner(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -354,7 +357,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spe
     joined = bytes_.drop("n", "weight").join(
         r, bytes_["id"].eqNullSafe(r["_id"]) & (bytes_["key"] == r["_key"]) & (bytes_["first"] == r["of"]))
     strings = stage(_strings(joined, spec), "strings")
-    twice = strings.groupBy("a", "b").agg(F.sum("weight").alias("w")).where("w > 1")
+    twice = stage(strings.groupBy("a", "b").agg(F.sum("weight").alias("w")).where("w > 1"), "repeated-strings")
     single = strings.where("weight = 1").join(twice, ["a", "b"], "left_semi").select(
         "id", "key", "first", F.col("first").alias("last"))
 
