@@ -255,7 +255,7 @@ def search(vectors: DataFrame, is_query: F.Column, k: int = 20, id_col: str = "v
     index = stage(entries(rows, k + 1), "entries")
     n = index.count()
     sample = index.select("vec", "h1").orderBy(F.xxhash64("h1", "h2")).limit(fit.sample_size).toPandas()
-    x = np.array(sample.sort_values("h1")["vec"].tolist(), np.float64).reshape(len(sample), -1)
+    x = np.array(sample.sort_values("h1")["vec"].tolist(), np.float64).reshape(len(sample), -1 if len(sample) else 0)
     parts = 1 << max(0, int(np.ceil(np.log2(max(1.0, np.sqrt(n) / 8)))))
     router, parts, visits = fit_router(x, parts, k, fit)
 
