@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# URL forms used by the reference.
+from dealflow.functions.text import py_ws
+
+# Fixed value: the path part of archive links.
 ARCHIVE_MARK = "/Archives/edgar/data/"
-VIEWER_URL = "https://www.sec.gov/cgi-bin/viewer?action=view&cik={cik}&accession_number={acc}&xbrl_type=v"
-DOC_URL = "https://www.sec.gov/Archives/edgar/data/{cik}/{acc18}/{acc}.txt"
-CHART_URL = "https://www.tradingview.com/symbols/{ticker}/"
 
 
 def _blank_to_null(c: Column) -> Column:
@@ -117,7 +116,7 @@ def accession_v2(link: Column, entry_id: Column) -> Column:
 
 def ticker_hint(title: Column) -> Column:
     """``(TICK)`` or ``(TICK.A)`` at the end of the title, case-sensitive."""
-    return _blank_to_null(F.regexp_extract(title, r"\(([A-Z]{1,5}(?:[.\-][A-Z]{1,3})?)\)\s*$", 1))
+    return _blank_to_null(F.regexp_extract(title, py_ws(r"\(([A-Z]{1,5}(?:[.\-][A-Z]{1,3})?)\)\s*$"), 1))
 
 
 # ---- diagnostic -----------------------------------------------------------

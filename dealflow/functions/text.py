@@ -32,16 +32,20 @@ def _cls(chars: str) -> str:
 # Java spelling: Unicode White_Space plus the four separators Python adds
 # (U+001C-U+001F).  One property lookup per character.
 WS = r"[\x{1C}-\x{1F}\p{IsWhite_Space}]"
+# the same set inside a class of its own, and with a colon (for ``[:\s]``)
+WS_OR_COLON = r"[:\x{1C}-\x{1F}\p{IsWhite_Space}]"
 WS_NO_NL = r"[\x{1C}-\x{1F}\p{IsWhite_Space}&&[^\n]]"
 NOT_WS = r"[^\x{1C}-\x{1F}\p{IsWhite_Space}]"
 # RE2 spelling of the same sets, for the DuckDB oracle.
 WS_RE2 = _cls(WS_CHARS)
 WS_NO_NL_RE2 = _cls(WS_CHARS.replace("\n", ""))
+WS_OR_COLON_RE2 = "[:" + WS_RE2[1:]
 NOT_WS_RE2 = "[^" + WS_RE2[1:]
 
 
 def py_ws(pattern: str, re2: bool = False) -> str:
-    """Spell Python's Unicode ``\\s`` (outside character classes) explicitly."""
+    """Spell Python's Unicode ``\\s`` and ``[:\\s]`` explicitly (the only class it occurs in)."""
+    pattern = pattern.replace(r"[:\s]", WS_OR_COLON_RE2 if re2 else WS_OR_COLON)
     return pattern.replace(r"\s", WS_RE2 if re2 else WS)
 
 
@@ -69,14 +73,8 @@ def decode_entities(s: pd.Series) -> pd.Series:
     return s.map(lambda v: html.unescape(v) if isinstance(v, str) and "&" in v else v)
 
 
-def strip_markup(raw: Column) -> Column:
-    """Drop comments, doctype, script/style/noscript bodies; every other tag
-    becomes a line break so that each text node starts a new line.  Each
-    step wraps the previous one once (no repeated sub-expressions)."""
-    t = F.regexp_replace(raw, r"(?s)<!--.*?-->", "\n")
-    t = F.regexp_replace(t, r"(?is)<!DOCTYPE[^>]*>", "\n")
-    t = F.regexp_replace(t, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", "\n")
-    return F.regexp_replace(t, r"(?s)<[^>]*>", "\n")
+# A tag starts with ``<`` and a letter, ``/``, ``!`` or ``?``; any other ``<`` is text.
+TAG = r"(?s)<[A-Za-z/!?][^>]*>"
 
 
 def strip_lines(t: Column) -> Column:
@@ -87,24 +85,19 @@ def strip_lines(t: Column) -> Column:
     return F.array_join(F.filter(F.transform(F.split(t, "\n"), lambda x: F.trim(x, ws)), lambda x: x != ""), "\n")
 
 
-def clean_html(raw: Column, decode: bool = True) -> Column:
-    """Text nodes, one stripped non-blank line each, joined by newlines."""
-    t = strip_markup(raw)
-    if decode:
-        t = decode_entities(t)
-    return strip_lines(t)
-
-
 def with_clean_html(df: DataFrame, raw: str, out: str, decode: bool = True) -> DataFrame:
-    """T1 as projections: the comment and doctype passes only run on rows
-    that contain ``<!`` (checked with a plain substring test)."""
+    """Text nodes, one stripped non-blank line each, joined by newlines.
+
+    Comments, doctype and the bodies of script, style and noscript go; every
+    other tag becomes a line break.  The comment and doctype passes only run
+    on rows that contain ``<!`` (checked with a plain substring test)."""
     r = F.col(raw)
     tmp = f"_{out}_m"
     d = df.withColumn(tmp, F.when(r.contains("<!"), F.regexp_replace(
         F.regexp_replace(r, r"(?s)<!--.*?-->", "\n"), r"(?is)<!DOCTYPE[^>]*>", "\n")).otherwise(r))
     t = F.col(tmp)
     t = F.regexp_replace(t, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", "\n")
-    t = F.regexp_replace(t, r"(?s)<[^>]*>", "\n")
+    t = F.regexp_replace(t, TAG, "\n")
     if decode:
         t = decode_entities(t)
     return d.withColumn(out, strip_lines(t)).drop(tmp)
@@ -122,9 +115,9 @@ def cleaning_ratio(raw: Column, clean: Column) -> Column:
 DEFAULT_COMPANY = "Unknown Company"
 
 
-def company_name(doc: Column, head_lines: int = 50) -> Column:
+def company_name(doc: Column, head_lines: int | None = None) -> Column:
     """Text after the last colon of the first ``COMPANY CONFORMED NAME``
-    line within the first ``head_lines`` lines."""
+    line (``head_lines``: only within so many first lines)."""
     hit = F.try_element_at(F.filter(lines(doc, head_lines),
                                     lambda l: F.upper(l).contains("COMPANY CONFORMED NAME")), F.lit(1))
     return F.coalesce(pystrip(F.substring_index(hit, ":", -1)), F.lit(DEFAULT_COMPANY))
@@ -133,7 +126,7 @@ def company_name(doc: Column, head_lines: int = 50) -> Column:
 _ERR = "!ERR"
 
 
-def _ticker_line_v1(l: Column) -> Column:
+def _ticker_line_v1(l: Column, segment: int | None = None) -> Column:
     u = F.upper(l)
     parts = F.split(l, ":")
     has_parts = F.size(parts) > 1
@@ -144,7 +137,7 @@ def _ticker_line_v1(l: Column) -> Column:
     r2 = u.contains("NASDAQ:") | u.contains("NYSE:")
     r3 = u.contains("(NASDAQ:") | u.contains("(NYSE:")
     start = F.when(u.contains("(NASDAQ:"), F.instr(u, "(NASDAQ:")).otherwise(F.instr(u, "(NYSE:"))
-    seg = F.substring(l, start, 20)
+    seg = F.substring(l, start, segment or 2147483647)
     t3 = F.regexp_replace(pystrip(F.substring_index(F.try_element_at(F.split(seg, ":"), F.lit(2)), ")", 1)),
                           r"[,.]", "")
     ok3 = (t3 != "") & (F.length(t3) <= 5)
@@ -163,31 +156,31 @@ def _ticker_line_v1(l: Column) -> Column:
 _V1_TRIGGER = r"(?imd)^.*(?:symbol|nasdaq:|nyse:|company).*$"
 
 
-def ticker_v1_candidate(doc: Column, head_lines: int = 200, compat: bool = True) -> Column:
-    """First rule hit among the head's candidate lines (``!ERR`` marks the
-    reference's abort); finish with ``ticker_v1_final``."""
-    head = F.substring_index(doc, "\n", head_lines)
-    cands = F.regexp_extract_all(head, F.lit(_V1_TRIGGER), 0)
-    found = F.filter(F.transform(cands, _ticker_line_v1),
-                     lambda x: x.isNotNull() if compat else (x.isNotNull() & (x != _ERR)))
-    return F.try_element_at(found, F.lit(1))
-
+# The v1 scanner's bounds, for readings that must equal it.
+V1_TICKER_LINES, V1_TICKER_SEGMENT = 200, 20
 
-def ticker_v1_final(candidate: Column) -> Column:
-    return F.when(candidate != _ERR, candidate)
 
-
-def with_ticker_v1(df: DataFrame, doc: str, out: str, head_lines: int = 200, compat: bool = True) -> DataFrame:
-    """T4: four line rules over the first ``head_lines`` lines, line order
-    first.  A rule-1/2 line whose remainder is empty aborts the document
-    (null) in compat mode; corrected mode skips that line.
+def with_ticker_v1(df: DataFrame, doc: str, out: str | None = None, head_lines: int | None = None,
+                   segment: int | None = None, corrected: str | None = None) -> DataFrame:
+    """T4: four line rules, line order first.  A rule-1/2 line whose remainder
+    is empty aborts the document (null) in the reference's reading (``out``);
+    the ``corrected`` reading skips that line.  ``head_lines`` and ``segment``
+    (characters looked at after an exchange mark) bound it as the reference
+    does; without them whole texts and lines are read.
 
     Only lines holding a rule's trigger word can match, so one regex pass
-    over the head picks those lines (in order) and the rules run on them.
-    Two projections, so the candidate is computed once."""
-    tmp = f"_{out}_cand"
-    return (df.withColumn(tmp, ticker_v1_candidate(F.col(doc), head_lines, compat))
-              .withColumn(out, ticker_v1_final(F.col(tmp))).drop(tmp))
+    picks those lines (in order), the rules run on them once, and both
+    readings are taken from the same hits."""
+    tmp = f"_{out or corrected}_hits"
+    text = F.substring_index(F.col(doc), "\n", head_lines) if head_lines else F.col(doc)
+    cands = F.regexp_extract_all(text, F.lit(_V1_TRIGGER), 0)
+    d = df.withColumn(tmp, F.filter(F.transform(cands, lambda l: _ticker_line_v1(l, segment)), lambda x: x.isNotNull()))
+    first = F.try_element_at(F.col(tmp), F.lit(1))
+    if out:
+        d = d.withColumn(out, F.when(first != _ERR, first))
+    if corrected:
+        d = d.withColumn(corrected, F.try_element_at(F.filter(tmp, lambda x: x != _ERR), F.lit(1)))
+    return d.drop(tmp)
 
 
 _TICK = r"([A-Z]{1,5}(?:[.\-][A-Z]{1,3})?)"
@@ -208,7 +201,7 @@ def ticker_v2(doc: Column, compat: bool = True) -> Column:
     outs = []
     for p in TICKER_PATTERNS_V2:
         rx = "(?i)" + p if compat else _case_sensitive_capture(p)
-        outs.append(F.nullif(F.regexp_extract(doc, rx, 1), F.lit("")))
+        outs.append(F.nullif(F.regexp_extract(doc, py_ws(rx), 1), F.lit("")))
     return F.upper(F.coalesce(*outs))
 
 
@@ -225,9 +218,18 @@ def _case_sensitive_capture(p: str) -> str:
 SECTION_END_V1 = ("item 2.", "item 3.", "item 5.", "item 7.", "item 8.", "item 9.", "signature")
 
 
-def section_v1(doc: Column, max_chars: int = 6000) -> Column:
+def _capped(c: Column, max_chars: int | None) -> Column:
+    return F.substring(c, 1, max_chars) if max_chars else c
+
+
+# The reference's section lengths, for readings that must equal it.
+SECTION_CHARS_V1, SECTION_CHARS_V2 = 6000, 12000
+
+
+def section_v1(doc: Column, max_chars: int | None = None) -> Column:
     """From ``item 1.01`` (else ``item 1.1``) to the earliest end marker
-    found from offset 100, capped; without a start, the first ``max_chars``."""
+    found from offset 100; without a start, the whole text.  ``max_chars``
+    caps either as the reference does."""
     low = F.lower(doc)
     s1 = F.instr(low, "item 1.01")
     start = F.when(s1 > 0, s1).otherwise(F.instr(low, "item 1.1"))
@@ -235,8 +237,7 @@ def section_v1(doc: Column, max_chars: int = 6000) -> Column:
     rl = F.lower(rel)
     ends = [F.when(F.locate(m, rl, 101) > 0, F.locate(m, rl, 101) - 1) for m in SECTION_END_V1]
     end = F.coalesce(F.least(*ends), F.length(rel))
-    cut = F.substring(F.substring(rel, 1, end), 1, max_chars)
-    return F.when(start > 0, cut).otherwise(F.substring(doc, 1, max_chars))
+    return _capped(F.when(start > 0, F.substring(rel, 1, end)).otherwise(doc), max_chars)
 
 
 # v2 start patterns (priority order) and end patterns.
@@ -246,10 +247,11 @@ SECTION_END_V2 = (r"Item\s*[2-9]\.\d+", r"ITEM\s*[2-9]", r"SIGNATURES?",
                   r"Pursuant\s+to\s+the\s+requirements", r"SIGNATURE\s+PAGE")
 
 
-def with_section_v2(df: DataFrame, text: str, out: str, max_chars: int = 12000) -> DataFrame:
+def with_section_v2(df: DataFrame, text: str, out: str, max_chars: int | None = None) -> DataFrame:
     """Start at the first start *pattern* that matches anywhere; end at the
     earliest end-pattern match from start+100 (one alternation finds the
-    leftmost match of any end pattern); strip; cap.
+    leftmost match of any end pattern); strip.  Without a start, the whole
+    text.  ``max_chars`` caps either as the reference does.
 
     Positions are computed in their own projections so that each regex scan
     runs once per row."""
@@ -268,8 +270,8 @@ def with_section_v2(df: DataFrame, text: str, out: str, max_chars: int = 12000)
     d = d.withColumn(f"_{out}_e", F.regexp_instr(F.substring(t, st + 100, 2147483647), F.lit(ends)))
     e = F.col(f"_{out}_e")
     length = F.when(e > 0, e + 99).otherwise(F.length(t) - st + 1)
-    section = F.substring(pystrip(F.substring(t, st, length)), 1, max_chars)
-    d = d.withColumn(out, F.when(st.isNotNull(), section).otherwise(F.substring(t, 1, max_chars)))
+    section = pystrip(F.substring(t, st, length))
+    d = d.withColumn(out, _capped(F.when(st.isNotNull(), section).otherwise(t), max_chars))
     return d.drop(found, f"_{out}_st", f"_{out}_e")
 
 
@@ -308,37 +310,45 @@ _DEAL_KEYWORDS = (("consideration", "price", "value", "amount"), ("consideration
                   ("consideration",), ("valued",), ("cash",), ("offer",))
 
 
-def with_deal_value(df: DataFrame, text: str, out: str, compat: bool = True, patterns=DEAL_VALUE_PATTERNS,
-                    minimum: float = MIN_DEAL_VALUE) -> DataFrame:
+def with_deal_value(df: DataFrame, text: str, out: str | None = None, bounded: str | None = None,
+                    patterns=DEAL_VALUE_PATTERNS, minimum: float = MIN_DEAL_VALUE) -> DataFrame:
     """First pattern whose first match converts to more than ``minimum``.
 
-    Every pattern needs a ``$`` and one of its keywords, so the scan for a
-    pattern only runs on rows that contain both (checked on a lower-cased
-    copy made once).  Per pattern one scan finds the first match (own
-    projection), and its groups are read from that short match."""
-    n = _NUM if compat else _NUM_BOUNDED
-    rxs = ["(?i)" + p.replace("{n}", n) for p in patterns]
+    ``out`` is the reference's reading of the unit, ``bounded`` the corrected
+    one, which needs a word boundary after the unit.  Every pattern needs a
+    ``$`` and one of its keywords, so its scan only runs on rows that contain
+    both (checked on a lower-cased copy made once).  A pattern is scanned once
+    for both readings: its first match is the same in either, and the amount,
+    the unit and the character after it are read from that short match.  The
+    conversions run over the list of matches, in one piece of code."""
     keys = _DEAL_KEYWORDS if patterns is DEAL_VALUE_PATTERNS else tuple(() for _ in patterns)
-    t = F.col(text)
-    low = f"_{out}_low"
+    loose = ["(?i)" + py_ws(p.replace("{n}", _NUM)) for p in patterns]
+    tight = ["(?i)" + py_ws(p.replace("{n}", _NUM_BOUNDED)) for p in patterns]
+    name = out or bounded
+    t, low, hits = F.col(text), f"_{name}_low", f"_{name}_hits"
     d = df.withColumn(low, F.when(t.contains("$"), F.lower(t)))
-    ms = [f"_{out}_m{i}" for i in range(len(rxs))]
+    ms = [f"_{name}_m{i}" for i in range(len(patterns))]
     cols = []
-    for m, rx, ks in zip(ms, rxs, keys):
+    for m, rx, ks in zip(ms, loose, keys):
         has = F.col(low).isNotNull()
         if ks:
             any_kw = F.col(low).contains(ks[0])
             for kw in ks[1:]:
                 any_kw = any_kw | F.col(low).contains(kw)
             has = has & any_kw
-        cols.append(F.when(has, F.regexp_extract(t, rx, 0)).alias(m))
+        cols.append(F.when(has, F.regexp_extract(t, rx + "[A-Za-z0-9_]?", 0)).alias(m))
     d = d.select("*", *cols)
-    vs = [f"_{out}_v{i}" for i in range(len(rxs))]
-    d = d.select("*", *[F.when(F.coalesce(F.col(m), F.lit("")) != "",
-                               to_usd(F.regexp_extract(F.col(m), rx, 1), F.regexp_extract(F.col(m), rx, 2))).alias(v)
-                         for m, rx, v in zip(ms, rxs, vs)])
-    vals = [F.when(F.col(v) > F.lit(float(minimum)), F.col(v)) for v in vs]
-    return d.withColumn(out, F.coalesce(*vals)).drop(low, *ms, *vs)
+    none = F.lit(None).cast("struct<amount:string,unit:string,whole:string>")
+    d = d.withColumn(hits, F.array_compact(F.array(*(
+        F.when(F.coalesce(F.col(m), F.lit("")) != "", F.struct(
+            F.regexp_extract(F.col(m), rx, 1).alias("amount"), F.regexp_extract(F.col(m), rx, 2).alias("unit"),
+            F.regexp_extract(F.col(m), rt, 2).alias("whole"))).otherwise(none)
+        for m, rx, rt in zip(ms, loose, tight)))))
+    for c, unit in ((out, "unit"), (bounded, "whole")):
+        if c:
+            values = F.transform(hits, lambda h: to_usd(h["amount"], h[unit]))
+            d = d.withColumn(c, F.try_element_at(F.filter(values, lambda v: v > F.lit(float(minimum))), F.lit(1)))
+    return d.drop(low, hits, *ms)
 
 
 # --------------------------------------------------------------------------
@@ -416,8 +426,8 @@ MA_EXCLUSIONS = (
 
 def any_pattern(text: Column, patterns) -> Column:
     """One case-insensitive alternation per list (one regex pass per row).
-    ASCII ``\\s`` and ``\\b``, as RE2 in the oracle."""
-    return text.rlike("(?i)(?:" + "|".join(f"(?:{p})" for p in patterns) + ")")
+    ``\\s`` is Python's, ``\\b`` ASCII as in RE2."""
+    return text.rlike("(?i)(?:" + "|".join(f"(?:{py_ws(p)})" for p in patterns) + ")")
 
 
 def keyword_gate(text: Column, strong=MA_KEYWORDS_STRONG, weak=MA_KEYWORDS_WEAK,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from dealflow.functions.identifiers import cik_strip
 from dealflow.functions.numeric import fixed, rnd, truthy
 from dealflow.functions.text import pystrip
+from dealflow.operators.lookup import lookup
 
 
 def _first_truthy(*cols: Column) -> Column:
@@ -33,34 +34,35 @@ def issuer_tickers(issuers: DataFrame) -> DataFrame:
             .agg(F.upper(F.min_by("ticker", "ordinal")).alias("issuer_ticker")))
 
 
-def lookup_issuer(df: DataFrame, issuers: DataFrame, cik: str = "cik") -> DataFrame:
-    dim = issuer_tickers(issuers)
-    return (df.withColumn("_cik", cik_strip(F.col(cik)))
-            .join(dim, "_cik", "left").drop("_cik"))
+def lookup_issuer(df: DataFrame, issuers: DataFrame, cik: str = "cik", by: str = "k", salts: int = 1) -> DataFrame:
+    """Rows without a CIK are spread by the column ``by``."""
+    return lookup(df, issuer_tickers(issuers), [(cik_strip(F.col(cik)), "_cik")], by, salts)
 
 
 # ---- J4 / F3: submissions metadata ---------------------------------------
 
 def item_metadata(df: DataFrame, sub_filings: DataFrame, sub_tickers: DataFrame,
-                  cik: str = "cik", accession: str = "accession") -> DataFrame:
+                  cik: str = "cik", accession: str = "accession", by: str = "feed_rank") -> DataFrame:
     """Ticker of the issuer and the tri-state Item 1.01 flag of the filing.
 
+    Of a listing's or issuer's several rows the first counts (by ``pos``, if
+    there is such a column).  Rows without a key are spread by ``by``.
+
     ``has_item_101`` is null when the accession is not listed or its item
     list is empty, else whether the list contains ``1.01``."""
-    subs = sub_filings.select(cik_strip(F.col("cik")).alias("_s_cik"), F.col("accession").alias("_s_acc"),
-                              F.col("items").alias("meta_items"), F.lit(True).alias("_listed"))
-    subs = subs.dropDuplicates(["_s_cik", "_s_acc"])
-    tk = sub_tickers.select(cik_strip(F.col("cik")).alias("_t_cik"),
-                            F.upper(F.col("first_ticker")).alias("meta_ticker")).dropDuplicates(["_t_cik"])
-    j = (df.withColumn("_cik", cik_strip(F.col(cik)))
-         .join(subs, (F.col("_cik") == F.col("_s_cik")) & (F.col(accession) == F.col("_s_acc")), "left")
-         .join(tk, F.col("_cik") == F.col("_t_cik"), "left")
-         .drop("_s_cik", "_s_acc", "_t_cik"))
+    first = lambda d, col: F.min_by(col, F.col("pos") if "pos" in d.columns else F.col(col))
+    subs = (sub_filings.groupBy(cik_strip(F.col("cik")).alias("_s_cik"), F.col("accession").alias("_s_acc"))
+            .agg(first(sub_filings, "items").alias("meta_items")).withColumn("_listed", F.lit(True)))
+    tk = (sub_tickers.groupBy(cik_strip(F.col("cik")).alias("_t_cik"))
+          .agg(F.upper(first(sub_tickers, "first_ticker")).alias("meta_ticker")))
+    own = cik_strip(F.col(cik))
+    j = lookup(df, subs, [(own, "_s_cik"), (F.col(accession), "_s_acc")], by)
+    j = lookup(j, tk, [(own, "_t_cik")], by)
     has = F.when(F.col("_listed") & (F.coalesce(F.col("meta_items"), F.lit("")) != ""),
                  F.col("meta_items").contains("1.01"))
     return (j.withColumn("has_item_101", has)
             .withColumn("meta_ticker", F.when(F.col(cik).isNotNull(), F.col("meta_ticker")))
-            .drop("_cik", "_listed"))
+            .drop("_listed"))
 
 
 # ---- J9: ticker resolution -------------------------------------------------
@@ -179,7 +181,15 @@ def _snap(market: DataFrame, prefix: str) -> DataFrame:
     return market.select(*[F.col(c).alias(f"{prefix}{c}") for c in SNAP_COLS])
 
 
-def resolve_roles(analysis: DataFrame, market: DataFrame) -> DataFrame:
+def first_snapshot(market: DataFrame, order: str = "custkey") -> DataFrame:
+    """One snapshot per ticker: the first in ``order``."""
+    s = market_snapshot(market).where(F.col("ticker").isNotNull())
+    others = [c for c in s.columns if c != "ticker"]
+    one = s.groupBy("ticker").agg(F.min_by(F.struct(*others), F.col(order)).alias("_s"))
+    return one.select("ticker", *(F.col(f"_s.{c}").alias(c) for c in others))
+
+
+def resolve_roles(analysis: DataFrame, market: DataFrame, by: str = "k") -> DataFrame:
     """Target and acquirer market rows by the filer's role.
 
     acquirer filer: the target row is looked up only for a different,
@@ -187,18 +197,15 @@ def resolve_roles(analysis: DataFrame, market: DataFrame) -> DataFrame:
     target filer: the acquirer row for a different, non-empty ticker with no
     error; unknown: the filer is the target.  Then E6 upside, F10 premium
     validity and E8 cap ratio."""
-    snap = market_snapshot(market).where(F.col("ticker").isNotNull()).dropDuplicates(["ticker"])
-    filer = _snap(snap, "f_")
-    a = analysis.join(filer, analysis.filer_ticker == filer.f_ticker, "left")
+    snap = first_snapshot(market)
+    a = lookup(analysis, _snap(snap, "f_").withColumn("_k", F.col("f_ticker")), [(F.col("filer_ticker"), "_k")], by)
     role = F.col("filer_role")
     ft = F.col("filer_ticker")
     tt, at = F.nullif(F.col("target_ticker"), F.lit("")), F.nullif(F.col("acquirer_ticker"), F.lit(""))
     # counterparty key: target for an acquirer filer, acquirer for a target filer
     cp_key = (F.when((role == "acquirer") & tt.isNotNull() & ~tt.eqNullSafe(ft), tt)
               .when((role == "target") & at.isNotNull() & ~at.eqNullSafe(ft), at))
-    a = a.withColumn("_cp_key", cp_key)
-    cp = _snap(snap, "c_")
-    a = a.join(cp, a._cp_key == cp.c_ticker, "left")
+    a = lookup(a, _snap(snap, "c_").withColumn("_k", F.col("c_ticker")), [(cp_key, "_k")], by)
     cp_ok_t = F.col("c_ticker").isNotNull() & F.col("c_error").isNull() & truthy(F.col("c_cap"))
     cp_ok_a = F.col("c_ticker").isNotNull() & F.col("c_error").isNull()
     filer_present = F.col("f_ticker").isNotNull()

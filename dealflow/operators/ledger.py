@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealflow.session import ensure_checkpoint_dir
+from dealflow.operators.lookup import lookup
 
 
 def drop_without(df: DataFrame, col: str = "accession") -> DataFrame:
@@ -20,14 +20,6 @@ def drop_without(df: DataFrame, col: str = "accession") -> DataFrame:
     return df.where(F.col(col).isNotNull())
 
 
-def merge_feeds(primary: DataFrame, backup: DataFrame, key: str = "accession") -> DataFrame:
-    """J2 + U1 + U2: all primary rows, then backup rows with a key that the
-    primary feed does not have (backup rows without a key are dropped)."""
-    seen = primary.select(key).where(F.col(key).isNotNull())
-    extra = backup.where(F.col(key).isNotNull()).join(seen, key, "left_anti")
-    return primary.unionByName(extra)
-
-
 def not_processed(df: DataFrame, ledger: DataFrame, key: str = "accession") -> DataFrame:
     """Rows whose key is not in the ledger (anti join; the ledger side is
     broadcast by AQE when small at run time, else shuffled)."""
@@ -51,30 +43,48 @@ def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return agg.select(key, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
-def processed_flags(feed: DataFrame, ledger: DataFrame, key: str = "accession",
-                    order: str = "feed_rank") -> DataFrame:
-    """For each keyed row: is it already processed when the scan reaches it?
-    Yes if the key is in the ledger, or an earlier row of this run had it."""
-    first = feed.groupBy(key).agg(F.min(order).alias("_first"))
-    led = ledger.select(key).distinct().withColumn("_in_ledger", F.lit(True))
-    f = feed.join(first, key, "left").join(led, key, "left")
-    return f.withColumn("is_processed", F.coalesce(F.col("_in_ledger"), F.lit(False))
-                        | (F.col(order) > F.col("_first"))).drop("_first", "_in_ledger")
-
-
-def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank",
-               bucket_rows: int = 1 << 20) -> DataFrame:
+def merged_flags(feed: DataFrame, ledger: DataFrame | None = None, key: str = "accession", order: str = "feed_rank",
+                 feed_col: str = "feed", primary: str = "primary", salts: int = 16) -> DataFrame:
+    """J2 + U1 + U2 and J1 in one pass over a frame that holds both feeds' rows.
+
+    Kept are all primary rows, and backup rows with a key that the primary
+    feed does not have.  ``is_processed``: the key is in the ledger, or an
+    earlier kept row of this run had it (null for rows without a key).
+
+    One accession may hold a third of the rows: what the feeds and the ledger
+    know of a key meets in one row (combined before the shuffle), and a key's
+    rows join ``salts`` copies of it in as many partitions."""
+    rank = feed.schema[order].dataType
+    is_primary = F.col(feed_col) == F.lit(primary)
+    state = feed.where(F.col(key).isNotNull()).select(
+        key, F.when(is_primary, F.col(order)).alias("_p"), F.col(order).alias("_a"), F.lit(False).alias("_in"))
+    if ledger is not None:
+        state = state.unionByName(ledger.select(
+            key, F.lit(None).cast(rank).alias("_p"), F.lit(None).cast(rank).alias("_a"), F.lit(True).alias("_in")))
+    state = state.groupBy(F.col(key).alias("_key")).agg(
+        F.min("_p").alias("_p"), F.min("_a").alias("_a"), F.max("_in").alias("_in"))
+    f = lookup(feed, state, [(F.col(key), "_key")], order, salts)
+    f = f.where(is_primary | (F.col(key).isNotNull() & F.col("_p").isNull()))
+    seen = F.col("_in") | (F.col(order) > F.coalesce("_p", "_a"))
+    return f.withColumn("is_processed", seen).drop("_p", "_a", "_in")
+
+
+def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank", bucket_rows: int = 1 << 14,
+               fan_in: int = 1 << 12) -> DataFrame:
     """F9 + W3: run length of consecutive processed rows in feed order, and
     whether the scan still examines the row before it stops at the
     ``threshold``-th consecutive processed row.
 
     A global running count would pull the whole feed into one task.  Instead
     rows go to buckets of at most ``bucket_rows`` consecutive ranks (ranks are
-    unique, so a bucket is bounded), runs are counted inside each bucket, and
-    the carry-in of each bucket comes from a window over the bucket summary
-    (one row per bucket).  All joins are equi-joins on the bucket id.  Rows
-    without a key (``is_processed`` null) neither count nor reset the run and
-    are left out of the result.
+    unique, so a bucket is bounded) and runs are counted inside each bucket.
+    Buckets are summed up in one row each, those in groups of ``fan_in``
+    buckets, and the groups hand back what came before them: no window holds
+    more than ``bucket_rows`` or ``fan_in`` rows for feeds of up to
+    bucket_rows * fan_in^2 ranks (2^38).  All joins are equi-joins, and
+    nothing runs before the result is asked for.  Rows without a key
+    (``is_processed`` null) neither count nor reset the run and are left out
+    of the result.
     """
     keyed = flagged.where(F.col("is_processed").isNotNull())
     b = keyed.withColumn("_bucket", F.floor(F.col(order) / F.lit(bucket_rows)).cast("bigint"))
@@ -86,30 +96,47 @@ def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank"
     b = b.withColumn("_last_new", F.max(F.when(~F.col("is_processed"), F.col("_rn"))).over(upto))
     b = b.withColumn("_local_run", F.when(F.col("is_processed"), F.col("_rn") - F.coalesce(F.col("_last_new"), F.lit(0)))
                      .otherwise(F.lit(0)))
-    # the per-row frame feeds three branches (bucket summary, stops, result):
-    # cut the lineage once with a reliable checkpoint in the shared folder
-    ensure_checkpoint_dir(b.sparkSession)
-    b = b.checkpoint(eager=True)
-    summary = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"),
-                                       F.max("_last_new").isNotNull().alias("_has_new"),
-                                       F.max_by("_local_run", order).alias("_trail"))
-    ws = Window.orderBy("_bucket")                      # one row per bucket
-    before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    summary = (summary
-               .withColumn("_s", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .withColumn("_t", F.col("_s") + F.col("_n")))
-    summary = summary.withColumn(
-        "_carry", F.col("_s") + F.coalesce(
-            F.last(F.when(F.col("_has_new"), F.col("_trail") - F.col("_t")), ignorenulls=True).over(before),
-            F.lit(0)))
-    b = b.join(summary.select("_bucket", "_carry"), "_bucket", "left")
+    # A bucket's first row at the threshold is either one after its first new row, which the bucket knows itself,
+    # or one of its first rows, by the run that enters it: their ranks (at most ``threshold``) are kept.
+    leading = F.col("_last_new").isNull() & (F.col("_rn") <= threshold)
+    summary = b.groupBy("_bucket").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_last_new").isNotNull().alias("_has_new"),
+        F.max_by("_local_run", order).alias("_trail"),
+        F.min(F.when((F.col("_local_run") >= threshold) & F.col("_last_new").isNotNull(), F.col(order))).alias("_own_stop"),
+        F.sort_array(F.collect_list(F.when(leading, F.col(order)))).alias("_leading"))
+    carried = _carried(summary, fan_in)
+    need = F.greatest(F.lit(1), F.lit(threshold) - F.col("_carry")).cast("int")
+    carried = carried.withColumn("_stop_b", F.least(F.col("_own_stop"), F.try_element_at("_leading", need)))
+    stop = carried.agg(F.min("_stop_b")).scalar()
+    b = lookup(b, carried.select(F.col("_bucket").alias("_key"), "_carry"), [(F.col("_bucket"), "_key")], order)
     b = b.withColumn("run_length", F.when(
         F.col("is_processed"),
         F.col("_local_run") + F.when(F.col("_last_new").isNull(), F.col("_carry")).otherwise(F.lit(0)))
         .otherwise(F.lit(0)))
-    stops = b.groupBy("_bucket").agg(
-        F.min(F.when(F.col("run_length") >= threshold, F.col(order))).alias("_stop_b"))
-    stops = stops.withColumn("_stop", F.min("_stop_b").over(ws.rowsBetween(Window.unboundedPreceding, 0)))
-    b = b.join(stops.select("_bucket", "_stop"), "_bucket", "left")
-    b = b.withColumn("examined", F.col("_stop").isNull() | (F.col(order) <= F.col("_stop")))
-    return b.drop("_bucket", "_rn", "_last_new", "_local_run", "_carry", "_stop")
+    b = b.withColumn("examined", F.coalesce(F.col(order) <= stop, F.lit(True)))
+    return b.drop("_bucket", "_rn", "_last_new", "_local_run", "_carry")
+
+
+def _entering(d: DataFrame, group: str) -> DataFrame:
+    """``_enters``: the run entering each row from earlier rows of its group; ``_open``: it reaches the group's begin."""
+    earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    last = F.last(F.when(F.col("_has_new"), F.col("_trail") - F.col("_s") - F.col("_n")), ignorenulls=True).over(earlier)
+    d = d.withColumn("_last", last)
+    return d.withColumn("_open", F.col("_last").isNull()).withColumn(
+        "_enters", F.col("_s") + F.coalesce(F.col("_last"), F.lit(0)))
+
+
+def _carried(summary: DataFrame, fan_in: int) -> DataFrame:
+    """``summary`` with ``_carry``, the run that enters each bucket."""
+    d = summary.withColumn("_group", F.floor(F.col("_bucket") / F.lit(fan_in)).cast("bigint"))
+    d = _entering(d, "_group")
+    # a group ends with its last bucket's run, longer if that bucket holds no new row
+    end = F.col("_trail") + F.when(F.col("_has_new"), F.lit(0)).otherwise(F.col("_enters"))
+    groups = d.groupBy("_group").agg(F.sum("_n").alias("_n"), F.max("_has_new").alias("_has_new"),
+                                     F.max_by(end, F.col("_bucket")).alias("_trail"))
+    groups = groups.withColumnRenamed("_group", "_bucket").withColumn(
+        "_super", F.floor(F.col("_bucket") / F.lit(fan_in)).cast("bigint"))
+    above = _entering(groups, "_super").select(F.col("_bucket").alias("_group"), F.col("_enters").alias("_above"))
+    return d.join(above, "_group").withColumn(
+        "_carry", F.col("_enters") + F.when(F.col("_open"), F.col("_above")).otherwise(F.lit(0)))

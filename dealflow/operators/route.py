@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dealflow.functions.identifiers import alert_key, chart_url
 from dealflow.functions.numeric import truthy
-from dealflow.functions.text import truncate_sentence, verdict_guard
+from dealflow.functions.text import _capped, truncate_sentence, verdict_guard
 from dealflow.functions.timefns import filing_context, iso_seconds, local_time_v2
 
 # Fixed values (reference): priority thresholds and embed colours.
@@ -128,14 +128,33 @@ def history_rows(df: DataFrame) -> DataFrame:
     return out
 
 
-def _bullets(arr: Column, cap: int) -> Column:
-    return F.array_join(F.transform(F.slice(F.coalesce(arr, F.array().cast("array<string>")), 1, cap),
-                                    lambda x: F.concat(F.lit("• "), x)), "\n")
+def acquirer_week_label(chg: Column) -> Column:
+    """How the market took the acquirer's week."""
+    return F.when(chg >= 0, F.lit("market_accepts")).when(chg < 0, F.lit("market_doubts"))
 
 
-def alert_payload(df: DataFrame) -> DataFrame:
-    """R6 + R7 + T13 (v2 layout): title, description lines, field list,
-    colour and chart link; conditional parts are null and skipped."""
+def _bullets(arr: Column, cap: int | None) -> Column:
+    some = F.coalesce(arr, F.array().cast("array<string>"))
+    return F.array_join(F.transform(F.slice(some, 1, cap) if cap else some, lambda x: F.concat(F.lit("• "), x)), "\n")
+
+
+def _tail(condition: Column, *parts: Column) -> Column:
+    """Text that follows only where the condition holds."""
+    return F.when(condition, F.concat(*parts)).otherwise(F.lit(""))
+
+
+# Fixed values (reference): what the v2 payload shows of lists and texts at most.
+V2_CAPS = {"key_points": CAP_KEY_POINTS, "risks": CAP_RISKS, "sympathy": CAP_SYMPATHY, "text": CAP_FIELD_TEXT,
+           "reasoning": CAP_REASONING}
+
+
+def alert_embed(df: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
+    """R6 + R7 (v2 layout) as columns: ``title``, ``description``, ``color``,
+    ``url`` and ``fields``, a list of (name, value, inline); parts whose
+    condition fails are skipped.  ``caps`` bounds lists and texts (none: all
+    is shown)."""
+    caps = caps or {}
+    cap_text = lambda c: truncate_sentence(c, caps["text"]) if "text" in caps else c
     # pieces used more than once get their own projection (smaller generated code)
     df = df.select(
         "*",
@@ -153,12 +172,12 @@ def alert_payload(df: DataFrame) -> DataFrame:
     desc = F.concat_ws(
         "\n",
         F.when(truthy_str(F.col("alert_headline")), F.concat(F.lit("*"), F.col("alert_headline"), F.lit("*"))),
-        F.concat(F.lit("Target: "), target_name,
-                 F.when(truthy_str(F.col("tgt_ticker")), F.concat(F.lit(" ("), F.col("tgt_ticker"), F.lit(")"))),
+        F.concat(F.lit("Target: "), F.coalesce(target_name, F.lit("Unknown")),
+                 _tail(truthy_str(F.col("tgt_ticker")), F.lit(" ("), F.col("tgt_ticker"), F.lit(")")),
                  F.lit(" | Acquirer: "), F.coalesce(F.col("acquirer"), F.lit("Unknown")),
-                 F.when(truthy_str(F.col("acq_ticker")), F.concat(F.lit(" ("), F.col("acq_ticker"), F.lit(")")))),
+                 _tail(truthy_str(F.col("acq_ticker")), F.lit(" ("), F.col("acq_ticker"), F.lit(")"))),
         F.when(dv_ok, F.concat(F.lit("Value: "), dv,
-                               F.when(F.col("deal_value_source") == "regex_confirmed", F.lit(" (confirmed)"))))
+                               _tail(F.col("deal_value_source") == "regex_confirmed", F.lit(" (confirmed)"))))
          .when(truthy(F.col("deal_value_regex")), F.format_string("Value: $%,.0f (regex)", F.col("deal_value_regex"))),
         F.when(truthy(F.col("offer_price_per_share")) & truthy(F.col("tgt_price")),
                F.concat(F.lit("Offer: $"), F.col("offer_price_per_share").cast("string"),
@@ -187,7 +206,7 @@ def alert_payload(df: DataFrame) -> DataFrame:
                                F.concat(F.lit(" ("), F.col("_vol_label"), F.lit(")"))).otherwise(F.lit("")))),
         F.when(F.col("tgt_week_change_pct").isNotNull(),
                F.concat(F.format_string("Week: %+.2f%%", F.col("tgt_week_change_pct")),
-                        F.when(week_move_label(F.col("tgt_week_change_pct")).isNotNull(), F.lit(" (already moved)")))),
+                        _tail(week_move_label(F.col("tgt_week_change_pct")).isNotNull(), F.lit(" (already moved)")))),
         F.when(F.col("_short_label").isNotNull(),
                F.concat(F.format_string("Short: %.1f%% of float (", F.col("tgt_short_percent") * 100),
                         F.col("_short_label"), F.lit(")"))),
@@ -205,23 +224,31 @@ def alert_payload(df: DataFrame) -> DataFrame:
                fld("Acquirer data", F.concat_ws(
                    "\n", F.concat(F.lit("Valuation: "), F.col("acq_cap_formatted")),
                    F.concat(F.lit("Price: $"), F.col("acq_price").cast("string")),
+                   F.when(F.col("acq_week_change_pct").isNotNull(), F.concat(
+                       F.format_string("Week: %+.2f%% (", F.col("acq_week_change_pct")),
+                       acquirer_week_label(F.col("acq_week_change_pct")), F.lit(")"))),
                    F.when(F.col("cap_ratio").isNotNull(),
                           F.format_string("Acquirer/target: %.1fx valuation", F.col("cap_ratio")))), True)),
-        F.when(verdict != "", fld("Analyst view", truncate_sentence(verdict, CAP_FIELD_TEXT), False)),
+        F.when(verdict != "", fld("Analyst view", cap_text(verdict), False)),
         F.when(F.size(F.coalesce(F.col("key_points"), F.array())) > 0,
-               fld("Key points", truncate_sentence(_bullets(F.col("key_points"), CAP_KEY_POINTS), CAP_FIELD_TEXT), False)),
-        F.when(F.size(F.coalesce(F.col("risks"), F.array())) > 0, fld("Risks", _bullets(F.col("risks"), CAP_RISKS), True)),
+               fld("Key points", cap_text(_bullets(F.col("key_points"), caps.get("key_points"))), False)),
+        F.when(F.size(F.coalesce(F.col("risks"), F.array())) > 0, fld("Risks", _bullets(F.col("risks"), caps.get("risks")), True)),
         F.when(F.size(F.coalesce(F.col("sympathy_plays"), F.array())) > 0,
-               fld("Related companies", _bullets(F.col("sympathy_plays"), CAP_SYMPATHY), True)),
+               fld("Related companies", _bullets(F.col("sympathy_plays"), caps.get("sympathy")), True)),
         F.when(F.coalesce(F.col("leak_detected"), F.lit(False)),
-               fld("Leak detected", F.substring(F.coalesce(F.col("reasoning"), F.lit("")), 1, CAP_REASONING), False)),
+               fld("Leak detected", _capped(F.coalesce(F.col("reasoning"), F.lit("")), caps.get("reasoning")), False)),
         fld("Form", F.concat(F.lit("8-K · Item 1.01\n"), F.coalesce(F.col("link"), F.lit("#"))), True),
-        fld("Published (8-K)", local_time_v2(F.col("published_ts")), True)))
+        F.when(F.col("published_ts").isNotNull(), fld("Published (8-K)", local_time_v2(F.col("published_ts")), True))))
     color = F.create_map(*[x for kv in PRIORITY_COLOR.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    embed = F.struct(
-        F.concat(F.col("priority"), F.lit(" M&A - "), F.coalesce(title_tick, target_name)).alias("title"),
-        desc.alias("description"),
-        F.coalesce(color[F.col("priority")], F.lit(0)).alias("color"),
-        fields.alias("fields"),
-        chart_url(title_tick).alias("url"))
-    return df.select("k", "priority", F.to_json(F.struct(F.array(embed).alias("embeds"))).alias("payload"))
+    return df.select(
+        "k", "priority",
+        F.concat(F.col("priority"), F.lit(" M&A - "), F.coalesce(title_tick, target_name, F.lit("Unknown"))).alias("title"),
+        desc.alias("description"), F.coalesce(color[F.col("priority")], F.lit(0)).alias("color"),
+        chart_url(title_tick).alias("url"), fields.alias("fields"))
+
+
+def alert_payload(df: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
+    """The embed as one JSON document per alert, for the sink."""
+    e = alert_embed(df, caps)
+    embed = F.struct("title", "description", "color", "fields", "url")
+    return e.select("k", "priority", F.to_json(F.struct(F.array(embed).alias("embeds"))).alias("payload"))

@@ -31,18 +31,24 @@ def rule_score(section: Column, deal_type: Column, full: Column, structure: Colu
     merger: 5; else 1.  Short interest above ``squeeze_level`` on an
     acquisition adds 1, capped at 10."""
     credit = any_pattern(section, MA_EXCLUSIONS) & ~any_pattern(section, MA_KEYWORDS_STRONG)
+    columns = column_score(deal_type, full, structure, premium, short_percent, squeeze_level)
+    return F.when((columns > 1) & F.coalesce(credit, F.lit(False)), F.lit(1)).otherwise(columns)
+
+
+def column_score(deal_type: Column, full: Column, structure: Column, premium: Column, short_percent: Column,
+                 squeeze_level: float = 0.15) -> Column:
+    """R2 without the credit rule, which can only lower it to 1: where this is 1 the section need not be read."""
     acq = deal_type == F.lit("acquisition")
     squeeze = F.coalesce(short_percent > F.lit(squeeze_level), F.lit(False))
     full_ = F.coalesce(full, F.lit(False))
     prem = premium
-    base = (F.when(F.coalesce(credit, F.lit(False)), F.lit(1))
-            .when(full_ & ((structure == "all-cash") | F.coalesce(prem > 40, F.lit(False)) | (squeeze & acq)),
+    base = (F.when(full_ & ((structure == "all-cash") | F.coalesce(prem > 40, F.lit(False)) | (squeeze & acq)),
                   F.lit(9))
             .when(full_ & (structure.isin("mixed", "all-stock") | F.coalesce(prem.between(20, 40), F.lit(False))),
                   F.lit(7))
             .when((acq & ~full_) | (deal_type == F.lit("merger")), F.lit(5))
             .otherwise(F.lit(1)))
-    bonus = F.when(~F.coalesce(credit, F.lit(False)) & acq & squeeze, F.lit(1)).otherwise(F.lit(0))
+    bonus = F.when(acq & squeeze, F.lit(1)).otherwise(F.lit(0))
     return F.least(base + bonus, F.lit(10))
 
 

@@ -39,13 +39,13 @@ def alerts_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     structure = (F.when(k % 5 == 0, F.lit("all-cash")).when(k % 5 == 1, F.lit("all-stock"))
                  .when(k % 5 == 2, F.lit("mixed")).when(k % 5 == 3, F.lit(""))
                  .otherwise(F.lit(None).cast("string")))
-    return (ev.where((k % 7 == 0) & (F.col("event_type") != F.lit(FX_BENCHMARK)))
+    return (ev.where(F.col("event_type") != F.lit(FX_BENCHMARK))
             .select(k.alias("alert_id"),
                     F.col("event_type").alias("ticker"),
                     F.col("ts").alias("filing_ts"),
                     F.col("value").alias("price_at_filing"),
                     F.when(k % 2 == 0, F.lit("bullish")).otherwise(F.lit("neutral")).alias("direction"),
-                    ((k / 7).cast("bigint") % 12).cast("double").alias("groq_score"),
+                    (k % 12).cast("double").alias("groq_score"),
                     structure.alias("deal_structure"),
                     F.concat_ws("-", F.col("event_type"), fmt_date(F.col("ts"))).alias("id"),
                     filing_context(F.col("ts")).alias("filing_context")))

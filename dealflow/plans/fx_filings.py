@@ -72,10 +72,10 @@ def feed_entries_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     order within the combined scan (primary first)."""
     f = filings_fx(spark, sf_dir)
     cols = ["k", "title", "link", "entry_id", "published_raw", "updated"]
-    prim = f.where("in_primary").select(*cols, F.lit("primary").alias("feed"), F.col("k").alias("feed_rank"))
-    back = f.where("in_backup").select(*cols, F.lit("backup").alias("feed"),
-                                       (F.col("k") + F.lit(FEED_OFFSET)).alias("feed_rank"))
-    return prim.unionByName(back)
+    each = F.filter(F.array(F.when(F.col("in_primary"), F.lit("primary")), F.when(F.col("in_backup"), F.lit("backup"))),
+                    lambda x: x.isNotNull())
+    rank = F.when(F.col("feed") == "backup", F.col("k") + F.lit(FEED_OFFSET)).otherwise(F.col("k"))
+    return f.select(*cols, F.explode(each).alias("feed")).withColumn("feed_rank", rank)
 
 
 def ledger_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +115,9 @@ def names_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def name_quotes_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quotes keyed by a word ticker: the part with the lowest key among
-    ``p_partkey % 7 = 0`` for each first word; price 0 when ``p_size <= 10``."""
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 7 == 0)
+    """Quotes keyed by a word ticker: the part with the lowest key for each
+    first word; price 0 when ``p_size <= 10``."""
+    p = table(spark, sf_dir, "part")
     word = F.upper(F.substring_index(F.col("p_name"), " ", 1))
     first = p.groupBy(word.alias("ticker")).agg(
         F.min_by(F.struct("p_size", "p_retailprice"), F.col("p_partkey")).alias("q"))
@@ -129,7 +129,8 @@ def market_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market snapshots with the reference's raw fields."""
     c = table(spark, sf_dir, "customer").select("c_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    j = c.join(p, (c.c_custkey % 200) == p.p_partkey, "inner")
+    n_part = table(spark, sf_dir, "part").count()          # from the footers
+    j = c.join(p, (c.c_custkey % n_part) + 1 == p.p_partkey, "inner")
     ck = F.col("c_custkey")
     price = F.col("p_retailprice") / 10
     prev = F.col("p_retailprice") / 10 * 0.97
@@ -165,6 +166,7 @@ KEYWORD_SENTENCES = (
     "The parties signed a definitive agreement.",
     "The executive signed an employment agreement at an offer price.",
     "The tender offer is made under an indenture.",
+    "Holders of < 5% of the shares are bound by the merger" + NBSP + "agreement; the test needs > 50%.",
 )
 MONEY_SENTENCES = (
     "The purchase price of approximately ${n} million will be paid at closing.",
@@ -173,6 +175,7 @@ MONEY_SENTENCES = (
     "The business is valued at approximately ${n}.5 bn today.",
     "The offer price of ${n} per share is final.",
     "The purchase price of ${n},000,000 by the buyer is fixed.",
+    "The aggregate" + NBSP + "consideration of $" + NBSP + "{n}" + NBSP + "million is payable.",
 )
 
 
@@ -183,23 +186,30 @@ def _pick(k: Column, modulus: int, options) -> Column:
     return out
 
 
+def with_document(spark: SparkSession, sf_dir: str, filings: DataFrame, name: str) -> DataFrame:
+    """Each filing's document: its number modulo the number of documents (whose ids run from 0), whole text."""
+    docs = table(spark, sf_dir, "documents")
+    n_docs = docs.count()                                            # from the footers
+    d = docs.select("doc_id", F.col("text").alias(name))
+    return filings.join(d, (filings.k % n_docs) == d.doc_id, "left")
+
+
 def filing_docs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw filing document per fixture filing (``k % 29 = 0`` is empty)."""
     f = filings_fx(spark, sf_dir).select("k", "cik", "accession_true", "custkey", "c_name")
-    d = table(spark, sf_dir, "documents").where(F.col("doc_id") < 200).select(
-        "doc_id", F.substring("text", 1, 2000).alias("body"))
-    j = f.join(d, (f.k % 200) == d.doc_id, "left")
+    j = with_document(spark, sf_dir, f, "body")
     k = _k()
     tick = letters(F.col("custkey"))
     n = (k % 900 + 1).cast("string")
-    l3 = _pick(k, 4, [F.concat(F.lit("Trading Symbol: "), tick),
+    l3 = _pick(k, 5, [F.concat(F.lit("Trading Symbol: "), tick),
                       F.concat(F.lit("(NASDAQ: "), tick, F.lit(")")),
-                      F.lit("Trading Symbol:")])
+                      F.lit("Trading Symbol:"),
+                      F.concat(F.lit("Trading" + NBSP + "Symbol:" + NBSP), tick)])
     l4 = _pick(k, 3, [F.lit("Item 1.01 Entry into a Material Definitive Agreement"),
                       F.lit("Item 5.02 Departure of Directors"),
                       F.lit("ITEM" + NBSP + "1.01 Entry")])
-    l5 = _pick(k, 6, [F.lit(s) for s in KEYWORD_SENTENCES])
-    l6 = _pick(k, 7, [F.concat(*[x for part in s.split("{n}") for x in (F.lit(part), n)][:-1])
+    l5 = _pick(k, len(KEYWORD_SENTENCES) + 1, [F.lit(s) for s in KEYWORD_SENTENCES])
+    l6 = _pick(k, len(MONEY_SENTENCES) + 1, [F.concat(*[x for part in s.split("{n}") for x in (F.lit(part), n)][:-1])
                       for s in MONEY_SENTENCES])
     raw = F.concat_ws("\n", F.lit("<SEC-HEADER>"),
                       F.concat(F.lit("COMPANY CONFORMED NAME:   "), F.upper("c_name")),
@@ -210,10 +220,8 @@ def filing_docs_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def analysis_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scorer output per filing (the shape of the model's JSON answer)."""
-    f = filings_fx(spark, sf_dir)
-    d = table(spark, sf_dir, "documents").where(F.col("doc_id") < 200).select(
-        "doc_id", F.substring("text", 1, 1500).alias("vbody"))
-    j = f.join(d, (f.k % 200) == d.doc_id, "left")
+    j = with_document(spark, sf_dir, filings_fx(spark, sf_dir), "vbody")
+    n_cust = table(spark, sf_dir, "customer").count()      # from the footers
     k = _k()
     ck = F.col("custkey")
     filer = F.when(ck % 11 != 0, letters(ck))
@@ -237,9 +245,9 @@ def analysis_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.lit(""))).alias("deal_structure"),
         _pick(k, 4, [F.lit("acquisition"), F.lit("merger"), F.lit("partnership"), F.lit("contract")]).alias("deal_type"),
         (F.when(k % 7 == 0, F.lit(None).cast("string")).when(k % 10 == 0, filer)
-         .otherwise(letters((ck * 31 + 7) % 150))).alias("target_ticker"),
+         .otherwise(letters((ck * 31 + 7) % n_cust + 1))).alias("target_ticker"),
         (F.when(k % 8 == 0, F.lit(None).cast("string")).when(k % 10 == 5, filer)
-         .otherwise(letters((ck * 17 + 3) % 150))).alias("acquirer_ticker"),
+         .otherwise(letters((ck * 17 + 3) % n_cust + 1))).alias("acquirer_ticker"),
         F.when(k % 6 != 0, F.col("o_totalprice") / 1000).alias("offer_price_per_share"),
         F.when(k % 9 != 0, F.col("o_totalprice") * 1000).alias("deal_value_usd"),
         F.when(k % 5 != 0, ((k % 120) - 10).cast("double")).alias("premium_pct"),

@@ -59,12 +59,12 @@ ALERTS_FX = f"""
 alerts_fx AS (
   SELECT event_id AS alert_id, event_type AS ticker, ts AS filing_ts, value AS price_at_filing,
          CASE WHEN event_id % 2 = 0 THEN 'bullish' ELSE 'neutral' END AS direction,
-         CAST((event_id // 7) % 12 AS DOUBLE) AS groq_score,
+         CAST(event_id % 12 AS DOUBLE) AS groq_score,
          CASE event_id % 5 WHEN 0 THEN 'all-cash' WHEN 1 THEN 'all-stock' WHEN 2 THEN 'mixed'
               WHEN 3 THEN '' END AS deal_structure,
          event_type || '-' || strftime(ts, '%Y-%m-%d') AS id,
          {filing_context_sql('ts')} AS filing_context
-  FROM events WHERE event_id % 7 = 0 AND event_type <> '{FX_BENCHMARK}')"""
+  FROM events WHERE event_type <> '{FX_BENCHMARK}')"""
 
 
 def _open_ts(d: str) -> str:

@@ -6,7 +6,7 @@ from dealflow.plans.fx_filings import FEED_OFFSET
 
 
 def letters_sql(n: str) -> str:
-    return f"translate(CAST({n} AS VARCHAR), '0123456789', 'ABCDEFGHIJ')"
+    return f"translate(CAST(({n}) AS VARCHAR), '0123456789', 'ABCDEFGHIJ')"
 
 
 FILINGS_FX = f"""
@@ -90,7 +90,7 @@ name_quotes_fx AS (
   SELECT ticker, CASE WHEN sz > 10 THEN rp / 10 ELSE 0.0 END AS regular_market_price
   FROM (SELECT upper(split_part(p_name, ' ', 1)) AS ticker, arg_min(p_size, p_partkey) AS sz,
                arg_min(p_retailprice, p_partkey) AS rp
-        FROM part WHERE p_partkey % 7 = 0 GROUP BY 1) q)"""
+        FROM part GROUP BY 1) q)"""
 
 MARKET_FX = f"""
 market_fx AS (
@@ -109,7 +109,7 @@ market_fx AS (
          (c_custkey % 101) / 100 AS institutional_pct,
          CAST((c_custkey % 41) - 20 AS DOUBLE) AS week_change_pct,
          CASE WHEN c_custkey % 23 = 0 THEN 'no data' END AS error
-  FROM customer JOIN part ON c_custkey % 200 = p_partkey)"""
+  FROM customer JOIN part ON c_custkey % (SELECT count(*) FROM part) + 1 = p_partkey)"""
 
 
 
@@ -127,19 +127,20 @@ def _filing_docs_sql():
     from dealflow.plans.fx_filings import KEYWORD_SENTENCES, MONEY_SENTENCES, NBSP
     tick = letters_sql("custkey")
     n = "CAST(k % 900 + 1 AS VARCHAR)"
-    l3 = _pick_sql("k", 4, [f"'Trading Symbol: ' || {tick}", f"'(NASDAQ: ' || {tick} || ')'", "'Trading Symbol:'"])
+    l3 = _pick_sql("k", 5, [f"'Trading Symbol: ' || {tick}", f"'(NASDAQ: ' || {tick} || ')'", "'Trading Symbol:'",
+                            f"'Trading{NBSP}Symbol:{NBSP}' || {tick}"])
     l4 = _pick_sql("k", 3, ["'Item 1.01 Entry into a Material Definitive Agreement'",
                             "'Item 5.02 Departure of Directors'", f"'ITEM' || chr({ord(NBSP)}) || '1.01 Entry'"])
-    l5 = _pick_sql("k", 6, [_q(s) for s in KEYWORD_SENTENCES])
-    l6 = _pick_sql("k", 7, [f" || {n} || ".join(_q(p) for p in s.split("{n}")) for s in MONEY_SENTENCES])
+    l5 = _pick_sql("k", len(KEYWORD_SENTENCES) + 1, [_q(s) for s in KEYWORD_SENTENCES])
+    l6 = _pick_sql("k", len(MONEY_SENTENCES) + 1, [f" || {n} || ".join(_q(p) for p in s.split("{n}")) for s in MONEY_SENTENCES])
     return f"""
 filing_docs_fx AS (
   SELECT k, cik, accession_true AS accession,
          CASE WHEN k % 29 = 0 THEN '' ELSE concat_ws(chr(10), '<SEC-HEADER>',
               'COMPANY CONFORMED NAME:   ' || upper(c_name), {l3}, {l4}, {l5}, {l6}, body,
               'Item 9.01 Exhibits', 'SIGNATURES') END AS raw
-  FROM filings_fx f LEFT JOIN (SELECT doc_id, substr(text, 1, 2000) AS body FROM documents WHERE doc_id < 200) d
-    ON f.k % 200 = d.doc_id)"""
+  FROM filings_fx f LEFT JOIN (SELECT doc_id, text AS body FROM documents) d
+    ON f.k % (SELECT count(*) FROM documents) = d.doc_id)"""
 
 
 def _analysis_sql():
@@ -159,15 +160,15 @@ analysis_fx AS (
               WHEN '3-MEDIUM' THEN 'mixed' WHEN '4-NOT SPECIFIED' THEN 'undisclosed' ELSE '' END AS deal_structure,
          {_pick_sql('k', 4, ["'acquisition'", "'merger'", "'partnership'", "'contract'"])} AS deal_type,
          CASE WHEN k % 7 = 0 THEN NULL WHEN k % 10 = 0 THEN {filer}
-              ELSE {letters_sql('(custkey * 31 + 7) % 150')} END AS target_ticker,
+              ELSE {letters_sql('(custkey * 31 + 7) % (SELECT count(*) FROM customer) + 1')} END AS target_ticker,
          CASE WHEN k % 8 = 0 THEN NULL WHEN k % 10 = 5 THEN {filer}
-              ELSE {letters_sql('(custkey * 17 + 3) % 150')} END AS acquirer_ticker,
+              ELSE {letters_sql('(custkey * 17 + 3) % (SELECT count(*) FROM customer) + 1')} END AS acquirer_ticker,
          CASE WHEN k % 6 <> 0 THEN o_totalprice / 1000 END AS offer_price_per_share,
          CASE WHEN k % 9 <> 0 THEN o_totalprice * 1000 END AS deal_value_usd,
          CASE WHEN k % 5 <> 0 THEN CAST((k % 120) - 10 AS DOUBLE) END AS premium_pct,
          CASE WHEN k % 4 <> 3 THEN 'TARGET CO ' || CAST(k AS VARCHAR) END AS target_company,
          'BUYER ' || CAST(k % 97 AS VARCHAR) AS acquirer,
-         {_pick_sql('k', 5, ["'$' || CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR) || 'K'", "'undisclosed'",
+         {_pick_sql('k', 5, ["'$' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || 'K'", "'undisclosed'",
                              "NULL", "''", "'None'"])} AS deal_value,
          CASE WHEN k % 3 = 0 THEN 'regex_confirmed' ELSE 'document_only' END AS deal_value_source,
          {_pick_sql('k', 4, ["'high'", "'medium'", "'low'", "'none'"])} AS short_squeeze_risk,
@@ -178,8 +179,8 @@ analysis_fx AS (
          coalesce(vbody, '') || CASE WHEN k % 11 = 0 THEN ' $5,000' WHEN k % 11 = 1 THEN ' 12.5%' ELSE '' END
            AS analyst_verdict,
          published_raw, title, link
-  FROM filings_fx f LEFT JOIN (SELECT doc_id, substr(text, 1, 1500) AS vbody FROM documents WHERE doc_id < 200) d
-    ON f.k % 200 = d.doc_id)"""
+  FROM filings_fx f LEFT JOIN (SELECT doc_id, text AS vbody FROM documents) d
+    ON f.k % (SELECT count(*) FROM documents) = d.doc_id)"""
 
 
 FILING_DOCS_FX = _filing_docs_sql()

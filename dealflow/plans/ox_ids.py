@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dealflow.functions.text import py_ws
+
 
 def dashed_sql(x: str) -> str:
     return (f"(CASE WHEN regexp_full_match({x}, '[0-9]{{18}}') THEN substr({x}, 1, 10) || '-' || "
@@ -67,7 +69,8 @@ def acc_v2_sql(link: str, eid: str) -> str:
 
 
 def ticker_hint_sql(title: str) -> str:
-    return f"nullif(regexp_extract({title}, '\\(([A-Z]{{1,5}}(?:[.\\-][A-Z]{{1,3}})?)\\)\\s*$', 1), '')"
+    pattern = py_ws(r"\(([A-Z]{1,5}(?:[.\-][A-Z]{1,3})?)\)\s*$", re2=True)
+    return f"nullif(regexp_extract({title}, '{pattern}', 1), '')"
 
 
 def cik_strip_sql(c: str) -> str:

@@ -46,7 +46,7 @@ def clean_html_sql(raw: str) -> str:
     t = f"regexp_replace({t}, '(?is)<!DOCTYPE[^>]*>', chr(10), 'g')"
     for tag in ("script", "style", "noscript"):
         t = f"regexp_replace({t}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', chr(10), 'g')"
-    t = f"regexp_replace({t}, '(?s)<[^>]*>', chr(10), 'g')"
+    t = f"regexp_replace({t}, {q(T.TAG)}, chr(10), 'g')"
     for ent, ch in ORACLE_ENTITIES:
         t = f"replace({t}, {q(ent)}, {q(ch)})"
     return strip_sql(f"regexp_replace({t}, {q(T.WS_NO_NL_RE2 + '*' + chr(92) + 'n' + T.WS_RE2 + '*')}, chr(10), 'g')")
@@ -58,26 +58,30 @@ def regex_pos_sql(text: str, pattern: str) -> str:
             f"THEN length(regexp_extract({text}, {q('(?s)^(.*?)(?:' + pattern + ')')}, 1)) + 1 END)")
 
 
-def section_v2_sql(text: str, max_chars: int = 12000) -> str:
+def _capped_sql(x: str, max_chars: int | None) -> str:
+    return f"substr({x}, 1, {max_chars})" if max_chars else x
+
+
+def section_v2_sql(text: str, max_chars: int | None = T.SECTION_CHARS_V2) -> str:
     starts = [regex_pos_sql(text, "(?i)" + re2(p)) for p in T.SECTION_START_V2]
     start = f"coalesce({', '.join(starts)})"
     tail = f"substr({text}, {start} + 100)"
     ends = "(?i)(?:" + "|".join(re2(p) for p in T.SECTION_END_V2) + ")"
     end = f"({regex_pos_sql(tail, ends)} + 99)"
     length = f"coalesce({end}, length({text}) - {start} + 1)"
-    section = f"substr({strip_sql(f'substr({text}, {start}, {length})')}, 1, {max_chars})"
-    return f"(CASE WHEN {start} IS NOT NULL THEN {section} ELSE substr({text}, 1, {max_chars}) END)"
+    section = strip_sql(f'substr({text}, {start}, {length})')
+    return f"(CASE WHEN {start} IS NOT NULL THEN {_capped_sql(section, max_chars)} ELSE {_capped_sql(text, max_chars)} END)"
 
 
-def section_v1_sql(doc: str, max_chars: int = 6000) -> str:
+def section_v1_sql(doc: str, max_chars: int | None = T.SECTION_CHARS_V1) -> str:
     low = f"lower({doc})"
     start = f"(CASE WHEN instr({low}, 'item 1.01') > 0 THEN instr({low}, 'item 1.01') ELSE instr({low}, 'item 1.1') END)"
     rel = f"substr({doc}, {start})"
     ends = [f"(CASE WHEN instr(substr(lower({rel}), 101), {q(m)}) > 0 THEN instr(substr(lower({rel}), 101), {q(m)}) + 99 END)"
             for m in T.SECTION_END_V1]
     end = f"coalesce(least({', '.join(ends)}), length({rel}))"
-    return (f"(CASE WHEN {start} > 0 THEN substr(substr({rel}, 1, {end}), 1, {max_chars}) "
-            f"ELSE substr({doc}, 1, {max_chars}) END)")
+    return (f"(CASE WHEN {start} > 0 THEN {_capped_sql(f'substr({rel}, 1, {end})', max_chars)} "
+            f"ELSE {_capped_sql(doc, max_chars)} END)")
 
 
 def to_usd_sql(amount: str, unit: str) -> str:
@@ -93,7 +97,7 @@ def deal_value_sql(text: str, compat: bool = True) -> str:
     n = T._NUM if compat else T._NUM_BOUNDED
     vals = []
     for p in T.DEAL_VALUE_PATTERNS:
-        rx = "(?i)" + p.replace("{n}", n)
+        rx = "(?i)" + re2(p.replace("{n}", n))
         v = to_usd_sql(f"regexp_extract({text}, {q(rx)}, 1)", f"regexp_extract({text}, {q(rx)}, 2)")
         vals.append(f"(CASE WHEN regexp_matches({text}, {q(rx)}) AND {v} > {float(T.MIN_DEAL_VALUE)} THEN {v} END)")
     return f"coalesce({', '.join(vals)})"
@@ -113,7 +117,7 @@ def truncate_sql(text: str, max_len: int = 1020) -> str:
 
 
 def any_pattern_sql(text: str, patterns) -> str:
-    return f"regexp_matches({text}, {q('(?i)(?:' + '|'.join(f'(?:{p})' for p in patterns) + ')')})"
+    return f"regexp_matches({text}, {q('(?i)(?:' + '|'.join(f'(?:{re2(p)})' for p in patterns) + ')')})"
 
 
 def keyword_gate_sql(text: str) -> str:
@@ -121,8 +125,9 @@ def keyword_gate_sql(text: str) -> str:
             f"AND {any_pattern_sql(text, T.MA_KEYWORDS_WEAK)}))")
 
 
-def company_sql(doc: str, head: int = 50) -> str:
-    hit = (f"list_filter(string_split({doc}, chr(10))[1:{head}], "
+def company_sql(doc: str, head: int | None = 50) -> str:
+    lines = f"string_split({doc}, chr(10))" + (f"[1:{head}]" if head else "")
+    hit = (f"list_filter({lines}, "
            f"lambda l: contains(upper(l), 'COMPANY CONFORMED NAME'))[1]")
     return f"coalesce({strip_sql(f'string_split({hit}, chr(58))[-1]')}, 'Unknown Company')"
 
@@ -130,7 +135,7 @@ def company_sql(doc: str, head: int = 50) -> str:
 def ticker_v2_sql(doc: str, compat: bool = True) -> str:
     outs = []
     for p in T.TICKER_PATTERNS_V2:
-        rx = "(?i)" + p if compat else T._case_sensitive_capture(p)
+        rx = re2("(?i)" + p if compat else T._case_sensitive_capture(p))
         outs.append(f"nullif(regexp_extract({doc}, {q(rx)}, 1), '')")
     return f"upper(coalesce({', '.join(outs)}))"
 

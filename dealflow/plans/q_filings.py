@@ -10,6 +10,7 @@ from dealflow.functions import identifiers as ids
 from dealflow.functions import text as T
 from dealflow.functions import timefns as tf
 from dealflow.operators import enrich, gates, ledger, route, score
+from dealflow.operators.lookup import lookup
 from dealflow.plans import fx_filings as fxf
 from dealflow.plans import ox_filings as oxf
 from dealflow.plans import ox_ids as oi
@@ -55,13 +56,11 @@ def feed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = feed_ids(spark, sf_dir)
-    return ledger.merge_feeds(f.where(F.col("feed") == "primary"), f.where(F.col("feed") == "backup"))
+    return ledger.merged_flags(feed_ids(spark, sf_dir)).drop("is_processed")
 
 
 def flagged_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = ledger.drop_without(merged_feed(spark, sf_dir))
-    return ledger.processed_flags(m, fxf.ledger_fx(spark, sf_dir))
+    return ledger.merged_flags(feed_ids(spark, sf_dir), fxf.ledger_fx(spark, sf_dir))
 
 
 # ---- identifiers --------------------------------------------------------------
@@ -124,7 +123,7 @@ SELECT accession, k, feed, feed_rank, is_processed, CAST(run_length AS BIGINT) A
 FROM r, (SELECT min(feed_rank) FILTER (WHERE run_length >= 15) AS stop FROM r) s"""))
 def early_stop(spark, sf_dir):
     """Consecutive already-processed run and the examined prefix."""
-    f = flagged_feed(spark, sf_dir).select("accession", "k", "feed", "feed_rank", "is_processed")
+    f = ledger.drop_without(flagged_feed(spark, sf_dir)).select("accession", "k", "feed", "feed_rank", "is_processed")
     return ledger.early_stop(f, 15).select("accession", "k", "feed", "feed_rank", "is_processed",
                                            F.col("run_length").cast("bigint").alias("run_length"), "examined")
 
@@ -173,20 +172,34 @@ def docs_clean(spark, sf_dir):
     return T.with_clean_html(fxf.filing_docs_fx(spark, sf_dir), "raw", "clean")
 
 
+def docs_of(spark, sf_dir, keys: DataFrame) -> DataFrame:
+    """Raw documents of some filings (``k``) only; whatever cleans them runs after this join."""
+    return fxf.filing_docs_fx(spark, sf_dir).join(keys.select("k").distinct(), "k", "left_semi")
+
+
+def with_document_ticker(spark, sf_dir, m: DataFrame) -> DataFrame:
+    """T5 from the documents of rows whose title and metadata give no ticker."""
+    lacks = enrich.resolve_ticker(F.col("ticker_hint"), F.col("meta_ticker"), F.lit(None).cast("string")).isNull()
+    d = T.with_clean_html(docs_of(spark, sf_dir, m.where(lacks)), "raw", "clean")
+    d = d.select("k", T.ticker_v2(F.col("clean")).alias("_doc_ticker"))
+    return m.join(d, "k", "left").withColumn("doc_ticker", F.when(lacks, F.col("_doc_ticker"))).drop("_doc_ticker")
+
+
 DOCS_SQL = f"""
 docs_clean AS (SELECT *, {ot.clean_html_sql('raw')} AS clean FROM filing_docs_fx)"""
 
 
 @register("ticker_resolution", lambda: sql(FEED_SQL, META_SQL, DOCS_SQL, query=f"""
-SELECT m.k, m.feed, m.ticker_hint, m.meta_ticker, {ot.ticker_v2_sql('d.clean')} AS doc_ticker,
+SELECT m.k, m.feed, m.ticker_hint, m.meta_ticker,
+       CASE WHEN coalesce(nullif(m.ticker_hint, ''), nullif(m.meta_ticker, '')) IS NULL
+            THEN {ot.ticker_v2_sql('d.clean')} END AS doc_ticker,
        coalesce(nullif(m.ticker_hint, ''), nullif(m.meta_ticker, ''), nullif({ot.ticker_v2_sql('d.clean')}, ''))
          AS ticker
 FROM meta2 m LEFT JOIN docs_clean d ON m.k = d.k"""))
 def ticker_resolution(spark, sf_dir):
-    """J9 + T5: title hint, then submissions ticker, then the document."""
-    m = meta_frame(spark, sf_dir)
-    d = docs_clean(spark, sf_dir).select("k", T.ticker_v2(F.col("clean")).alias("doc_ticker"))
-    j = m.join(d, "k", "left")
+    """J9 + T5: title hint, then submissions ticker, then the document, which
+    is read only for the filings that have neither."""
+    j = with_document_ticker(spark, sf_dir, meta_frame(spark, sf_dir))
     return j.select("k", "feed", "ticker_hint", "meta_ticker", "doc_ticker",
                     enrich.resolve_ticker(F.col("ticker_hint"), F.col("meta_ticker"), F.col("doc_ticker")).alias("ticker"))
 
@@ -347,10 +360,9 @@ FROM analysis_fx a LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTIT
   ON a.filer_ticker = s.ticker"""))
 def deal_premium(spark, sf_dir):
     """Premium over cap (v1) and implied offer over price (v2)."""
-    s = enrich.market_snapshot(fxf.market_fx(spark, sf_dir)).where(F.col("ticker").isNotNull()) \
-        .dropDuplicates(["ticker"])
-    a = fxf.analysis_fx(spark, sf_dir)
-    j = a.join(s.select("ticker", "cap", "price", "shares_outstanding"), a.filer_ticker == s.ticker, "left")
+    s = enrich.first_snapshot(fxf.market_fx(spark, sf_dir)).select("ticker", "cap", "price", "shares_outstanding")
+    a = fxf.analysis_fx(spark, sf_dir).select("k", "filer_ticker", "deal_value_usd", "is_full_acquisition")
+    j = lookup(a, s, [(F.col("filer_ticker"), "ticker")], "k")
     return enrich.deal_premiums(j).select("k", "implied_offer", "premium_vs_cap", "premium_vs_price")
 
 
@@ -417,8 +429,12 @@ rs2 AS (SELECT k, {_rule_score_sql(ot.section_v2_sql('clean'), 'deal_type', 'is_
 SELECT k, rule_score, {_priority_sql('rule_score')} AS rule_priority FROM rs2"""))
 def rule_score(spark, sf_dir):
     """R2 (+R3): deterministic rubric score of each filing and its priority."""
-    r = roles_frame(spark, sf_dir)
-    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section").select("k", "section")
+    r = roles_frame(spark, sf_dir).select("k", "deal_type", "is_full_acquisition", "deal_structure", "premium_pct",
+                                          "tgt_short_percent")
+    cols = score.column_score(F.col("deal_type"), F.col("is_full_acquisition"), F.col("deal_structure"),
+                              F.col("premium_pct"), F.col("tgt_short_percent"))
+    d = T.with_clean_html(docs_of(spark, sf_dir, r.where(cols > 1)), "raw", "clean")
+    d = T.with_section_v2(d, "clean", "section", T.SECTION_CHARS_V2).select("k", "section")
     j = r.join(d, "k", "left")
     s = score.rule_score(F.col("section"), F.col("deal_type"), F.col("is_full_acquisition"),
                          F.col("deal_structure"), F.col("premium_pct"), F.col("tgt_short_percent"))
@@ -542,29 +558,36 @@ def model_json(spark, sf_dir):
 # ---- whole pipeline: funnel and diagnostics ----------------------------------------------
 
 def funnel_frame(spark, sf_dir):
-    m = merged_feed(spark, sf_dir)
-    flags = flagged_feed(spark, sf_dir).select("feed_rank", "is_processed")
-    meta = enrich.item_metadata(m, fxf.submissions_fx(spark, sf_dir), fxf.sub_tickers_fx(spark, sf_dir))
-    meta = meta.join(flags, "feed_rank", "left")
-    docs = docs_clean(spark, sf_dir).select("k", "raw", T.ticker_v2(F.col("clean")).alias("doc_ticker"))
-    j = meta.join(docs, "k", "left")
+    """Each feed row's outcome.  What columns settle is settled first; documents, market and model answers are
+    joined to the rows that are still open, and a document is cleaned only where its ticker is needed."""
+    meta = enrich.item_metadata(flagged_feed(spark, sf_dir), fxf.submissions_fx(spark, sf_dir), fxf.sub_tickers_fx(spark, sf_dir))
+    early = (F.when(F.col("accession").isNull(), F.lit("no_accession"))
+             .when(F.col("is_processed"), F.lit("already_processed"))
+             .when(F.col("cik").isNotNull() & (F.col("has_item_101") == F.lit(False)), F.lit("no_item_101_meta")))
+    meta = meta.withColumn("_early", early)
+    open_ = F.col("_early").isNull()
+    done = meta.where(~open_).select("feed_rank", F.col("_early").alias("outcome"))
+    rows = meta.where(open_).select("k", "feed_rank", "cik", "accession", "is_processed", "has_item_101", "ticker_hint",
+                                    "meta_ticker")
+    lacks = enrich.resolve_ticker(F.col("ticker_hint"), F.col("meta_ticker"), F.lit(None).cast("string")).isNull()
+    j = rows.join(fxf.filing_docs_fx(spark, sf_dir).select("k", "raw"), "k", "left")
+    # the rows that need a document's ticker give their text to the cleaner; the others an empty one
+    j = T.with_clean_html(j.withColumn("_text", F.when(lacks, F.col("raw")).otherwise(F.lit(""))), "_text", "clean")
+    j = j.withColumn("doc_ticker", F.when(lacks, T.ticker_v2(F.col("clean")))).drop("_text", "clean")
     j = j.withColumn("ticker", enrich.resolve_ticker(F.col("ticker_hint"), F.col("meta_ticker"), F.col("doc_ticker")))
-    snap = enrich.market_snapshot(fxf.market_fx(spark, sf_dir)).where(F.col("ticker").isNotNull()) \
-        .dropDuplicates(["ticker"]).select(F.col("ticker").alias("_t"), "cap", "avg_volume", "price")
-    j = j.join(snap, j.ticker == snap._t, "left")
+    snap = enrich.first_snapshot(fxf.market_fx(spark, sf_dir)).select(
+        F.col("ticker").alias("_t"), "cap", "avg_volume", "price")
+    j = lookup(j, snap, [(F.col("ticker"), "_t")], "feed_rank")
     pm = parsed_models(spark, sf_dir).select("k", "v2_ok", F.col("m.impact_score").alias("model_score"))
     j = j.join(pm, "k", "left")
     raw_ok = F.length(F.coalesce(F.col("raw"), F.lit(""))) > 0
     liq = gates.liquidity_reason(F.col("cap"), F.col("avg_volume"), F.col("price"))
-    outcome = (F.when(F.col("accession").isNull(), F.lit("no_accession"))
-               .when(F.col("is_processed"), F.lit("already_processed"))
-               .when(F.col("cik").isNotNull() & (F.col("has_item_101") == F.lit(False)), F.lit("no_item_101_meta"))
-               .when(~raw_ok, F.lit("empty_document"))
+    outcome = (F.when(~raw_ok, F.lit("empty_document"))
                .when(F.col("has_item_101").isNull() & ~T.has_item_101_v2(F.col("raw")), F.lit("no_item_101_text"))
                .when(F.col("ticker").isNotNull() & (liq != "OK"), F.lit("liquidity"))
                .when(~F.coalesce(F.col("v2_ok"), F.lit(False)), F.lit("score_failed"))
                .otherwise(route.route_outcome(F.col("model_score"))))
-    return j.withColumn("outcome", outcome)
+    return j.select("feed_rank", outcome.alias("outcome")).unionByName(done)
 
 
 @register("scan_funnel", lambda: sql(FEED_SQL, META_SQL, DOCS_SQL, SNAP_SQL, _model_text_sql(), f"""

@@ -1,8 +1,9 @@
 """Registered queries: streaming intake, de-duplication, bars and digest.
 
-Each lands its input (derived from the driver tables) as parquet files in
-a fresh folder under ``spark.checkpoint.dir``, runs the stream with
-``availableNow`` to a parquet sink with a checkpoint, and returns the sink.
+``stream_bars`` streams the events table as it lies; the filing feeds, which
+are derived from several tables, are landed as parquet files first.  Each runs
+its stream with ``availableNow`` to a parquet sink with a checkpoint, in a
+fresh folder under ``spark.checkpoint.dir``, and returns the sink.
 """
 
 from __future__ import annotations
@@ -23,15 +24,19 @@ BAR_DELAY_MIN = 10
 DIGEST_DELAY_H = 1
 
 
-def _run(spark, name, source_df, build):
+def _drained(spark, name, stream):
     ws = S.stream_workspace(spark, name)
-    src, sink, ckpt = (os.path.join(ws, p) for p in ("input", "sink", "checkpoint"))
-    S.land(source_df, src)
-    stream = S.file_stream(spark, src, source_df.schema)
-    S.run_available_now(build(stream), sink, ckpt)
+    sink, ckpt = (os.path.join(ws, p) for p in ("sink", "checkpoint"))
+    S.run_available_now(stream, sink, ckpt)
     return spark.read.parquet(sink)
 
 
+def _run(spark, name, source_df, build):
+    src = os.path.join(S.stream_workspace(spark, name), "input")
+    S.land(source_df, src)
+    return _drained(spark, name, build(S.file_stream(spark, src, source_df.schema)))
+
+
 @register("stream_dedup", lambda: sql(FEED_SQL, query="SELECT DISTINCT accession FROM feed_ids WHERE accession IS NOT NULL"))
 def stream_dedup(spark, sf_dir):
     """ST1 + ST2 + ST3: both feeds landed as files, each accession once."""
@@ -46,10 +51,10 @@ FROM bars_fx
 WHERE ts + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL {BAR_DELAY_MIN} MINUTE""")
 def stream_bars(spark, sf_dir):
     """ST6: minute bars from event ticks with a watermark; closed windows."""
-    ev = table(spark, sf_dir, "events")
+    ev = S.file_stream(spark, f"{sf_dir}/events.parque[t]", table(spark, sf_dir, "events").schema)
     ticks = ev.select(F.col("event_type").alias("ticker"), S.utc_instant(F.col("ts")).alias("ts"),
                       F.col("value").alias("price"), (F.col("user_id") + 1).alias("size"))
-    out = _run(spark, "bars", ticks, lambda s: S.minute_bars_stream(s, f"{BAR_DELAY_MIN} minutes"))
+    out = _drained(spark, "bars", S.minute_bars_stream(ticks, f"{BAR_DELAY_MIN} minutes"))
     return out.select("ticker", ntz_text(F.col("minute")).alias("minute"),
                       "open", "high", "low", "close", "volume")
 

@@ -46,7 +46,7 @@ SELECT k, {ot.section_v1_sql('raw')} AS section, length({ot.section_v1_sql('raw'
 FROM filing_docs_fx"""))
 def section_cut_v1(spark, sf_dir):
     """v1 marker cut of the raw document (6,000 characters, as called)."""
-    d = fxf.filing_docs_fx(spark, sf_dir).withColumn("section", T.section_v1(F.col("raw"), 6000))
+    d = fxf.filing_docs_fx(spark, sf_dir).withColumn("section", T.section_v1(F.col("raw"), T.SECTION_CHARS_V1))
     return d.select("k", "section", F.length("section").cast("bigint").alias("section_len"))
 
 
@@ -55,7 +55,7 @@ SELECT k, {ot.section_v2_sql('clean')} AS section, length({ot.section_v2_sql('cl
 FROM docs_clean"""))
 def section_cut_v2(spark, sf_dir):
     """T1 + T7: v2 pattern cut of the cleaned document (12,000 characters)."""
-    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section")
+    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section", T.SECTION_CHARS_V2)
     return d.select("k", "section", F.length("section").cast("bigint").alias("section_len"))
 
 
@@ -66,9 +66,8 @@ SELECT k, {ot.deal_value_sql('section', True)} AS deal_value_compat,
 FROM sec"""))
 def deal_value(spark, sf_dir):
     """T8 + T9 on the Item 1.01 section: reference reading and bounded unit."""
-    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section").select("k", "section")
-    d = T.with_deal_value(d, "section", "deal_value_compat", compat=True)
-    d = T.with_deal_value(d, "section", "deal_value_fixed", compat=False)
+    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section", T.SECTION_CHARS_V2).select("k", "section")
+    d = T.with_deal_value(d, "section", "deal_value_compat", "deal_value_fixed")
     return d.select("k", "deal_value_compat", "deal_value_fixed")
 
 
@@ -77,11 +76,11 @@ SELECT k, {ot.company_sql('raw')} AS company_raw, {ot.company_sql('clean')} AS c
 def company_name(spark, sf_dir):
     """T3 on the raw (v1) and the cleaned (v2) document."""
     d = docs_clean(spark, sf_dir)
-    return d.select("k", T.company_name(F.col("raw")).alias("company_raw"),
-                    T.company_name(F.col("clean")).alias("company_clean"))
+    return d.select("k", T.company_name(F.col("raw"), 50).alias("company_raw"),
+                    T.company_name(F.col("clean"), 50).alias("company_clean"))
 
 
-def _ticker_v1_line_sql(l: str) -> str:
+def _ticker_v1_line_sql(l: str, segment: int | None = T.V1_TICKER_SEGMENT) -> str:
     u = f"upper({l})"
     parts = f"string_split({l}, ':')"
     has_parts = f"(len({parts}) > 1)"
@@ -92,7 +91,7 @@ def _ticker_v1_line_sql(l: str) -> str:
     r2 = f"(contains({u}, 'NASDAQ:') OR contains({u}, 'NYSE:'))"
     r3 = f"(contains({u}, '(NASDAQ:') OR contains({u}, '(NYSE:'))"
     start = f"(CASE WHEN contains({u}, '(NASDAQ:') THEN instr({u}, '(NASDAQ:') ELSE instr({u}, '(NYSE:') END)"
-    seg = f"substr({l}, {start}, 20)"
+    seg = f"substr({l}, {start}, {segment})" if segment else f"substr({l}, {start})"
     t3 = f"regexp_replace({ot.strip_sql(f'split_part(string_split({seg}, chr(58))[2], chr(41), 1)')}, '[,.]', '', 'g')"
     ok3 = f"({t3} <> '' AND length({t3}) <= 5)"
     pot = ot.strip_sql(f"split_part(string_split({l}, '(')[-1], ')', 1)")
@@ -105,9 +104,11 @@ def _ticker_v1_line_sql(l: str) -> str:
             f"WHEN {r3} AND {ok3} THEN upper({t3}) WHEN {r4} AND {ok4} THEN upper({pot}) END")
 
 
-def _ticker_v1_sql(doc: str, compat: bool) -> str:
+def _ticker_v1_sql(doc: str, compat: bool, head: int | None = T.V1_TICKER_LINES,
+                   segment: int | None = T.V1_TICKER_SEGMENT) -> str:
+    lines = f"string_split({doc}, chr(10))" + (f"[1:{head}]" if head else "")
     keep = "x IS NOT NULL" if compat else "x IS NOT NULL AND x <> '!ERR'"
-    first = (f"list_filter(list_transform(string_split({doc}, chr(10))[1:200], lambda l: {_ticker_v1_line_sql('l')}), "
+    first = (f"list_filter(list_transform({lines}, lambda l: {_ticker_v1_line_sql('l', segment)}), "
              f"lambda x: {keep})[1]")
     return f"(CASE WHEN {first} <> '!ERR' THEN {first} END)"
 
@@ -118,11 +119,27 @@ FROM filing_docs_fx"""))
 def ticker_v1(spark, sf_dir):
     """T4: the v1 line rules over the first 200 lines of the raw document."""
     d = fxf.filing_docs_fx(spark, sf_dir)
-    d = T.with_ticker_v1(d, "raw", "ticker_compat", compat=True)
-    d = T.with_ticker_v1(d, "raw", "ticker_fixed", compat=False)
+    d = T.with_ticker_v1(d, "raw", "ticker_compat", T.V1_TICKER_LINES, T.V1_TICKER_SEGMENT, corrected="ticker_fixed")
     return d.select("k", "ticker_compat", "ticker_fixed")
 
 
+@register("document_facts_whole", lambda: sql(DOCS_SQL, f"""
+whole AS (SELECT k, raw, clean, {ot.section_v1_sql('raw', None)} AS s1, {ot.section_v2_sql('clean', None)} AS s2
+          FROM docs_clean)""", query=f"""
+SELECT k, length(s1) AS section_v1_len, length(s2) AS section_v2_len, {ot.deal_value_sql('s2', True)} AS deal_value_compat,
+       {ot.deal_value_sql('s2', False)} AS deal_value_fixed, {ot.company_sql('clean', None)} AS company,
+       {_ticker_v1_sql('raw', True, None, None)} AS ticker_compat, {_ticker_v1_sql('raw', False, None, None)} AS ticker_fixed
+FROM whole"""))
+def document_facts_whole(spark, sf_dir):
+    """T3, T4, T6, T7, T8 without the reference's bounds: every line and character of a document is read."""
+    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "s2")
+    d = T.with_deal_value(d, "s2", "deal_value_compat", "deal_value_fixed")
+    d = T.with_ticker_v1(d, "raw", "ticker_compat", corrected="ticker_fixed")
+    return d.select("k", F.length(T.section_v1(F.col("raw"))).cast("bigint").alias("section_v1_len"),
+                    F.length("s2").cast("bigint").alias("section_v2_len"), "deal_value_compat", "deal_value_fixed",
+                    T.company_name(F.col("clean")).alias("company"), "ticker_compat", "ticker_fixed")
+
+
 @register("clean_html", lambda: f"""
 WITH c AS (SELECT page_id, html, {ot.clean_html_sql('html')} AS clean FROM pages)
 SELECT page_id, clean, length(clean) AS clean_len,

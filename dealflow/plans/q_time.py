@@ -10,7 +10,10 @@ from dealflow.operators.bars import daily_bars
 from dealflow.plans import fixtures as fx
 from dealflow.plans import fx_filings as fxf
 from dealflow.plans import oracle as osql
-from dealflow.plans.q_filings import docs_clean, routed_frame, sql
+from dealflow.plans import ox_ids as oi
+from dealflow.plans import ox_text as ot
+from dealflow.plans.q_filings import (ALERT_SIGNAL_SQL, DOCS_SQL, ROLES_SQL, SNAP_SQL, _label_sql, _priority_sql, docs_of,
+                                      routed_frame, sql)
 from dealflow.plans.registry import register
 from dealflow.functions import text as T
 
@@ -74,12 +77,87 @@ def local_time(spark, sf_dir):
                     tf.local_time_iana(ts).alias("local_iana"))
 
 
-@register("alert_payload")
+def _alert_payload_sql() -> str:
+    """Twin of ``route.alert_embed`` under the reference's caps; names and values of the fields as one string each."""
+    tr = lambda c: f"({c} IS NOT NULL AND {c} <> 0)"
+    has = lambda c: f"({c} IS NOT NULL AND {c} <> '')"
+    bullets = lambda c, n: f"array_to_string(list_transform({c}[1:{n}], lambda x: '• ' || x), chr(10))"
+    paren = lambda c: f"(CASE WHEN {has(c)} THEN ' (' || {c} || ')' ELSE '' END)"
+    desc = f"""concat_ws(chr(10),
+      CASE WHEN {has('alert_headline')} THEN '*' || alert_headline || '*' END,
+      'Target: ' || coalesce(target_name, 'Unknown') || {paren('tgt_ticker')} || ' | Acquirer: '
+        || coalesce(acquirer, 'Unknown') || {paren('acq_ticker')},
+      CASE WHEN dv_ok THEN 'Value: ' || dv || (CASE WHEN deal_value_source = 'regex_confirmed' THEN ' (confirmed)' ELSE '' END)
+           WHEN {tr('deal_value_regex')} THEN 'Value: $' || format('{{:,}}', CAST(round(deal_value_regex) AS BIGINT)) || ' (regex)' END,
+      CASE WHEN {tr('offer_price_per_share')} AND {tr('tgt_price')}
+           THEN 'Offer: $' || CAST(offer_price_per_share AS VARCHAR) || ' | Price: $' || CAST(tgt_price AS VARCHAR) END,
+      CASE WHEN premium_pct_checked IS NOT NULL THEN printf('Premium: +%.1f%%', premium_pct_checked) END,
+      CASE WHEN upside_pct IS NOT NULL THEN printf('Upside to offer: %+.1f%%', upside_pct) END,
+      CASE WHEN short_squeeze_risk IN ('high', 'medium') THEN printf('Short squeeze: %s (%.1f%% of float)',
+           upper(short_squeeze_risk), coalesce(tgt_short_percent, 0.0) * 100) END,
+      'Signal: ' || ({ALERT_SIGNAL_SQL}),
+      'Score ' || coalesce(CAST(impact_score AS VARCHAR), '0') || '/10 | Confidence ' || coalesce(CAST(confidence AS VARCHAR), '0')
+        || '/10 | ' || coalesce(nullif(deal_structure, ''), 'N/A'))"""
+    target = f"""concat_ws(chr(10), 'Valuation: ' || tgt_cap_formatted,
+      CASE WHEN {tr('tgt_price')} THEN 'Price: $' || CAST(tgt_price AS VARCHAR) END,
+      CASE WHEN tgt_volume_spike > 1.5 THEN printf('Volume: %.1fx avg', tgt_volume_spike)
+           || (CASE WHEN volume_label IS NOT NULL THEN ' (' || volume_label || ')' ELSE '' END) END,
+      CASE WHEN tgt_week_change_pct IS NOT NULL THEN printf('Week: %+.2f%%', tgt_week_change_pct)
+           || (CASE WHEN week_label IS NOT NULL THEN ' (already moved)' ELSE '' END) END,
+      CASE WHEN short_label IS NOT NULL THEN printf('Short: %.1f%% of float (', tgt_short_percent * 100) || short_label || ')' END,
+      CASE WHEN institutions_label IS NOT NULL
+           THEN printf('Institutions: %.0f%% (', tgt_institutional_pct * 100) || institutions_label || ')' END)"""
+    acquirer = f"""concat_ws(chr(10), 'Valuation: ' || acq_cap_formatted, 'Price: $' || CAST(acq_price AS VARCHAR),
+      CASE WHEN acq_week_change_pct IS NOT NULL THEN printf('Week: %+.2f%% (', acq_week_change_pct)
+           || (CASE WHEN acq_week_change_pct >= 0 THEN 'market_accepts' ELSE 'market_doubts' END) || ')' END,
+      CASE WHEN cap_ratio IS NOT NULL THEN printf('Acquirer/target: %.1fx valuation', cap_ratio) END)"""
+    private = """'Company: ' || target_company || chr(10) || 'Private company, not listed'
+      || (CASE WHEN dv_ok THEN chr(10) || 'Value: ' || dv ELSE '' END)"""
+    fields = [
+        ("Target data", f"CASE WHEN tgt_ticker IS NOT NULL AND tgt_error IS NULL THEN {target} "
+                        f"WHEN {has('target_company')} THEN {private} END"),
+        ("Acquirer data", f"CASE WHEN acq_ticker IS NOT NULL AND acq_error IS NULL AND {tr('acq_price')} THEN {acquirer} END"),
+        ("Analyst view", f"CASE WHEN verdict <> '' THEN {ot.truncate_sql('verdict', route.CAP_FIELD_TEXT)} END"),
+        ("Key points", f"CASE WHEN len(key_points) > 0 THEN "
+                       f"{ot.truncate_sql('(' + bullets('key_points', route.CAP_KEY_POINTS) + ')', route.CAP_FIELD_TEXT)} END"),
+        ("Risks", f"CASE WHEN len(risks) > 0 THEN {bullets('risks', route.CAP_RISKS)} END"),
+        ("Related companies", f"CASE WHEN len(sympathy_plays) > 0 THEN {bullets('sympathy_plays', route.CAP_SYMPATHY)} END"),
+        ("Leak detected", f"CASE WHEN leak_detected THEN substr(reasoning, 1, {route.CAP_REASONING}) END"),
+        ("Form", "'8-K · Item 1.01' || chr(10) || coalesce(link, '#')"),
+        ("Published (8-K)", _local_v2_sql("published_ts"))]
+    names = ", ".join(f"CASE WHEN f{i} IS NOT NULL THEN '{n}' END" for i, (n, _) in enumerate(fields))
+    values = ", ".join(f"f{i}" for i in range(len(fields)))
+    colors = " ".join(f"WHEN '{p}' THEN {c}" for p, c in route.PRIORITY_COLOR.items())
+    verdict = ot.strip_sql("coalesce(analyst_verdict, '')")
+    return sql(SNAP_SQL, ROLES_SQL, DOCS_SQL, f"""
+facts AS (SELECT k, {ot.company_sql('clean')} AS company, {ot.section_v2_sql('clean')} AS section FROM docs_clean)""", f"""
+p0 AS (SELECT r.*, d.company, {ot.deal_value_sql('d.section', True)} AS deal_value_regex,
+              {oi.parse_published_sql('published_raw')} AS published_ts, {_priority_sql('impact_score')} AS priority
+       FROM roles2 r LEFT JOIN facts d ON r.k = d.k)""", f"""
+p1 AS (SELECT *, coalesce(nullif(tgt_ticker, ''), nullif(target_ticker, ''), nullif(acq_ticker, '')) AS title_tick,
+              coalesce(nullif(target_company, ''), company) AS target_name, trim(coalesce(deal_value, '')) AS dv,
+              trim(coalesce(deal_value, '')) <> '' AND lower(trim(coalesce(deal_value, ''))) NOT IN ('null', 'undisclosed', 'none') AS dv_ok,
+              CASE WHEN regexp_matches({verdict}, {ot.q(ot.re2_guard())}) THEN '' ELSE {verdict} END AS verdict,
+              {_label_sql('tgt_volume_spike', 'tgt_short_percent', 'tgt_institutional_pct', 'tgt_week_change_pct')}
+       FROM p0 WHERE priority IS NOT NULL)""", f"""
+p2 AS (SELECT *, {', '.join(f'({v}) AS f{i}' for i, (_, v) in enumerate(fields))} FROM p1)""", query=f"""
+SELECT k, priority, priority || ' M&A - ' || coalesce(title_tick, target_name, 'Unknown') AS title, {desc} AS description,
+       CASE priority {colors} ELSE 0 END AS color,
+       CASE WHEN title_tick IS NOT NULL THEN 'https://www.tradingview.com/symbols/' || title_tick || '/' END AS url,
+       concat_ws('|', {names}) AS field_names, concat_ws(' ## ', {values}) AS field_values
+FROM p2""")
+
+
+@register("alert_payload", _alert_payload_sql)
 def alert_payload(spark, sf_dir):
-    """One JSON payload per routed alert (rows-only check:
-    the payload is display text)."""
+    """R6, R7, E9, S11 (v2 layout, the reference's caps): title, text, colour, link and fields of each routed
+    alert.  Only routed filings' documents are cleaned."""
     r = gates.routed(routed_frame(spark, sf_dir))
-    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section")
+    d = T.with_clean_html(docs_of(spark, sf_dir, r), "raw", "clean")
+    d = T.with_section_v2(d, "clean", "section", T.SECTION_CHARS_V2)
     d = T.with_deal_value(d, "section", "deal_value_regex").select(
-        "k", T.company_name(F.col("clean")).alias("company"), "deal_value_regex")
-    return route.alert_payload(r.join(d, "k", "left"))
+        "k", T.company_name(F.col("clean"), 50).alias("company"), "deal_value_regex")
+    e = route.alert_embed(r.join(d, "k", "left"), route.V2_CAPS)
+    joined = lambda part, sep: F.array_join(F.transform("fields", lambda f: f[part]), sep)
+    return e.select("k", "priority", "title", "description", "color", "url", joined("name", "|").alias("field_names"),
+                    joined("value", " ## ").alias("field_values"))

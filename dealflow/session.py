@@ -2,8 +2,8 @@
 
 The library never creates its own cluster settings inside operators; this
 module only serves scripts, tests and the benchmark.  On a cluster the
-session comes from the platform and ``checkpoint_dir`` reads the shared
-folder named by ``spark.checkpoint.dir``.
+session comes from the platform and ``ensure_checkpoint_dir`` reads the
+shared folder named by ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -37,18 +37,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset.
+    """The shared folder that ``spark.checkpoint.dir`` names.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Tests and local runs without it get a fresh temp folder.
+    Only a session on this machine alone (master ``local[..]``) may go
+    without: it gets a fresh temporary folder.  On a cluster, executors and
+    driver share no such folder, so an unset one is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver share")
         current = tempfile.mkdtemp(prefix="dealflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(current)
     return current
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    return ensure_checkpoint_dir(spark)

@@ -7,12 +7,13 @@ fixed schemas so nothing is inferred at scale.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DoubleType, LongType, MapType, StringType,
+from pyspark.sql.types import (ArrayType, DateType, DoubleType, LongType, MapType, StringType,
                                StructField, StructType, TimestampNTZType)
 
 from dealflow.functions.timefns import parse_published
+from dealflow.operators.ledger import latest_per_key
 
 # ---- S1 / S2: Atom feed ------------------------------------------------------
 
@@ -26,17 +27,33 @@ ATOM_ENTRY = StructType([
 ])
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """``feed_rank``: files in the order of their names, entries in the order of their file.
+
+    A file may be read in blocks by several tasks.  Rows are counted per block,
+    and the two windows run over one row per block, not per entry."""
+    block = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_least"))
+    block = (block.withColumn("_no", F.dense_rank().over(Window.orderBy("_file")))
+             .withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("_file").orderBy("_block").rowsBetween(
+                 Window.unboundedPreceding, -1)), F.lit(0))))
+    rank = F.col("_no") * F.lit(1 << 32) + F.col("_before") + F.col("_mid") - F.col("_least")
+    return rows.join(block, ["_file", "_block"]).withColumn("feed_rank", rank).drop(
+        "_file", "_block", "_mid", "_n", "_least", "_no", "_before")
+
+
 def read_feed(spark: SparkSession, path: str, feed: str = "primary") -> DataFrame:
     """Atom ``entry`` rows (built-in XML reader; the default namespace is
     dropped, the link's ``href`` attribute becomes ``link._href``).  Malformed
     entries are kept with ``_corrupt_record`` set (PERMISSIVE), as the second
-    scanner's tolerant parser keeps going."""
+    scanner's tolerant parser keeps going.  Name landed files so that their
+    order is that of landing: ``feed_rank`` follows names, then places."""
     df = (spark.read.format("xml").option("rowTag", "entry").option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").schema(ATOM_ENTRY).load(path))
-    return df.select("title", F.col("link._href").alias("link"), F.coalesce("id", F.lit("")).alias("entry_id"),
+    return _ranked(df.select("title", F.col("link._href").alias("link"), F.coalesce("id", F.lit("")).alias("entry_id"),
                      F.coalesce("published", F.col("updated")).alias("published_raw"), "updated",
                      "_corrupt_record", F.lit(feed).alias("feed"),
-                     F.monotonically_increasing_id().alias("feed_rank"))
+                     F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_mid")))
 
 
 # ---- S3: documents -----------------------------------------------------------
@@ -96,7 +113,8 @@ MARKET = StructType([StructField(n, t) for n, t in [
     ("short_percent", DoubleType()), ("pe_ratio", DoubleType()), ("beta", DoubleType()),
     ("fifty_two_week_high", DoubleType()), ("fifty_two_week_low", DoubleType()),
     ("institutional_pct", DoubleType()), ("analyst_target", DoubleType()),
-    ("recommendation", StringType()), ("week_change_pct", DoubleType()), ("error", StringType())]])
+    ("recommendation", StringType()), ("forward_pe", DoubleType()), ("price_to_book", DoubleType()),
+    ("enterprise_value", DoubleType()), ("insider_pct", DoubleType()), ("analyst_count", DoubleType()), ("week_change_pct", DoubleType()), ("error", StringType())]])
 
 
 def read_market(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -113,13 +131,27 @@ def read_bars(spark: SparkSession, path: str) -> DataFrame:
     """Minute bars, UTC wall clock.  Written partitioned by
     ``session_date`` (``write_bars``), a date filter prunes partitions and
     the alert keys prune them dynamically."""
-    return spark.read.parquet(path)
+    return spark.read.schema(StructType([*BARS.fields, StructField("session_date", DateType())])).parquet(path)
+
+
+DAILY = StructType([StructField("ticker", StringType()), StructField("d", DateType()), *BARS.fields[2:]])
+
+
+def read_daily_bars(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Landed daily bars, one row per ticker and day."""
+    return spark.read.schema(DAILY).format(fmt).load(path)
+
+
+def bars_to_utc(bars: DataFrame, zone: str, ts: str = "ts") -> DataFrame:
+    """Landed bars whose times are wall clock of ``zone`` as UTC wall clock."""
+    return bars.withColumn(ts, F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col(ts)))
 
 
 def write_bars(bars: DataFrame, path: str, mode: str = "append") -> None:
-    """Partition by date and cluster by ticker inside each file."""
+    """Partition by date, cluster by ticker and time.  A day's bars go to as
+    many tasks as their share of the rows, not to one."""
     (bars.withColumn("session_date", F.to_date("ts"))
-         .repartition("session_date").sortWithinPartitions("ticker", "ts")
+         .repartitionByRange("session_date", "ticker", "ts").sortWithinPartitions("session_date", "ticker", "ts")
          .write.mode(mode).partitionBy("session_date").parquet(path))
 
 
@@ -142,6 +174,11 @@ def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def read_log(spark: SparkSession, path: str, key: str = "id", order: str = "feed_rank") -> DataFrame:
+    """The latest row of each id of an appended log."""
+    return latest_per_key(spark.read.parquet(path), key, order)
+
+
 # ---- S11 / S12: alert and report sinks ---------------------------------------------
 
 def write_alerts(payloads: DataFrame, path: str) -> None:
@@ -160,5 +197,6 @@ def feed_with_times(feed: DataFrame) -> DataFrame:
 
 
 __all__ = ["read_feed", "read_documents", "read_issuer_map", "read_submissions", "read_market", "read_bars",
+           "read_daily_bars", "bars_to_utc", "read_log",
            "write_bars", "append_ledger", "read_ledger", "append_log", "write_alerts", "write_report",
            "feed_with_times"]

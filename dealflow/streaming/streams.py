@@ -79,16 +79,22 @@ def daily_digest_stream(filings: DataFrame, delay: str = "1 hour", ts: str = "ev
 
 
 def run_available_now(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append",
-                      timeout_s: int = 600) -> None:
+                      timeout_s: float | None = None) -> None:
     """ST1/ST3: process everything available, commit per micro-batch to the
-    checkpoint, then stop.  A rerun resumes from the checkpoint."""
+    checkpoint, then stop.  A rerun resumes from the checkpoint.
+
+    Without ``timeout_s`` it waits until all is processed.  With it, a run
+    that isn't done by then is stopped and raises ``TimeoutError``: the sink
+    holds the committed batches only, and a rerun goes on from them."""
     q = (stream.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).outputMode(mode)
          .trigger(availableNow=True).start())
     try:
-        q.awaitTermination(timeout_s)
+        done = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     finally:
         if q.isActive:
             q.stop()
     if q.exception() is not None:
         raise q.exception()
+    if timeout_s and not done:
+        raise TimeoutError(f"the stream to {sink} was not finished after {timeout_s} s")

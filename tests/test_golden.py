@@ -20,6 +20,10 @@ def via(spark, fn, value, **kw):
     return fn(spark.createDataFrame([(value,)], "x string"), "x", "r", **kw).first().r
 
 
+def bounded(spark, value):
+    return T.with_deal_value(spark.createDataFrame([(value,)], "x string"), "x", bounded="r").first().r
+
+
 def col():
     return F.col("x")
 
@@ -103,7 +107,7 @@ def test_clean_html_entities_and_scripts(spark):
     html = ('<!DOCTYPE html><html><head><meta charset="utf-8"><style>p{}</style><script>var a="</p>";</script>'
             '</head><body><p>Hello &amp; world</p><!-- c --><p>  A&nbsp;</p><noscript>x</noscript>'
             '<p>x&#8212;y &lt;b&gt;</p></body></html>')
-    assert one(spark, T.clean_html(col()), html) == "Hello & world\nA\nx—y <b>"
+    assert via(spark, T.with_clean_html, html) == "Hello & world\nA\nx—y <b>"
 
 
 def test_company_name_takes_last_colon(spark):
@@ -114,8 +118,9 @@ def test_company_name_takes_last_colon(spark):
 
 def test_ticker_v1_empty_remainder_aborts_in_compat(spark):
     doc = "Trading Symbol:\nACME COMPANY INC (ACME)"
-    assert via(spark, T.with_ticker_v1, doc, compat=True) is None
-    assert via(spark, T.with_ticker_v1, doc, compat=False) == "ACME"
+    assert via(spark, T.with_ticker_v1, doc) is None
+    assert spark.createDataFrame([(doc,)], "x string").transform(
+        lambda d: T.with_ticker_v1(d, "x", corrected="r")).first().r == "ACME"
     assert via(spark, T.with_ticker_v1, "listed (NASDAQ: XYZ) today") == "XYZ"
 
 
@@ -141,8 +146,8 @@ def test_section_v1_markers(spark):
 
 def test_deal_value_unit_trap(spark):
     trap = "The purchase price of $5,000,000 by the buyer is fixed."
-    assert via(spark, T.with_deal_value, trap, compat=True) == 5e15
-    assert via(spark, T.with_deal_value, trap, compat=False) == 5e6
+    assert via(spark, T.with_deal_value, trap) == 5e15
+    assert bounded(spark, trap) == 5e6
     assert via(spark, T.with_deal_value, "valued at approximately $2.5 bn") == 2.5e9
     assert via(spark, T.with_deal_value, "$1,000,000 in cash") is None
 
@@ -258,3 +263,43 @@ def test_score_buckets_skip_between_ranges(spark):
                                 ("tracked", 6.0, False)], "tracker_status string, groq_score double, target_sustained boolean")
     got = [tuple(r) for r in report.report_by_score(df).collect()]
     assert got == [("9-10 MEGA/MAJOR", 1, 1), ("5-6 STANDARD", 1, 0)]
+
+
+# ---- no-break spaces and a bare "<" ----------------------------------------
+
+NB = "\u00a0"
+
+
+def test_bare_less_than_is_text(spark):
+    assert via(spark, T.with_clean_html, "<p>ownership < 5% of shares</p>") == "ownership < 5% of shares"
+    assert via(spark, T.with_clean_html, "<p>a <b>x</b> is < 3 and > 1</p>") == "a\nx\nis < 3 and > 1"
+
+
+def test_no_break_space_is_white_space(spark):
+    assert via(spark, T.with_deal_value, f"aggregate{NB}consideration of ${NB}5{NB}million") == 5e6
+    assert via(spark, T.with_deal_value, f"valued at approximately $5{NB}million") == 5e6
+    assert one(spark, T.ticker_v2(col()), f"Trading{NB}Symbol: ACME") == "ACME"
+    assert one(spark, T.ticker_v2(col()), f"Nasdaq{NB}ACME") == "ACME"
+    assert one(spark, T.ticker_v2(col(), compat=False), f"Trading Symbol:{NB}ACME") == "ACME"
+    assert one(spark, T.keyword_gate(col()), f"a merger{NB}agreement") is True
+    assert one(spark, ids.ticker_hint(col()), f"8-K - ACME CORP (ACME){NB}") == "ACME"
+
+
+def test_long_texts_reach_section_and_value(spark):
+    text = "Item 1.01 " + "word " * 4000 + "the purchase price of $7 million Item 9.01 end"
+    df = T.with_section_v2(spark.createDataFrame([(text,)], "x string"), "x", "s")
+    assert len(df.first().s) > 20_000
+    assert T.with_deal_value(df, "s", "r").first().r == 7e6
+    capped = T.with_section_v2(spark.createDataFrame([(text,)], "x string"), "x", "s", T.SECTION_CHARS_V2)
+    assert len(capped.first().s) == 12_000 and T.with_deal_value(capped, "s", "r").first().r is None
+    assert one(spark, F.length(T.section_v1(col())), text) > 20_000
+    assert one(spark, T.company_name(col()), "\n" * 60 + "COMPANY CONFORMED NAME: LATE") == "LATE"
+    assert via(spark, T.with_ticker_v1, "\n" * 300 + "Trading Symbol: LATE") == "LATE"
+
+
+@pytest.mark.parametrize("text,loose,tight", [("valued at approximately $5 major", 5e6 / 1e6, None),
+                                              ("valued at approximately $9 millionaires", 9e6, None),
+                                              ("purchase price of $3,000,000 basic", 3e15, 3e6)])
+def test_one_scan_gives_both_unit_readings(spark, text, loose, tight):
+    d = T.with_deal_value(spark.createDataFrame([(text,)], "x string"), "x", "a", "b").first()
+    assert d.a == (loose if loose > 1e6 else (5e6 if "major" in text else None)) and d.b == tight

@@ -37,9 +37,9 @@ def con(sf_small):
     return c
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
+def test_every_query_has_an_oracle():
     rows_only = set(QUERIES) - set(ORACLES)
-    assert rows_only == {"alert_payload"}
+    assert rows_only == set()
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -64,13 +64,20 @@ def test_entry_runs(spark):
 
 
 def test_alert_payload_rows(spark, sf_small):
-    import json
     p = QUERIES["alert_payload"](spark, sf_small).limit(20).collect()
     assert p, "some filings are routed at sf0.001"
     for r in p:
-        doc = json.loads(r.payload)
-        e = doc["embeds"][0]
-        assert e["title"].startswith(r.priority)
-        assert e["color"] in (15158332, 16753920, 16776960)
-        names = [f["name"] for f in e["fields"]]
-        assert names[-2:] == ["Form", "Published (8-K)"]
+        assert r.title.startswith(r.priority) and r.color in (15158332, 16753920, 16776960)
+        assert "Form" in r.field_names.split("|")
+
+
+def test_alert_payload_json(spark, sf_small):
+    import json
+    from dealflow.operators import gates, route
+    from dealflow.plans.q_filings import routed_frame
+    from pyspark.sql import functions as F
+    r = gates.routed(routed_frame(spark, sf_small)).withColumn("company", F.lit("X")).withColumn(
+        "deal_value_regex", F.lit(None).cast("double"))
+    for row in route.alert_payload(r, route.V2_CAPS).limit(5).collect():
+        embed = json.loads(row.payload)["embeds"][0]
+        assert embed["title"].startswith(row.priority) and {f["name"] for f in embed["fields"]} >= {"Form"}

@@ -56,3 +56,15 @@ def test_dedup_within_watermark_bounded(spark, tmp_path):
     S.run_available_now(S.dedup_within_watermark(stream, "accession", "t", "1 hour"),
                         str(tmp_path / "o"), str(tmp_path / "c"))
     assert sorted(r.accession for r in spark.read.parquet(str(tmp_path / "o")).collect()) == ["A", "B"]
+
+
+def test_a_stream_cut_short_raises(spark, tmp_path):
+    import pytest
+    src = str(tmp_path / "many")
+    spark.range(4000).repartition(40).write.parquet(src)
+    stream = S.file_stream(spark, src, spark.range(1).schema, max_files=1)
+    sink, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    with pytest.raises(TimeoutError):
+        S.run_available_now(stream, sink, ckpt, timeout_s=2)
+    S.run_available_now(S.file_stream(spark, src, spark.range(1).schema, max_files=20), sink, ckpt)
+    assert spark.read.parquet(sink).distinct().count() == 4000
