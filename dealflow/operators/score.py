@@ -16,10 +16,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from dealflow.functions.numeric import truthy
 from dealflow.functions.text import MA_EXCLUSIONS, MA_KEYWORDS_STRONG, any_pattern, json_block_v2
 
 Scorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
+# The keys of the scorer's JSON answer (v2), and those that only the first generation has.
+ANALYSIS = ("impact_score double, deal_type string, is_full_acquisition boolean, target_company string, acquirer string, "
+            "deal_value string, deal_value_usd double, deal_value_source string, offer_price_per_share double, "
+            "current_price double, premium_pct double, premium_calculation string, upside_to_offer string, "
+            "deal_structure string, short_squeeze_risk string, verdict string, short_term_move string, confidence double, "
+            "strategic_rationale string, key_points array<string>, risks array<string>, sympathy_plays array<string>, "
+            "leak_detected boolean, filer_role string, target_ticker string, acquirer_ticker string, "
+            "alert_headline string, analyst_verdict string, reasoning string")
+ANALYSIS_V1_ONLY = ("deal_value_numeric double, sector_context string, liquidity_warning string, leak_reasoning string, "
+                    "approval_probability string")
+
+SHORT_NOTE_LEVEL = 0.15
+
+
+def scoring_requests(df: DataFrame) -> DataFrame:
+    """What a scorer is told of a filing besides its section, as columns.
+
+    Needs the snapshot columns of ``enrich.market_snapshot`` (null where there
+    is none), ``company`` and ``deal_value_regex``.  ``market_line`` sums up the
+    market, ``value_anchor`` the value found in the text, and ``short_note``
+    is set where short interest is above 15 % of float."""
+    known = F.col("ticker").isNotNull() & F.col("error").isNull()
+    short = F.coalesce(F.col("short_percent"), F.lit(0.0))
+    line = F.concat_ws(
+        " | ", F.concat(F.lit("ticker "), F.col("ticker")),
+        F.concat(F.lit("price "), F.coalesce(F.col("price").cast("string"), F.lit("unknown"))),
+        F.concat(F.lit("capitalisation "), F.col("cap_formatted")),
+        F.when(truthy(F.col("shares_outstanding")), F.format_string("shares %,.0f", F.col("shares_outstanding")))
+        .otherwise(F.lit("shares unknown")),
+        F.format_string("volume %.1fx", F.coalesce(F.col("volume_spike"), F.lit(1.0))),
+        F.format_string("week %+.1f%%", F.coalesce(F.col("week_change_pct"), F.lit(0.0))),
+        F.format_string("short %.1f%% of float", short * 100),
+        F.format_string("institutions %.0f%%", F.coalesce(F.col("institutional_pct"), F.lit(0.0)) * 100))
+    value = F.col("deal_value_regex")
+    return (df.withColumn("market_line", F.when(known, line).otherwise(F.lit("no market data")))
+            .withColumn("value_anchor", F.when(truthy(value), F.format_string("value in text: $%,.0f", value))
+                        .otherwise(F.lit("no value found in text")))
+            .withColumn("short_note", F.when(F.col("ticker").isNotNull() & (short > SHORT_NOTE_LEVEL),
+                                             F.format_string("high short interest: %.1f%% of float", short * 100))))
+
 
 def rule_score(section: Column, deal_type: Column, full: Column, structure: Column,
                premium: Column, short_percent: Column, squeeze_level: float = 0.15) -> Column:

@@ -130,7 +130,7 @@ def market_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     n_part = table(spark, sf_dir, "part").count()          # from the footers
-    j = c.join(p, (c.c_custkey % n_part) + 1 == p.p_partkey, "inner")
+    j = c.join(p, (c.c_custkey % n_part) == p.p_partkey, "inner")
     ck = F.col("c_custkey")
     price = F.col("p_retailprice") / 10
     prev = F.col("p_retailprice") / 10 * 0.97
@@ -245,9 +245,9 @@ def analysis_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.lit(""))).alias("deal_structure"),
         _pick(k, 4, [F.lit("acquisition"), F.lit("merger"), F.lit("partnership"), F.lit("contract")]).alias("deal_type"),
         (F.when(k % 7 == 0, F.lit(None).cast("string")).when(k % 10 == 0, filer)
-         .otherwise(letters((ck * 31 + 7) % n_cust + 1))).alias("target_ticker"),
+         .otherwise(letters((ck * 31 + 7) % n_cust))).alias("target_ticker"),
         (F.when(k % 8 == 0, F.lit(None).cast("string")).when(k % 10 == 5, filer)
-         .otherwise(letters((ck * 17 + 3) % n_cust + 1))).alias("acquirer_ticker"),
+         .otherwise(letters((ck * 17 + 3) % n_cust))).alias("acquirer_ticker"),
         F.when(k % 6 != 0, F.col("o_totalprice") / 1000).alias("offer_price_per_share"),
         F.when(k % 9 != 0, F.col("o_totalprice") * 1000).alias("deal_value_usd"),
         F.when(k % 5 != 0, ((k % 120) - 10).cast("double")).alias("premium_pct"),

@@ -109,7 +109,7 @@ market_fx AS (
          (c_custkey % 101) / 100 AS institutional_pct,
          CAST((c_custkey % 41) - 20 AS DOUBLE) AS week_change_pct,
          CASE WHEN c_custkey % 23 = 0 THEN 'no data' END AS error
-  FROM customer JOIN part ON c_custkey % (SELECT count(*) FROM part) + 1 = p_partkey)"""
+  FROM customer JOIN part ON c_custkey % (SELECT count(*) FROM part) = p_partkey)"""
 
 
 
@@ -160,9 +160,9 @@ analysis_fx AS (
               WHEN '3-MEDIUM' THEN 'mixed' WHEN '4-NOT SPECIFIED' THEN 'undisclosed' ELSE '' END AS deal_structure,
          {_pick_sql('k', 4, ["'acquisition'", "'merger'", "'partnership'", "'contract'"])} AS deal_type,
          CASE WHEN k % 7 = 0 THEN NULL WHEN k % 10 = 0 THEN {filer}
-              ELSE {letters_sql('(custkey * 31 + 7) % (SELECT count(*) FROM customer) + 1')} END AS target_ticker,
+              ELSE {letters_sql('(custkey * 31 + 7) % (SELECT count(*) FROM customer)')} END AS target_ticker,
          CASE WHEN k % 8 = 0 THEN NULL WHEN k % 10 = 5 THEN {filer}
-              ELSE {letters_sql('(custkey * 17 + 3) % (SELECT count(*) FROM customer) + 1')} END AS acquirer_ticker,
+              ELSE {letters_sql('(custkey * 17 + 3) % (SELECT count(*) FROM customer)')} END AS acquirer_ticker,
          CASE WHEN k % 6 <> 0 THEN o_totalprice / 1000 END AS offer_price_per_share,
          CASE WHEN k % 9 <> 0 THEN o_totalprice * 1000 END AS deal_value_usd,
          CASE WHEN k % 5 <> 0 THEN CAST((k % 120) - 10 AS DOUBLE) END AS premium_pct,

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dealflow.functions import timefns as tf
-from dealflow.operators import enrich, gates, route
+from dealflow.operators import enrich, gates, route, score
+from dealflow.operators.lookup import lookup
 from dealflow.operators.bars import daily_bars
 from dealflow.plans import fixtures as fx
 from dealflow.plans import fx_filings as fxf
 from dealflow.plans import oracle as osql
 from dealflow.plans import ox_ids as oi
 from dealflow.plans import ox_text as ot
-from dealflow.plans.q_filings import (ALERT_SIGNAL_SQL, DOCS_SQL, ROLES_SQL, SNAP_SQL, _label_sql, _priority_sql, docs_of,
-                                      routed_frame, sql)
+from dealflow.plans.q_filings import (ALERT_SIGNAL_SQL, DOCS_SQL, ROLES_SQL, SNAP_SQL, _label_sql, _priority_sql,
+                                      cap_label_sql, docs_clean, docs_of, routed_frame, sql)
 from dealflow.plans.registry import register
 from dealflow.functions import text as T
 
@@ -77,6 +78,83 @@ def local_time(spark, sf_dir):
                     tf.local_time_iana(ts).alias("local_iana"))
 
 
+REQUEST_SQL = lambda: [SNAP_SQL, DOCS_SQL, f"""
+snap1 AS (SELECT *, {cap_label_sql('cap')} AS cap_formatted FROM (
+            SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY custkey) AS rn FROM snap WHERE ticker IS NOT NULL) z
+          WHERE rn = 1)""", f"""
+sect AS (SELECT k, {ot.company_sql('clean')} AS company, {ot.section_v2_sql('clean')} AS section FROM docs_clean)""", f"""
+req AS (
+  SELECT a.k, d.company, d.section,
+         CASE WHEN s.ticker IS NOT NULL AND s.error IS NULL THEN concat_ws(' | ', 'ticker ' || s.ticker,
+           'price ' || coalesce(CAST(s.price AS VARCHAR), 'unknown'), 'capitalisation ' || s.cap_formatted,
+           CASE WHEN s.shares_outstanding IS NOT NULL AND s.shares_outstanding <> 0
+                THEN 'shares ' || format('{{:,}}', CAST(round(s.shares_outstanding) AS BIGINT)) ELSE 'shares unknown' END,
+           printf('volume %.1fx', coalesce(s.volume_spike, 1.0)), printf('week %+.1f%%', coalesce(s.week_change_pct, 0.0)),
+           printf('short %.1f%% of float', coalesce(s.short_percent, 0.0) * 100),
+           printf('institutions %.0f%%', coalesce(s.institutional_pct, 0.0) * 100)) ELSE 'no market data' END AS market_line,
+         {ot.deal_value_sql('d.section', True)} AS deal_value_regex,
+         CASE WHEN s.ticker IS NOT NULL AND coalesce(s.short_percent, 0.0) > {score.SHORT_NOTE_LEVEL}
+              THEN printf('high short interest: %.1f%% of float', s.short_percent * 100) END AS short_note
+  FROM analysis_fx a LEFT JOIN sect d ON a.k = d.k LEFT JOIN snap1 s ON a.filer_ticker = s.ticker)"""]
+
+
+def request_frame(spark, sf_dir):
+    """T13 inputs of every filing: its section, the value found in it and its filer's market snapshot."""
+    a = fxf.analysis_fx(spark, sf_dir).select("k", "filer_ticker")
+    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section", T.SECTION_CHARS_V2)
+    d = T.with_deal_value(d, "section", "deal_value_regex").select(
+        "k", T.company_name(F.col("clean"), 50).alias("company"), "section", "deal_value_regex")
+    snap = enrich.first_snapshot(fxf.market_fx(spark, sf_dir)).drop("custkey")
+    rows = lookup(a.join(d, "k", "left"), snap.withColumn("_t", F.col("ticker")), [(F.col("filer_ticker"), "_t")], "k")
+    return score.scoring_requests(rows)
+
+
+@register("score_requests", lambda: sql(*REQUEST_SQL(), query="""
+SELECT k, company, length(section) AS section_len, market_line, short_note,
+       CASE WHEN deal_value_regex IS NOT NULL AND deal_value_regex <> 0
+            THEN 'value in text: $' || format('{:,}', CAST(round(deal_value_regex) AS BIGINT))
+            ELSE 'no value found in text' END AS value_anchor
+FROM req"""))
+def score_requests(spark, sf_dir):
+    """The scoring request of every filing."""
+    r = request_frame(spark, sf_dir)
+    return r.select("k", "company", F.length("section").cast("bigint").alias("section_len"), "market_line", "short_note",
+                    "value_anchor")
+
+
+def length_scorer(batches):
+    """A deterministic stand-in for a model: answers in JSON, scored by the lengths of what it was told."""
+    import json
+
+    import pandas as pd
+
+    for rows in batches:
+        answers = []
+        for company, section, line, note in zip(rows["company"], rows["section"], rows["market_line"], rows["short_note"]):
+            n = len(section) if isinstance(section, str) else 0
+            answers.append("Answer: " + json.dumps({
+                "impact_score": 1 + n % 10, "confidence": 1 + len(line) % 10, "filer_role": "target" if n % 2 else "acquirer",
+                "is_full_acquisition": n % 3 == 0, "target_company": company, "key_points": ["length %d" % n, line],
+                "short_squeeze_risk": "high" if isinstance(note, str) else "none"}) if n else "nothing to read")
+        yield pd.DataFrame({"k": rows["k"], "model_text": answers})
+
+
+@register("batch_scorer", lambda: sql(*REQUEST_SQL(), query="""
+SELECT k, CAST(1 + n % 10 AS DOUBLE) AS impact_score, CAST(1 + length(market_line) % 10 AS DOUBLE) AS confidence,
+       CASE WHEN n % 2 = 1 THEN 'target' ELSE 'acquirer' END AS filer_role, n % 3 = 0 AS is_full_acquisition,
+       company AS target_company, market_line AS second_point, CASE WHEN short_note IS NOT NULL THEN 'high' ELSE 'none' END
+         AS short_squeeze_risk
+FROM (SELECT *, length(section) AS n FROM req) r WHERE n > 0"""))
+def batch_scorer(spark, sf_dir):
+    """R1 + T12: requests through a batch scorer, its answers parsed with the whole analysis schema."""
+    r = request_frame(spark, sf_dir).select("k", "company", "section", "market_line", "short_note")
+    out = score.apply_scorer(r, length_scorer, "k bigint, model_text string")
+    m = out.select("k", score.parse_model_output(F.col("model_text"), score.ANALYSIS, "impact_score").alias("m"))
+    return m.where(F.col("m").isNotNull()).select(
+        "k", "m.impact_score", "m.confidence", "m.filer_role", "m.is_full_acquisition", "m.target_company",
+        F.try_element_at("m.key_points", F.lit(2)).alias("second_point"), "m.short_squeeze_risk")
+
+
 def _alert_payload_sql() -> str:
     """Twin of ``route.alert_embed`` under the reference's caps; names and values of the fields as one string each."""
     tr = lambda c: f"({c} IS NOT NULL AND {c} <> 0)"
