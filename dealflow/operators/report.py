@@ -90,3 +90,30 @@ def report_by_context(outcomes: DataFrame, contexts=REPORT_CONTEXTS) -> DataFram
             .agg(F.count(F.lit(1)).alias("total"),
                  F.count_if(F.col("target_sustained") == F.lit(True)).alias("sustained"))
             .orderBy("filing_context"))
+
+
+def report_summary(outcomes: DataFrame, min_sample: int = MIN_SAMPLE) -> DataFrame:
+    """The combined report as one row: the totals, and per structure,
+    score and context the sustained share as ``name sustained/total`` entries.
+
+    The outcomes are aggregated once, to one row per (structure, score range,
+    context); the three breakdowns and the totals are taken from those rows."""
+    score = F.coalesce(F.col("groq_score").cast("double"), F.lit(0.0))
+    bucket = F.lit(None).cast("string")
+    for name, lo, hi in reversed(SCORE_BUCKETS):
+        bucket = F.when((score >= F.lit(float(lo))) & (score <= F.lit(float(hi))), F.lit(name)).otherwise(bucket)
+    context = F.when(F.col("filing_context").isin(*REPORT_CONTEXTS), F.col("filing_context"))
+    cells = tracked(outcomes).groupBy(structure_key("deal_structure").alias("structure"), bucket.alias("score"),
+                                      context.alias("context")).agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("target_sustained") == F.lit(True)).alias("sustained"))
+    kinds = F.array(F.struct(F.lit("all").alias("kind"), F.lit("").alias("name")),
+                    *(F.struct(F.lit(k).alias("kind"), F.col(k).alias("name")) for k in ("structure", "score", "context")))
+    parts = (cells.select("total", "sustained", F.explode(kinds).alias("p")).where("p.name IS NOT NULL")
+             .groupBy("p.kind", "p.name").agg(F.sum("total").alias("total"), F.sum("sustained").alias("sustained")))
+    entry = F.concat_ws(" ", "name", F.concat(F.col("sustained").cast("string"), F.lit("/"), F.col("total").cast("string")))
+    lines = lambda k: F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == k, entry))), "; ")
+    everything = F.col("kind") == "all"
+    return parts.groupBy().agg(
+        F.max(F.when(everything, F.col("total"))).alias("total"),
+        F.max(F.when(everything, F.col("sustained"))).alias("sustained"), lines("structure").alias("by_structure"),
+        lines("score").alias("by_score"), lines("context").alias("by_context")).where(F.col("total") >= F.lit(min_sample))

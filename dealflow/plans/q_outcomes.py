@@ -182,3 +182,24 @@ FROM outcomes WHERE tracker_status = 'tracked'
 GROUP BY filing_context"""))
 def report_by_context(spark, sf_dir):
     return rp.report_by_context(outcomes_fx(spark, sf_dir))
+
+
+_PART = "SELECT {name} AS name, count(*) AS total, count(*) FILTER (WHERE target_sustained) AS sustained FROM t GROUP BY 1"
+
+
+def _lines_sql(name: str) -> str:
+    return (f"(SELECT array_to_string(list_sort(list(name || ' ' || CAST(sustained AS VARCHAR) || '/' || CAST(total AS VARCHAR))), '; ') "
+            f"FROM ({_PART.format(name=name)}) x WHERE name IS NOT NULL)")
+
+
+@register("report_summary", lambda: osql.with_outcomes(f"""
+, t AS (SELECT * FROM outcomes WHERE tracker_status = 'tracked')
+SELECT * FROM (
+  SELECT count(*) AS total, count(*) FILTER (WHERE target_sustained) AS sustained,
+         {_lines_sql("coalesce(nullif(deal_structure, ''), 'unknown')")} AS by_structure,
+         {_lines_sql("CASE WHEN coalesce(groq_score, 0) BETWEEN 9 AND 10 THEN '9-10 MEGA/MAJOR' WHEN coalesce(groq_score, 0) BETWEEN 7 AND 8 THEN '7-8 MAJOR' WHEN coalesce(groq_score, 0) BETWEEN 5 AND 6 THEN '5-6 STANDARD' END")} AS by_score,
+         {_lines_sql("CASE WHEN filing_context IN ('pre-market', 'market-hours', 'after-hours') THEN filing_context END")} AS by_context
+  FROM t) s WHERE total >= 2"""))
+def report_summary(spark, sf_dir):
+    """The combined report, one row."""
+    return rp.report_summary(outcomes_fx(spark, sf_dir))
