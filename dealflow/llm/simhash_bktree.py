@@ -21,11 +21,10 @@ are ignored by :func:`label` and kept by :func:`one_per_component`.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -102,38 +101,61 @@ def _block_pairs(radius: int) -> list[int]:
     n = radius + 2
     cuts = [64 * i // n for i in range(n + 1)]
     masks = [((1 << z) - 1) ^ ((1 << a) - 1) for a, z in zip(cuts, cuts[1:])]
-    return [x | y for x, y in combinations(masks, 2)]
+    return [x | y for x, y in itertools.combinations(masks, 2)]
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _group_links(values: list[int], in_tree: list[bool], radius: int, out: list[tuple[int, int]]) -> None:
+    """Star edges that connect one meeting's fingerprints as its links do: a tree searched for each query (its own
+    values, where no others came)."""
+    own = [v for v, x in zip(values, in_tree) if x]
+    tree = BKTree(own)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for q in own if len(own) == len(values) else [v for v, x in zip(values, in_tree) if not x]:
+        for i in tree.within(q, radius):
+            a, b = root(q), root(own[i])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    out += [(x, r) for x in list(parent) if (r := root(x)) != x]
+
+
 def _links(radius: int):
+    """Edges from rows sorted by meeting: runs of equal keys, one at a time, the last one of a batch carried over."""
     schema = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        inside = group["tree"].to_numpy() == group["slice"].to_numpy()
-        values = group["fp"].to_numpy().astype(np.uint64)
-        own = values[inside].tolist()
-        tree = BKTree(own)
-        queries = values[~inside].tolist()
-        parent: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while parent.setdefault(x, x) != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        for q in own if len(queries) == 0 else queries:
-            for i in tree.within(q, radius):
-                a, b = root(q), root(own[i])
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-        pairs = [(x, r) for x in list(parent) if (r := root(x)) != x]
-        return pd.DataFrame({"u": np.array([x for x, _ in pairs], np.uint64).astype(np.int64),
-                             "v": np.array([r for _, r in pairs], np.uint64).astype(np.int64)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for b in itertools.chain(batches, [None]):
+            out: list[tuple[int, int]] = []
+            if b is None:
+                rows = kept
+            else:
+                rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns])
+                rows = rows if kept is None else np.concatenate([kept, rows], axis=1)
+            if rows is None or not rows.shape[1]:
+                continue
+            begin = np.r_[0, np.nonzero((rows[:4, 1:] != rows[:4, :-1]).any(axis=0))[0] + 1]
+            end = np.r_[begin[1:], rows.shape[1]]
+            if b is not None:
+                kept = rows[:, begin[-1]:]
+                begin, end = begin[:-1], end[:-1]
+            values = rows[5].view(np.uint64).tolist()
+            in_tree = (rows[2] == rows[4]).tolist()
+            for x, y in zip(begin.tolist(), end.tolist()):
+                if y - x > 1:
+                    _group_links(values[x:y], in_tree[x:y], radius, out)
+            ends = np.array(out, np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["u", "v"])
 
     return run, schema
 
@@ -151,7 +173,8 @@ def linked(distinct: DataFrame, radius: int = 3, tree_size: int = 1024) -> DataF
     met = (shared.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
            .select("t", "bits", "fp", "slice", low.alias("tree"), high.alias("with")))
     run, schema = _links(radius)
-    return met.groupBy("t", "bits", "tree", "with").applyInPandas(run, schema)
+    meeting = ["t", "bits", "tree", "with"]
+    return met.repartition(*meeting).sortWithinPartitions(*meeting).select(*meeting, "slice", "fp").mapInArrow(run, schema)
 
 
 def label(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3,
