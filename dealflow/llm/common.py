@@ -2,31 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealflow.session import ensure_checkpoint_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a private folder only where that is unset (local runs, tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared one, removed when the driver's JVM ends."""
-    path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
@@ -49,7 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges, which it can't where the join shares the exchange of the grouping.  Nodes without an edge are not
     returned.
     """
-    shared_folder(edges.sparkSession)
+    ensure_checkpoint_dir(edges.sparkSession)
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
     before = None
     while True:
