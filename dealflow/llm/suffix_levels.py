@@ -49,7 +49,7 @@ from dealflow.llm.common import stage
 
 GRAM = 8
 BLOCK = 16
-SLAB = 1 << 20          # positions handled at once: bounds a task's memory whatever a text's length
+SLAB = 1 << 19          # positions handled at once: bounds a task's memory whatever a text's length
 _U = np.uint64
 
 
