@@ -58,3 +58,28 @@ def test_read_documents(spark, tmp_path):
     (d / "0000001234-24-000001.txt").write_text("line one\nItem 1.01 Entry\n")
     rows = R.read_documents(spark, str(d)).collect()
     assert rows[0].accession == "0000001234-24-000001" and "Item 1.01" in rows[0].raw
+
+
+def test_feed_rank_follows_files_then_places(spark, tmp_path):
+    entry = "<entry><title>8-K - {0}</title><id>{0}</id><link href='l'/><updated>2024-01-01T00:00:00Z</updated></entry>"
+    for name, ids in (("a.xml", range(3)), ("b.xml", range(10, 200)), ("c.xml", range(300, 303))):
+        (tmp_path / name).write_text("<feed>" + "\n".join(entry.format(i) for i in ids) + "</feed>")
+    got = [int(r.entry_id) for r in R.read_feed(spark, str(tmp_path / "*.xml")).orderBy("feed_rank").collect()]
+    assert got == sorted(got) and len(got) == 196
+
+
+def test_daily_bars_zone_and_log(spark, tmp_path):
+    import datetime as dt
+    bars = spark.createDataFrame([("T", dt.datetime(2024, 1, 8, 9, 30), 1.0, 2.0, 0.5, 1.5, 10)],
+                                 "ticker string, ts timestamp_ntz, open double, high double, low double, close double, volume long")
+    utc = R.bars_to_utc(bars, "America/New_York")
+    assert utc.first().ts == dt.datetime(2024, 1, 8, 14, 30)
+    R.write_bars(utc, str(tmp_path / "bars"))
+    assert R.read_bars(spark, str(tmp_path / "bars")).where("session_date = date'2024-01-08'").count() == 1
+    daily = utc.selectExpr("ticker", "to_date(ts) AS d", "open", "high", "low", "close", "volume")
+    daily.write.parquet(str(tmp_path / "daily"))
+    assert R.read_daily_bars(spark, str(tmp_path / "daily")).first().d == dt.date(2024, 1, 8)
+    for rank, price in ((1, 5.0), (2, 6.0)):
+        R.append_log(spark.createDataFrame([("T-2024-01-08", rank, price)], "id string, feed_rank long, price double"),
+                     str(tmp_path / "log"))
+    assert [r.price for r in R.read_log(spark, str(tmp_path / "log")).collect()] == [6.0]
