@@ -14,7 +14,7 @@ from dealflow.plans import oracle as osql
 from dealflow.plans import ox_ids as oi
 from dealflow.plans import ox_text as ot
 from dealflow.plans.q_filings import (ALERT_SIGNAL_SQL, DOCS_SQL, ROLES_SQL, SNAP_SQL, _label_sql, _priority_sql,
-                                      cap_label_sql, docs_clean, docs_of, routed_frame, sql)
+                                      LIQ_SQL, cap_label_sql, docs_of, routed_frame, sql)
 from dealflow.plans.registry import register
 from dealflow.functions import text as T
 
@@ -95,18 +95,23 @@ req AS (
          {ot.deal_value_sql('d.section', True)} AS deal_value_regex,
          CASE WHEN s.ticker IS NOT NULL AND coalesce(s.short_percent, 0.0) > {score.SHORT_NOTE_LEVEL}
               THEN printf('high short interest: %.1f%% of float', s.short_percent * 100) END AS short_note
-  FROM analysis_fx a LEFT JOIN sect d ON a.k = d.k LEFT JOIN snap1 s ON a.filer_ticker = s.ticker)"""]
+  FROM analysis_fx a LEFT JOIN sect d ON a.k = d.k LEFT JOIN snap1 s ON a.filer_ticker = s.ticker
+  WHERE s.ticker IS NULL OR {LIQ_SQL} = 'OK')"""]
 
 
 def request_frame(spark, sf_dir):
-    """T13 inputs of every filing: its section, the value found in it and its filer's market snapshot."""
+    """T13 inputs of the filings that pass the liquidity gate (F5; an unlisted filer passes): section, the value
+    found in it and the filer's market snapshot.  Only their documents are cleaned."""
     a = fxf.analysis_fx(spark, sf_dir).select("k", "filer_ticker")
-    d = T.with_section_v2(docs_clean(spark, sf_dir), "clean", "section", T.SECTION_CHARS_V2)
+    snap = enrich.first_snapshot(fxf.market_fx(spark, sf_dir)).drop("custkey")
+    a = lookup(a, snap.withColumn("_t", F.col("ticker")), [(F.col("filer_ticker"), "_t")], "k")
+    reason = gates.liquidity_reason(F.col("cap"), F.col("avg_volume"), F.col("price"))
+    a = a.where(F.col("ticker").isNull() | (reason == "OK"))
+    d = T.with_clean_html(docs_of(spark, sf_dir, a), "raw", "clean")
+    d = T.with_section_v2(d, "clean", "section", T.SECTION_CHARS_V2)
     d = T.with_deal_value(d, "section", "deal_value_regex").select(
         "k", T.company_name(F.col("clean"), 50).alias("company"), "section", "deal_value_regex")
-    snap = enrich.first_snapshot(fxf.market_fx(spark, sf_dir)).drop("custkey")
-    rows = lookup(a.join(d, "k", "left"), snap.withColumn("_t", F.col("ticker")), [(F.col("filer_ticker"), "_t")], "k")
-    return score.scoring_requests(rows)
+    return score.scoring_requests(a.join(d, "k", "left"))
 
 
 @register("score_requests", lambda: sql(*REQUEST_SQL(), query="""
@@ -116,7 +121,7 @@ SELECT k, company, length(section) AS section_len, market_line, short_note,
             ELSE 'no value found in text' END AS value_anchor
 FROM req"""))
 def score_requests(spark, sf_dir):
-    """The scoring request of every filing."""
+    """The scoring request of every filing that passes the gate."""
     r = request_frame(spark, sf_dir)
     return r.select("k", "company", F.length("section").cast("bigint").alias("section_len"), "market_line", "short_note",
                     "value_anchor")
