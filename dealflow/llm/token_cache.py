@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 600_000
 GROUP_CHARS = 1 << 20
 END = "<|endoftext|>"
 
