@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from dealflow.llm.bpe_monoid import monoid
-from dealflow.llm.token_cache import token_cache
+from dealflow.llm.token_cache import TokenCache, token_cache
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 BPE = monoid(RANKS, P.PATTERN)
@@ -46,3 +46,13 @@ def test_long_pieces_join_to_the_same_ids(piece):
 def test_cached_chunks_give_the_tokenizers_ids(name, text):
     ids = np.frombuffer(next(token_cache(P.path(name)).encode_all([text])), "<u4").tolist()
     assert ids == OWN[name].encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("limit", [0, 3, 50])
+def test_a_full_cache_changes_nothing(limit):
+    cache = TokenCache(P.path("byte_bpe_50k.json"), limit)
+    texts = ["one two, three. four\nfive six.", "one two, seven. two. two", None, "", "odd  spaces \n here", "five six. eight"]
+    for _ in range(2):
+        got = [np.frombuffer(x, "<u4").tolist() for x in cache.encode_all(texts)]
+        assert got == [OWN["byte_bpe_50k.json"].encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert len(cache.known) <= max(limit, 0)
