@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from dealflow.llm.token_cache import token_cache
+from dealflow.llm.token_cache import CACHE_ENTRIES, token_cache
 
 WINDOW = 4096
 MAX_OPEN = 4096
@@ -102,9 +102,10 @@ class LevelPacker:
 
 
 def pack(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, max_open: int = MAX_OPEN, with_ids: bool = True) -> DataFrame:
+         window: int = WINDOW, max_open: int = MAX_OPEN, with_ids: bool = True,
+         cache_entries: int = CACHE_ENTRIES) -> DataFrame:
     """One row per piece: the document's id, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``,
-    ``offset`` and, if asked for, ``ids``."""
+    ``offset`` and, if asked for, ``ids``.  ``cache_entries`` trades a worker's memory for time, results are the same."""
     kind = docs.schema[id_col]
     schema = T.StructType([kind] + [T.StructField(x, T.LongType()) for x in (
         "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")] + [
@@ -112,7 +113,7 @@ def pack(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_c
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, packer = token_cache(path), LevelPacker(window, max_open)
+        cache, packer = token_cache(path, cache_entries), LevelPacker(window, max_open)
         number = TaskContext.get().partitionId() << 33
         waiting: dict[int, tuple] = {}                        # row -> its id, its ids and how many still have no piece
         row = 0

@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 900_000
 GROUP_CHARS = 1 << 20
 END = "<|endoftext|>"
 
@@ -104,6 +104,6 @@ class TokenCache:
 
 
 @lru_cache(maxsize=2)
-def token_cache(path: str) -> TokenCache:
-    """The worker's own cache for a tokenizer file, kept between tasks."""
-    return TokenCache(path)
+def token_cache(path: str, limit: int = CACHE_ENTRIES) -> TokenCache:
+    """The worker's own cache for a tokenizer file, kept between tasks (some 300 bytes an entry)."""
+    return TokenCache(path, limit)
