@@ -32,7 +32,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, packed into sequences."""
-    return sos_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, with_ids=False)
+    return sos_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, with_ids=False,
+                            cache_entries=300_000)          # workers keep it while the other stages run
 
 
 STAGES = [
