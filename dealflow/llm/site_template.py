@@ -2,8 +2,10 @@
 
 Every page is parsed once into its element tree.  Each block-level subtree is hashed (tag and contents up the
 tree, without attributes, so that links that vary don't matter), the hashes are counted per host over distinct
-pages, and a subtree that recurs on ``min_pages`` pages of its host is deleted with all it holds.  Paragraphs
-and headings of an article are not subject to it: there the same passage on several pages is a copied article.
+articles, and a subtree that occurs with ``min_pages`` articles of its host is deleted with all it holds, inside
+article and main elements too.  Pages of equal main text are one article, and so are near copies: pages whose main
+texts share seven tenths of their three-word strings, found by bands of a min-hash sketch and linked to groups.  So
+a passage that recurs because its article was copied stays, and one that recurs in different articles goes.
 
 What a single page tells goes without counting: scripts, styles and other unseen elements, elements whose tag,
 role, class or id names a menu, header, footer, sidebar, notice, advert, form or comments, and, where a page has
@@ -11,12 +13,12 @@ an article (or else a main) element, everything outside it.  Text of one block h
 are joined in page order by an empty line.
 
 Scale: subtrees are counted with a combine before the shuffle, so a template on every page of a hot host is one
-row per task; only pages with a block that is neither named by its tags nor exempt are joined to their deleted
-subtrees, and a page's row is the largest thing gathered.
+row per task.  Hashes and sketches are written; the pages are parsed again for their texts, which are shuffled once,
+to meet their deleted subtrees.  A near copy is compared with one page of each band, never with its whole group.
 
 Defined cases: a null html is an empty page, a null url's host is the empty host; a page without text gets the
 empty string; repeated rows count as one page and each get a row; further columns are ignored; an empty table
-gives no rows.
+gives no rows.  Text that stands in an article outside any block element has no subtree of its own and stays.
 """
 
 from __future__ import annotations
@@ -25,15 +27,18 @@ import re
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealflow.llm.common import stage
+from dealflow.llm.common import components, stage
 
 MIN_PAGES = 5
+BANDS, BAND_ROWS = 8, 6
+NEAR = 0.7
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
@@ -175,53 +180,109 @@ def _main(blocks: list[Block]) -> list[Block]:
     return [b for b in plain if b[1] == best]
 
 
-def parsed(pages: DataFrame, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
-    """``(page_id, url, key, host, blocks, subtrees)``: one parse per page; ``blocks`` are the main region's."""
-    block = T.StructType([T.StructField("text", T.StringType()), T.StructField("owners", T.ArrayType(T.LongType()))])
-    schema = T.StructType([
-        T.StructField("page_id", pages.schema[id_col].dataType), T.StructField("url", T.StringType()),
-        T.StructField("key", T.LongType()), T.StructField("host", T.StringType()),
-        T.StructField("blocks", T.ArrayType(block)), T.StructField("subtrees", T.ArrayType(T.LongType()))])
-    kind = pa.list_(pa.struct([("text", pa.string()), ("owners", pa.list_(pa.int64()))]))
+_draw = np.random.default_rng(17)
+MIX = _draw.integers(1, 1 << 63, 3, dtype=np.uint64) | np.uint64(1)
+HASHES = _draw.integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) | np.uint64(1)
+
+
+def sketch(text: str) -> list[int]:
+    """Min-hashes of a text's three-word strings (of a shorter text: of all its words); a text without words has none."""
+    h = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in text.split()), np.uint64)
+    if not len(h):
+        return []
+    if len(h) < 3:
+        h = np.concatenate([h, h[-1:], h[-1:]])[:3]
+    three = h[:-2] * MIX[0] + h[1:-1] * MIX[1] + h[2:] * MIX[2]
+    three ^= three >> np.uint64(29)
+    low = np.full(len(HASHES), (1 << 32) - 1, np.uint64)
+    for a in range(0, len(three), 4096):
+        low = np.minimum(low, ((three[a:a + 4096, None] * HASHES) >> np.uint64(32)).min(axis=0))
+    return low.astype(np.uint32).view(np.int32).tolist()
+
+
+def _pages(pages: DataFrame, url_col: str, html_col: str, id_col: str) -> DataFrame:
+    host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)),
+                      F.lit(""))
+    return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
+                        F.xxhash64(id_col, url_col, html_col).alias("key"), host.alias("host"),
+                        F.col(html_col).alias("html"))
+
+
+def _mapped(rows: DataFrame, kept: list[str], new: list[tuple], of_page) -> DataFrame:
+    """Columns ``kept`` of ``rows``, and the columns ``new`` (name, Spark type, Arrow type) that ``of_page(html)`` gives."""
+    schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField(n, t) for n, t, _ in new])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a in range(0, whole.num_rows, 1024):
                 b = whole.slice(a, 1024)
-                blocks, subtrees = [], []
-                for html in b.column(4).to_pylist():
-                    own, found = parse(html or "")
-                    blocks.append([{"text": t, "owners": o} for t, _, _, o in _main(own)])
-                    subtrees.append(list(set(found)))
+                found = [of_page(html or "") for html in b.column(len(kept)).to_pylist()]
+                cols = list(zip(*found)) or [()] * len(new)
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:4], pa.array(blocks, kind), pa.array(subtrees, pa.list_(pa.int64()))], names=schema.names)
+                    [*b.columns[:len(kept)], *(pa.array(c, kind) for c, (_, _, kind) in zip(cols, new))], names=schema.names)
+
+    return rows.select(*kept, "html").mapInArrow(run, schema)
 
-    host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)),
-                      F.lit(""))
-    return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
-                        F.xxhash64(id_col, url_col, html_col).alias("key"), host.alias("host"),
-                        F.col(html_col).alias("html")).mapInArrow(run, schema)
+
+def parsed(pages: DataFrame, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
+    """``(key, host, content, sketch, owners, subtrees)``: hash and sketch of the main region's text, the subtrees that
+    hold its blocks, and all subtrees of the page."""
+    def of_page(html: str) -> tuple:
+        own, found = parse(html)
+        main = _main(own)
+        text = "\n".join(b[0] for b in main)
+        content = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+        return (content - (1 << 64) if content >> 63 else content, sketch(text),
+                list({o for b in main for o in b[3]}), list(set(found)))
+
+    longs, ints = (T.ArrayType(T.LongType()), pa.list_(pa.int64())), (T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))
+    return _mapped(_pages(pages, url_col, html_col, id_col), ["key", "host"],
+                   [("content", T.LongType(), pa.int64()), ("sketch", *ints), ("owners", *longs), ("subtrees", *longs)], of_page)
+
+
+def articles(trees: DataFrame) -> DataFrame:
+    """``(node, root)``: main texts (host and content as one hash) that are near copies, and their group's smallest."""
+    node = F.xxhash64("host", "content")
+    each = stage(trees.where(F.size("sketch") > 0).groupBy(node.alias("node"), "host").agg(F.first("sketch").alias("sketch")),
+                 "page-sketches")
+    bands = F.array(*(F.xxhash64("host", F.lit(i), F.slice("sketch", 1 + i * BAND_ROWS, BAND_ROWS)) for i in range(BANDS)))
+    banded = each.select("node", F.explode(bands).alias("band"))
+    leaders = stage(banded.groupBy("band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+                    .select("band", "leader"), "band-leaders")
+    pairs = banded.join(leaders, "band").where("node <> leader").select("node", "leader").distinct()
+    other = each.select(F.col("node").alias("leader"), F.col("sketch").alias("other"))
+    same = F.size(F.filter(F.zip_with("sketch", "other", lambda a, b: a == b), lambda x: x))
+    near = pairs.join(each.select("node", "sketch"), "node").join(other, "leader").where(same >= NEAR * BANDS * BAND_ROWS)
+    return components(near.select(F.col("node").alias("u"), F.col("leader").alias("v")))
 
 
 def templates(trees: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``(host, subtree, n_pages)`` of the subtrees on ``min_pages`` distinct pages of a host or more."""
-    pages = trees.select("host", "key", "subtrees").dropDuplicates(["host", "key"])
-    each = pages.select("host", F.explode("subtrees").alias("subtree"))
-    return each.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") >= min_pages)
+    """``(host, subtree, n_pages, n_articles)`` of the subtrees with ``min_pages`` distinct articles of a host or more."""
+    pages = trees.select("host", "key", F.xxhash64("host", "content").alias("node"), "subtrees").dropDuplicates(["host", "key"])
+    pages = pages.join(articles(trees), "node", "left").withColumn("article", F.coalesce("root", "node"))
+    each = pages.select("host", "article", F.explode("subtrees").alias("subtree"))
+    each = each.groupBy("host", "subtree", "article").agg(F.count(F.lit(1)).alias("n"))
+    return (each.groupBy("host", "subtree").agg(F.sum("n").alias("n_pages"), F.count(F.lit(1)).alias("n_articles"))
+            .where(F.col("n_articles") >= min_pages))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
             min_pages: int = MIN_PAGES) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every row of ``pages``."""
     trees = stage(parsed(pages, url_col, html_col, id_col), "page-trees")
-    open_ = F.exists("blocks", lambda b: F.size(b["owners"]) > 0)
-    doubtful = trees.where(open_)
-    owners = doubtful.select("key", "host", F.explode(F.array_distinct(F.flatten(F.col("blocks.owners")))).alias("subtree"))
-    dead = owners.join(templates(trees, min_pages).select("host", "subtree"), ["host", "subtree"], "left_semi")
-    dead = dead.groupBy("key").agg(F.collect_set("subtree").alias("dead"))
-    cleaned = doubtful.join(dead, "key", "left").withColumn(
+    common = stage(templates(trees, min_pages).select("host", "subtree"), "page-templates")
+    owners = trees.dropDuplicates(["key"]).select("key", "host", F.explode("owners").alias("subtree"))
+    dead = owners.join(common, ["host", "subtree"], "left_semi").groupBy("key").agg(F.collect_set("subtree").alias("dead"))
+
+    def of_page(html: str) -> tuple:
+        return ([{"text": t, "owners": o} for t, _, _, o in _main(parse(html)[0])],)
+
+    block = T.StructType([T.StructField("text", T.StringType()), T.StructField("owners", T.ArrayType(T.LongType()))])
+    kind = pa.list_(pa.struct([("text", pa.string()), ("owners", pa.list_(pa.int64()))]))
+    blocks = _mapped(_pages(pages, url_col, html_col, id_col), ["page_id", "url", "key"],
+                     [("blocks", T.ArrayType(block), kind)], of_page)
+    cleaned = blocks.join(stage(dead, "page-dead"), "key", "left").withColumn(
         "blocks", F.when(F.col("dead").isNull(), F.col("blocks")).otherwise(
             F.filter("blocks", lambda b: ~F.arrays_overlap(b["owners"], F.col("dead")))))
-    every = trees.where(~open_).select("page_id", "url", "blocks").unionByName(cleaned.select("page_id", "url", "blocks"))
     text = F.array_join(F.col("blocks.text"), "\n\n")
-    return every.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
+    return cleaned.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -141,6 +141,34 @@ def test_copied_articles_stay(rows):
     assert set(texts(site.extract(rows("page_id long, url string, html string", data))).values()) == {"Same\n\nCopied passage"}
 
 
+@pytest.mark.parametrize("wrap", ["<article><div><p>{}</p></div></article>", "<article><section><h2>{}</h2></section></article>",
+                                  "<article><ul><li>{}</ul><blockquote>{}</blockquote></article>", "<div><p>{}</p></div>",
+                                  "<main><table><tr><td>{}</table></main>"])
+def test_copied_pages_stay_however_wrapped(rows, wrap):
+    html = wrap.replace("{}", sentence(7, 12))
+    data = [(i, f"http://a.org/{i}", f"<body><nav>{i}</nav>{html}</body>") for i in range(9)]
+    assert set(texts(site.extract(rows("page_id long, url string, html string", data))).values()) == {
+        "\n\n".join([sentence(7, 12)] * wrap.count("{}"))}
+
+
+def sentence(i, n=60):
+    r = np.random.default_rng(i)
+    return " ".join(f"w{x}" for x in r.integers(0, 4000, n))
+
+
+def test_near_copies_are_one_article(rows):
+    """Copies of an article with a word changed somewhere keep heading and paragraphs."""
+    data, want = [], {}
+    for i in range(40):
+        parts = [sentence(900), sentence(901), sentence(902)]
+        changed = parts[i % 3].split()
+        changed[i] = f"changed{i}"
+        parts[i % 3] = " ".join(changed)
+        data.append((i, f"http://a.org/{i}", "<article><h1>Same head</h1>" + "".join(f"<p>{x}</p>" for x in parts) + "</article>"))
+        want[i] = "\n\n".join(["Same head", *parts])
+    assert texts(site.extract(rows("page_id long, url string, html string", data))) == want
+
+
 @pytest.mark.parametrize("html", ["<" * 3000, "<a " * 3000, "<div>" * 3000 + "x", "<p class='" + "x" * 9000, "<!--" * 500, "</p>" * 900])
 def test_hostile_html_ends(html):
     blocks, _ = site.parse(html)
