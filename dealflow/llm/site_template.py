@@ -54,7 +54,6 @@ NAMES = frozenset(
     "notice notification alert popup modal overlay newsletter subscribe subscription paywall sidebar rail menu nav navbar "
     "navigation breadcrumb breadcrumbs topbar masthead footer comment comments reply replies respond disqus share sharing "
     "social related recommended recommendations widget toolbar pagination pager login signup search skip hidden".split())
-EXEMPT = frozenset("p h1 h2 h3 h4 h5 h6".split())
 WHOLE = frozenset("html body article main".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer "
                      "form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li".split())
@@ -108,7 +107,7 @@ def parse(html: str) -> tuple[list[Block], list[int]]:
             if text:
                 node = stack[-1]
                 node.hash.update(b"\x01" + text.encode("utf-8", "surrogatepass"))
-                owners = [n.number for n in stack[1:] if n.tag not in WHOLE and not (n.region and n.tag in EXEMPT)]
+                owners = [n.number for n in stack[1:] if n.tag not in WHOLE]
                 blocks.append((text, node.region, node.named, owners))
 
     def end() -> None:
@@ -116,7 +115,7 @@ def parse(html: str) -> tuple[list[Block], list[int]]:
         digest = node.hash.intdigest()
         stack[-1].hash.update(b"\x02" + node.hash.digest())
         subtree[node.number] = digest - (1 << 64) if digest >> 63 else digest
-        if node.tag not in WHOLE and not (node.region and node.tag in EXEMPT):
+        if node.tag not in WHOLE:
             found.append(subtree[node.number])
 
     at, lower = 0, None

@@ -156,6 +156,16 @@ def sentence(i, n=60):
     return " ".join(f"w{x}" for x in r.integers(0, 4000, n))
 
 
+def test_furniture_inside_the_article_goes(rows):
+    """A notice without a telling name, in the article of every page, is found by counting alone."""
+    page = "<body><article><h1>{}</h1><p>Read our new app today</p><p>{}</p></article></body>"
+    data = [(i, f"http://a.org/{i}", page.format(f"head {i}", sentence(i))) for i in range(6)]
+    data += [(10 + i, f"http://b.org/{i}", page.format(f"head {i}", sentence(i))) for i in range(4)]
+    got = texts(site.extract(rows("page_id long, url string, html string", data)))
+    assert [got[i] for i in range(6)] == [f"head {i}\n\n{sentence(i)}" for i in range(6)]
+    assert all("Read our new app today" in got[10 + i] for i in range(4))
+
+
 def test_near_copies_are_one_article(rows):
     """Copies of an article with a word changed somewhere keep heading and paragraphs."""
     data, want = [], {}
