@@ -9,7 +9,9 @@ a passage that recurs because its article was copied stays, and one that recurs
 
 What a single page tells goes without counting: scripts, styles and other unseen elements, elements whose tag,
 role, class or id names a menu, header, footer, sidebar, notice, advert, form or comments, and, where a page has
-an article (or else a main) element, everything outside it.  Text of one block has its white space folded; blocks
+an article (or else a main) element, everything outside it.  A compound class or id such as ``has-sidebar`` may also
+describe a layout: where it stands around an article or main element that holds more text than is left without it, or
+around all of a page, it doesn't name.  Text of one block has its white space folded; blocks
 are joined in page order by an empty line.
 
 Scale: subtrees are counted with a combine before the shuffle, so a template on every page of a hot host is one
@@ -65,36 +67,41 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 WORDS = re.compile(r"[a-z0-9]+")
 
-Block = tuple[str, int, bool, list[int]]      # text, rank of its region, named as boilerplate, subtrees that hold it
+Block = tuple[str, int, int, list[int]]       # text, rank of its region, LAYOUT, BOILER or 0, subtrees that hold it
+LAYOUT, BOILER = 1, 2                         # named by a compound word around the article; named otherwise
 
 
 class _Node:
     __slots__ = ("tag", "hash", "named", "region", "number", "unseen")
 
-    def __init__(self, tag: str, parent: "_Node | None", named: bool, number: int):
+    def __init__(self, tag: str, parent: "_Node | None", named: int, number: int):
         self.tag, self.number, self.hash = tag, number, xxhash.xxh64(tag)
-        self.named = named or bool(parent and parent.named)
+        self.named = max(named, parent.named if parent else 0)
         region = 2 if tag == "article" else 1 if tag == "main" else 0
         self.region = max(region, parent.region if parent else 0)
 
 
-def _named(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in BOILERPLATE or tag in UNSEEN or (tag == "header" and not in_article):
-        return True
+def _named(tag: str, attributes: str, region: int) -> int:
+    if tag in BOILERPLATE or tag in UNSEEN or (tag == "header" and not region):
+        return BOILER
     if not attributes or tag in WHOLE:
-        return False
+        return 0
+    found = 0
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" and not value.startswith("until"):
-            return True
-        if (name == "role" and value in ROLES) or (name in ("class", "id") and not NAMES.isdisjoint(WORDS.findall(value))):
-            return True
-    return False
+        if (name == "hidden" and not value.startswith("until")) or (name == "role" and value in ROLES):
+            return BOILER
+        if name in ("class", "id"):
+            for token in value.split():
+                parts = WORDS.findall(token)
+                if not NAMES.isdisjoint(parts):
+                    found = max(found, BOILER if region == 2 or NAMES.issuperset(parts) else LAYOUT)
+    return found
 
 
 def parse(html: str) -> tuple[list[Block], list[int]]:
     """Blocks in page order, and the hashes of all subtrees that template removal may delete."""
-    root = _Node("#page", None, False, -1)
+    root = _Node("#page", None, 0, -1)
     stack, found = [root], []
     subtree: list[int | None] = []                           # by node number, filled when the node ends
     blocks: list[tuple] = []
@@ -148,11 +155,10 @@ def parse(html: str) -> tuple[list[Block], list[int]]:
             close = lower.find("</" + tag, at)
             at = len(html) if close < 0 else (html.find(">", close) + 1 or len(html))
             continue
-        in_article = bool(stack[-1].region)
         if tag in INLINE:
             if tag == "br":
                 buffer.append(" ")
-            if tag in VOID or not attributes or not _named(tag, attributes, in_article):
+            if tag in VOID or not attributes or not _named(tag, attributes, stack[-1].region):
                 continue
         flush()
         if tag in VOID:
@@ -163,7 +169,7 @@ def parse(html: str) -> tuple[list[Block], list[int]]:
             end()
         while stack[-1].tag in SIBLINGS.get(tag, ()):
             end()
-        named = _named(tag, attributes, bool(stack[-1].region))
+        named = _named(tag, attributes, stack[-1].region)
         stack.append(_Node(tag, stack[-1], named, len(subtree)))
         subtree.append(None)
     flush()
@@ -174,9 +180,14 @@ def parse(html: str) -> tuple[list[Block], list[int]]:
 
 def _main(blocks: list[Block]) -> list[Block]:
     """Blocks of the innermost kind of region that has text: articles, else main, else the page."""
-    plain = [b for b in blocks if not b[2]]
-    best = max((b[1] for b in plain), default=0)
-    return [b for b in plain if b[1] == best]
+    def innermost(some: list[Block]) -> tuple[int, list[Block]]:
+        best = max((b[1] for b in some), default=0)
+        return best, [b for b in some if b[1] == best]
+
+    rank, plain = innermost([b for b in blocks if not b[2]])
+    inner, wrapped = innermost([b for b in blocks if b[2] == LAYOUT])
+    longer = sum(len(b[0]) for b in wrapped) > sum(len(b[0]) for b in plain)
+    return wrapped if not plain or (inner > rank and longer) else plain
 
 
 _draw = np.random.default_rng(17)

@@ -141,6 +141,18 @@ def test_copied_articles_stay(rows):
     assert set(texts(site.extract(rows("page_id long, url string, html string", data))).values()) == {"Same\n\nCopied passage"}
 
 
+@pytest.mark.parametrize("wrap", ["div class='layout has-sidebar'", "div class=\"no-comments\"", "div id='page-with-menu'"])
+@pytest.mark.parametrize("inner", ["article", "main", "main><div class='with-sidebar'><article", "div"])
+def test_layout_names_around_the_article(wrap, inner):
+    html = f"<body><p>Short</p><{wrap}><{inner}><p>The story itself</p><div class='share'>Share</div>"
+    html = html if inner != "div" else html.replace("<p>Short</p>", "")
+    assert [b[0] for b in site._main(site.parse(html)[0])] == ["The story itself"]
+    teaser = "<article><p>Story</p></article><div class='related'><article><p>A longer teaser</p></article></div>"
+    assert [b[0] for b in site._main(site.parse(teaser)[0])] == ["Story"]
+    comments = "<main><p>Story</p><div id='comments'><article><p>A longer comment</p></article></div></main>"
+    assert [b[0] for b in site._main(site.parse(comments)[0])] == ["Story"]
+
+
 @pytest.mark.parametrize("wrap", ["<article><div><p>{}</p></div></article>", "<article><section><h2>{}</h2></section></article>",
                                   "<article><ul><li>{}</ul><blockquote>{}</blockquote></article>", "<div><p>{}</p></div>",
                                   "<main><table><tr><td>{}</table></main>"])
