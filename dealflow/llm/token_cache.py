@@ -4,12 +4,14 @@ A boundary between a non-space character and a single space or line feed before
 separates pre-tokens (a leading space belongs to what follows it), so a text whose white space is all of that kind
 is the concatenation of its chunks, each encoded on its own; a text with any other run of white space is encoded
 as a whole.  Letters and a full stop or comma after them are different pre-tokens too, so ``word,`` is composed of
-``word`` and ``,``.  New chunks of a group of texts go to the library in one call, parted by the vocabulary's
+``word`` and ``,`` where the word is still all letters after composition and lower case, as a vocabulary's normaliser
+may apply them before it splits (a dotted capital I, say, becomes a letter and a mark, which joins the comma).  New chunks of a group of texts go to the library in one call, parted by the vocabulary's
 end-of-text token.  The cache only saves time: ids never depend on it, and its size is bounded.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,6 +28,13 @@ def regular(chunk: str) -> bool:
     return bool(bare) and (len(bare) == len(chunk) or (len(bare) == len(chunk) - 1 and chunk[0] == "\n"))
 
 
+def letters(base: str) -> bool:
+    """Whether a word is all letters, as it stands and normalised."""
+    if base.isascii() or not base.isalpha():
+        return base.isalpha()
+    return "".join([c.lower() for c in unicodedata.normalize("NFC", base)]).isalpha()
+
+
 class TokenCache:
     """Encodes texts to their ids as little-endian 32-bit bytes."""
 
@@ -59,7 +68,7 @@ class TokenCache:
         whole, composed = set(), []
         for c in new:
             base = c[:-1]
-            if c[-1] in ".," and (base[1:] if base[:1] == "\n" else base).isalpha():
+            if c[-1] in ".," and letters(base[1:] if base[:1] == "\n" else base):
                 composed.append(c)
                 if base not in self.known:
                     whole.add(base)

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from dealflow.llm.bpe_monoid import monoid
-from dealflow.llm.token_cache import TokenCache, token_cache
+from dealflow.llm.token_cache import TokenCache, letters, token_cache
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 BPE = monoid(RANKS, P.PATTERN)
@@ -15,7 +15,7 @@ LIBRARY = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=BPE.ranks,
 TEXTS = st.one_of(
     st.text(max_size=200),
     st.text(alphabet="ab \n\t  \x1c\x85'́sé9漢", max_size=80),
-    st.lists(st.sampled_from(["the", " the", "ing", "tion", "'s", "  ", "\n", " \n", "aaaa", "é", "<|endoftext|>"]),
+    st.lists(st.sampled_from(["the", " the", "ing", "tion", "'s", "  ", "\n", " \n", "aaaa", "é", "<|endoftext|>", " TARİHİ", " कड़", ",", "."]),
              max_size=60).map("".join))
 
 
@@ -48,6 +48,14 @@ def test_cached_chunks_give_the_tokenizers_ids(name, text):
     assert ids == OWN[name].encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_that_normalise_to_marks_before_a_stop(name):
+    odd = [c for c in map(chr, [*range(0xD800), *range(0xE000, 0x20000)]) if c.isalpha() and not letters(c)]
+    texts = ["x TARİHİ, कड़, ड़. İ,", *(f"x a{c}, {c}. \n{c},a b{c}." for c in odd)]
+    assert len(odd) > 20 and [np.frombuffer(x, "<u4").tolist() for x in token_cache(P.path(name)).encode_all(texts)] == [
+        OWN[name].encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("limit", [0, 3, 50])
 def test_a_full_cache_changes_nothing(limit):
     cache = TokenCache(P.path("byte_bpe_50k.json"), limit)
