@@ -27,20 +27,32 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\f"
 WINDOW = 5
 
-#: (texts shorter than so many bytes, lowest ratio, highest ratio).  A short text has little to share, so its
-#: ratio is low; a long one refers back further.  The limits lie about a third beyond ordinary prose.
+#: (texts shorter than so many bytes, lowest ratio, highest ratio).  A short text has little to share and the frame's
+#: own bytes weigh on it, so its ratio is low; a long one refers back further.  A lowest ratio lies between that of
+#: random base64 or printable words of the band's length and the lowest hundredth of ordinary text (licences, manuals
+#: and documents cut to that length), from 2,048 bytes above random lower-case words, from 16,384 above random hex
+#: words too: below those lengths these overlap with ordinary text, and below 100 bytes all noise does.  The highest
+#: ratios lie about a third beyond ordinary prose.
 BANDS = (
     (64, 0.0, 1.6),
-    (128, 0.0, 2.2),
-    (256, 0.9, 2.3),
-    (512, 1.1, 2.5),
-    (1024, 1.2, 2.7),
-    (2048, 1.4, 2.9),
-    (4096, 1.5, 3.0),
-    (8192, 1.55, 3.1),
-    (16384, 1.6, 3.2),
-    (65536, 1.6, 3.4),
-    (1 << 62, 1.6, 4.0),
+    (100, 0.0, 2.2),
+    (112, 0.96, 2.2),
+    (128, 1.01, 2.2),
+    (144, 1.04, 2.3),
+    (160, 1.05, 2.3),
+    (192, 1.07, 2.3),
+    (224, 1.11, 2.3),
+    (256, 1.14, 2.3),
+    (384, 1.19, 2.5),
+    (512, 1.25, 2.5),
+    (768, 1.32, 2.7),
+    (1024, 1.42, 2.7),
+    (2048, 1.49, 2.9),
+    (4096, 1.7, 3.0),
+    (8192, 1.715, 3.1),
+    (16384, 1.9, 3.2),
+    (65536, 2.0, 3.4),
+    (1 << 62, 2.0, 4.0),
 )
 
 

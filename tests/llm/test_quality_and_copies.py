@@ -64,6 +64,41 @@ def test_bands_keep_prose_and_reject_repetition_and_noise(rows):
     assert got[8, 0].word_chars == 0 and got[8, 0].base_failed
 
 
+def judged(text, packer):
+    return bands.judge(text.encode(), packer, bands.Rules())
+
+
+@pytest.mark.parametrize("letters,least", [("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 100),
+                                           ("".join(map(chr, range(33, 127))), 100), ("abcdefghijklmnopqrstuvwxyz", 2048),
+                                           ("0123456789abcdef", 16384)])
+def test_noise_falls_in_every_band(letters, least):
+    import zstandard
+
+    r, packer = random.Random(9), zstandard.ZstdCompressor(level=3)
+    lengths = {n for below, _, _ in bands.BANDS[:-1] for n in (below, (below * 5) // 4)} | {100, 400, 800, 200_000}
+    for n in sorted(x for x in lengths if x >= least):
+        for _ in range(3):
+            text = ""
+            while len(text) < n:
+                text += "".join(r.choices(letters, k=r.randint(3, 9))) + " "
+            got = judged(text[:n], packer)
+            assert not got[5] and not got[-1], (n, got)
+
+
+def test_clean_documents_stay(spark, sf_small):
+    """At most one in 200 documents of ordinary text, or of their beginnings, is taken for noise."""
+    import zstandard
+
+    packer, seen, lost = zstandard.ZstdCompressor(level=3), 0, 0
+    for x in spark.read.parquet(f"{sf_small}/documents.parquet").select("text").collect():
+        raw = (x.text or "").encode()
+        for n in (100, 150, 250, 500, 1000, 3000, len(raw)):
+            if n <= len(raw) and len(raw[:n].split()) >= 10:
+                ratio, low = len(raw[:n]) / len(packer.compress(raw[:n])), next(lo for b, lo, _ in bands.BANDS if n < b)
+                seen, lost = seen + 1, lost + (ratio < low)
+    assert seen > 100 and lost <= seen // 200
+
+
 def test_keep_leaves_columns_alone(rows):
     d = rows("kept long, text string, doc_id long, ratio string", [(1, prose(50, 1), None, "x"), (2, "a b", 2, None)])
     out = bands.keep(d)
