@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dealflow.llm import (
     bpe_monoid, chat_grammar, compression_bands, filter_audit, learned_partitions, license_scan, orc_tokens,
-    simhash_bktree, site_template, sos_packing, suffix_levels, url_rules)
+    simhash_bktree, site_template, sos_packing, spelling_variants, suffix_levels, url_rules)
 from dealflow.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge(pages, url_rules.labelled_table(spark)).select("page_id", "host", "path", "rule", "verdict")
@@ -86,7 +90,7 @@ def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_learned_partitions, op2_license_scan, op3_site_template, op4_bpe_monoid, op5_orc_tokens, op6_simhash_bktree,
     op7_sos_packing, op8_chat_grammar, op9_compression_bands,
-    op10_suffix_levels, op11_filter_audit, op13_url_rules)}
+    op10_suffix_levels, op11_filter_audit, op12_spelling_variants, op13_url_rules)}
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": license_scan.oracle_sql(LICENSE_FILES_SQL),

@@ -3,7 +3,7 @@
 A url's host is what stands between its first ``://`` and the next ``/``, ``?`` or ``#`` (A-Z lower-cased), its path
 what follows up to ``?`` or ``#``.  A rule (verdict, host, path) fits a url of its host, or of a subdomain of it,
 whose path starts with the rule's; the longest rule (host and path together) wins, ties go to the longer host, then
-to ``block``.  Other urls get the sign of a linear score: the n-grams of 3 to 5 code points of ``^host$`` and of
+to ``block``.  Other urls get the sign of a linear score: the n-grams of 2 to 4 code points of ``^host$`` and of
 ``^path$`` are hashed to ``buckets`` numbers, a url being the set of its numbers at unit length.
 
 Everything is column expressions, applied in one narrow pass: no join, no shuffle, no Python worker.  The model is
@@ -177,8 +177,8 @@ http://transport-planning.com/en/buses/21
 
 @dataclass(frozen=True)
 class Fit:
-    buckets: int = 2048
-    sizes: tuple[int, ...] = (3, 4, 5)
+    buckets: int = 4096
+    sizes: tuple[int, ...] = (2, 3, 4)
     steps: int = 120
     rate: float = 24.0
     decay: float = 0.0005
