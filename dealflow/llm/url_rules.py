@@ -3,12 +3,12 @@
 A url's host is what stands between its first ``://`` and the next ``/``, ``?`` or ``#`` (A-Z lower-cased), its path
 what follows up to ``?`` or ``#``.  A rule (verdict, host, path) fits a url of its host, or of a subdomain of it,
 whose path starts with the rule's; the longest rule (host and path together) wins, ties go to the longer host, then
-to ``block``.  Other urls get the sign of a linear score: the n-grams of 2 to 4 code points of ``^host$`` and of
+to ``block``.  Other urls get the sign of a linear score: the n-grams of 3 and 4 code points of ``^host$`` and of
 ``^path$`` are hashed to ``buckets`` numbers, a url being the set of its numbers at unit length.
 
 Everything is column expressions, applied in one narrow pass: no join, no shuffle, no Python worker.  The model is
 fitted on a small labelled table of urls (a parameter, at most ``MAX_LABELLED`` rows, else an error) by full-batch
-gradient descent.  The labelled urls form one row, whose ``aggregate`` runs the steps, so that the weights are one
+gradient descent with momentum.  The labelled urls form one row, whose ``aggregate`` runs the steps, so that the weights are one
 value, which the plan of the scored table takes as a scalar subquery.  One bounded row is the only thing ever held
 whole; urls are never gathered.
 
@@ -36,152 +36,48 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
-#: The small labelled table: invented sites that a corpus wants to leave out, and ordinary ones.
-BLOCKED_URLS = """
-http://online-casino-bonus.com/play/slots
-https://www.royal-casino.net/en/4411
-https://casino-jackpot.org/de/spin.html
-http://blog.vegas-casino-club.com/win-real-money
-https://poker-win-cash.net/tables/index.html
-http://m.slots-and-win.org/fr/9913
-https://bestbets-today.com/odds/football
-http://sport-betting-tips.org/en/771
-https://www.free-spins-bets.info/es/bonus
-http://bets-live.net/in-play
-https://bet-now-free.com/signup?ref=aff
-http://cheap-viagra-online.com/buy
-https://www.cheap-meds-store.net/en/553
-http://buy-pills-no-prescription.org/de/cart
-https://pills-discount.com/order.html
-http://m.pharmacy-cheap-rx.org/fr/2209
-https://diet-pills-fast.info/es/weight-loss
-http://cheap-replica-watches.net/shop/1
-https://adult-video-tube.com/watch/889
-http://www.xxx-adult-cams.net/en/live
-https://adult-dating-now.org/de/join
-http://hot-adult-x-movies.com/fr/120
-https://sexy-cams-x.net/es/model-7
-http://porn-free-hd.org/en/3318
-https://m.adult-stories.info/page/2
-http://nude-x-gallery.com/pics/44
-http://ads-server-click.com/banner?id=3
-https://track.ads-network.net/en/pixel
-http://ads-popup-media.org/de/redirect.html
-https://click-tracker.com/c/8831
-http://www.adtrack-metrics.net/fr/collect
-https://affiliate-track-link.org/es/go
-http://banner-ads-exchange.info/en/serve
-https://m.tracking-pixel-cdn.com/t.gif
-http://spam-links-directory.com/page/1
-https://www.link-farm-seo.net/en/backlinks
-http://article-spam-submit.org/de/7765
-https://cheap-seo-links-farm.com/buy-links
-http://blog.spammy-content-farm.net/fr/6642
-https://spin-content-farm.org/es/5510
-http://spam-comment-tool.info/download
-https://free-traffic-farm.com/exchange
-http://download-crack-keygen.com/serial
-https://www.warez-full-crack.net/en/340
-http://free-keygen-serials.org/de/office.html
-https://torrent-crack-games.com/fr/882
-http://get-rich-quick-cash.com/system
-https://www.earn-money-fast.net/en/work-home
-http://forex-win-robot.org/de/profit
-https://crypto-double-money.com/fr/invest
-http://payday-loans-instant.net/es/apply
-https://cheap-payday-cash.org/en/loan.html
-http://free-gift-card-win.com/claim
-https://you-win-prize.net/en/lottery
-http://m.lottery-win-big.org/de/ticket
-https://free-iphone-winner.com/fr/survey
-http://miracle-weight-loss-pills.com/order
-https://www.hair-loss-cheap-cure.net/es/buy
-http://psychic-free-reading.org/en/call
-https://mail-order-brides-x.com/de/gallery
-http://www.casino-free-bets.org/en/15
-https://win-bets-casino.com/es/bonus.html
-http://blog.cheap-drugs.net/en/888
-https://m.adult-x-chat.org/de/room
-http://spam-mailer.com/fr/bulk
-https://ads-tracker.org/en/track.html
+#: Words of invented sites that a corpus wants to leave out, and of ordinary ones: the labelled urls are built of them.
+BLOCKED_WORDS = """
+casino slots jackpot poker roulette bets betting odds lottery bingo win winner bonus spins viagra cialis pills meds
+pharmacy drugs cheap discount replica weightloss adult xxx sex porn nude cams escort dating hot spam farm links
+backlinks seo ads adserver banner popup track tracker tracking click pixel affiliate warez crack keygen serial torrent
+free cash loans payday forex profit money rich prize giftcard survey
 """.split()
-ALLOWED_URLS = """
-https://www.riverton-library.org/catalogue/41
-http://blog.alpine-hikers.net/en/2210
-https://harbour-museum.com/de/collection/19
-http://m.daily-courier.org/fr/8841.html
-https://northfield-college.net/es/courses
-http://www.garden-notes.com/en/3320
-https://maritime-history.org/en/articles/77
-http://blog.kitchen-table.net/recipes/soup
-https://science-weekly.com/fr/5516
-http://city-council.org/de/minutes/2021
-https://m.weather-station.net/en/report
-http://translation-notes.com/es/3381
-https://www.tradition-and-thought.org/en/1002
-http://motion-studies.net/de/paper-4.html
-https://blog.nation-builder-history.com/fr/911
-http://the-thinking-reader.org/en/essays
-https://station-road-primary.net/en/news
-http://www.theatre-archive.com/es/plays/6
-https://mathematics-forum.org/de/topic/812
-http://m.thirty-streets.net/fr/city-guide
-https://action-for-rivers.com/en/reports/5
-http://blog.otherworld-books.org/es/review
-https://weather-than-ever.net/en/climate
-http://www.motherland-folk.com/de/songs
-https://then-and-now-photos.org/en/1920
-http://threshing-machines.net/fr/farm-history
-https://portal.health-services.com/en/vaccines
-http://university-press.org/es/books/313
-https://www.open-source-notes.net/en/tutorial/3
-http://blog.data-engineering.com/en/joins.html
-https://documentation-hub.org/de/install
-http://m.astronomy-club.net/fr/moon
-https://local-history.com/es/castle.html
-http://www.botanical-society.org/en/orchids
-https://family-archive.net/de/letters
-http://blog.small-boats.com/en/sailing/18
-https://railway-timetables.org/fr/line-4
-http://www.parliament-record.net/en/debates/66
-https://language-lessons.com/es/verbs
-http://m.chess-federation.org/de/games/12
-https://ornithology-today.net/en/sparrow
-http://public-radio-notes.com/fr/episode/90
-https://www.farmers-market.org/en/opening-hours
-http://blog.mountain-rescue.net/es/winter
-https://civil-engineers.com/en/bridges
-http://economics-papers.org/de/5521.html
-https://m.poetry-corner.net/fr/sonnet
-http://www.school-board.com/en/agenda
-https://patient-handbook.org/es/diabetes
-http://geology-field-trips.net/en/rocks.html
-https://blog.teacher-training.com/de/7719
-http://photography-basics.org/en/light
-https://www.community-orchestra.net/fr/concerts
-http://legal-commentary.com/en/contracts/4
-https://m.cycling-routes.org/es/coast
-http://village-hall.net/de/events
-https://museum-of-print.com/en/type
-http://blog.physics-problems.org/fr/waves
-https://www.gazette-archive.net/en/1887.html
-http://consumer-advice.com/es/heating
-https://regional-dialects.org/de/words
-http://m.marine-biology.net/en/whales
-https://election-results.com/fr/2019
-http://www.child-care-guide.org/en/sleep
-https://blog.ceramics-studio.net/es/glaze
-http://transport-planning.com/en/buses/21
+ALLOWED_WORDS = """
+library museum courier college garden history kitchen science council weather translation tradition thought motion
+nation reading station theatre mathematics street action river other rather mother then threshing health university
+source data documentation astronomy castle botany family boats railway parliament language chess bird radio farmers
+mountain engineer economics poetry school patient geology teacher photography orchestra legal cycling village print
+physics gazette consumer dialect marine election child ceramics transport with this that there these where when which
+information education collection section question nature picture culture future letter winter master minister paper
+house horse north south forest harbour island bridge tower market church doctor author editor student child woman
+leben zeitung schule wasser garten kirche bruder welt vie monde maison jardin livre ville eau vida mundo casa libro agua
 """.split()
 
 
+def labelled_urls() -> list[tuple[str, int]]:
+    """``(url, 1 to block or 0)``: pairs of words under changing subdomains, domains and paths, alike for both labels."""
+    out = []
+    for blocked, words in ((1, BLOCKED_WORDS), (0, ALLOWED_WORDS)):
+        for i, first in enumerate(words):
+            for j in range(1, 5):
+                k = 4 * i + j
+                second = words[(i + j * 17) % len(words)]
+                host = ("", "www.", "blog.", "m.")[(k + k // 4) % 4] + first + ("-", "", "-", "")[j - 1] + second
+                domain = ("com", "net", "org", "example.com", "example.net", "example.org")[k % 6]
+                tail = ("", "/", ".html", "/index")[(k // 3) % 4]
+                out.append((f"http://{host}.{domain}/{('en', 'de', 'fr', 'es')[k // 6 % 4]}/{k * 7919 % 50000}{tail}", blocked))
+    return sorted(set(out))
+
+
 @dataclass(frozen=True)
 class Fit:
     buckets: int = 4096
-    sizes: tuple[int, ...] = (2, 3, 4)
-    steps: int = 120
-    rate: float = 24.0
-    decay: float = 0.0005
+    sizes: tuple[int, ...] = (3, 4)
+    steps: int = 60
+    rate: float = 4.0
+    decay: float = 0.0001
+    momentum: float = 0.95
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -203,7 +99,7 @@ def ngram_buckets(host: str, path: str, fit: Fit) -> str:
 
 def labelled_table(spark: SparkSession) -> DataFrame:
     """The small labelled table ``(url, blocked)``."""
-    rows = ", ".join(f"('{u}', {b})" for b, urls in ((1, BLOCKED_URLS), (0, ALLOWED_URLS)) for u in urls)
+    rows = ", ".join(f"('{u}', {b})" for u, b in labelled_urls())
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(url, blocked)")
 
 
@@ -227,11 +123,15 @@ def train(labelled: DataFrame, fit: Fit = Fit()) -> DataFrame:
     turned = lists.agg(F.expr("transform(array_sort(collect_list(struct(j, l))), x -> x.l)").alias("inv"))
     some = some.select("ex", turned.scalar().alias("inv")).limit(1)
     residual = ("transform(ex, e -> 1 / (1 + exp(-(m.bias + e.s * aggregate(e.b, 0D, (a, b) -> a + m.w[b])))) - e.y)")
-    step = f"""transform(array({residual}), r -> named_struct(
-        'w', transform(inv, (l, j) -> m.w[j] * {1 - fit.rate * fit.decay!r}D
-                 - {fit.rate!r}D / greatest(size(ex), 1) * aggregate(l, 0D, (a, x) -> a + r[x.i] * x.s)),
-        'bias', m.bias - {fit.rate!r}D / greatest(size(ex), 1) * aggregate(r, 0D, (a, x) -> a + x)))[0]"""
-    start = f"named_struct('w', array_repeat(0D, {fit.buckets}), 'bias', 0D)"
+    rate = f"{fit.rate!r}D / greatest(size(ex), 1)"
+    # v and vb are the steps that are taken: part of the last one, and the gradient's
+    step = f"""transform(array(transform(array({residual}), r -> named_struct(
+        'v', transform(inv, (l, j) -> {fit.momentum!r}D * m.v[j] - {fit.rate * fit.decay!r}D * m.w[j]
+                 - {rate} * aggregate(l, 0D, (a, x) -> a + r[x.i] * x.s)),
+        'vb', {fit.momentum!r}D * m.vb - {rate} * aggregate(r, 0D, (a, x) -> a + x)))[0]), g -> named_struct(
+        'w', zip_with(m.w, g.v, (a, b) -> a + b), 'v', g.v, 'bias', m.bias + g.vb, 'vb', g.vb))[0]"""
+    start = (f"named_struct('w', array_repeat(0D, {fit.buckets}), 'v', array_repeat(0D, {fit.buckets}), "
+             f"'bias', 0D, 'vb', 0D)")
     return some.selectExpr(f"aggregate(sequence(1, {fit.steps}), {start}, (m, t) -> {step}) AS m").select("m.w", "m.bias")
 
 
@@ -262,7 +162,7 @@ def judge(pages: DataFrame, labelled: DataFrame, url_col: str = "url", rules=RUL
 
 def oracle_sql(pages: str, rules=RULES, fit: Fit = Fit()) -> str:
     """DuckDB SQL for :func:`judge` over ``pages``, a query of ``(page_id, url)``: rules, training and scores."""
-    labelled = ", ".join(f"('{u}', {b})" for b, urls in ((1, BLOCKED_URLS), (0, ALLOWED_URLS)) for u in urls)
+    labelled = ", ".join(f"('{u}', {b})" for u, b in labelled_urls())
     rule_rows = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
 
     def parts(source: str) -> str:
@@ -293,16 +193,18 @@ WITH RECURSIVE labelled(url, y) AS (VALUES {labelled}),
            (SELECT list(l ORDER BY j) FROM (
               SELECT j, list(struct_pack(i := f.i, s := f.s)) FILTER (WHERE f.i IS NOT NULL) AS l
               FROM range(0, {fit.buckets}) AS r(j) LEFT JOIN feat f ON f.b = r.j GROUP BY j)) AS inv),
-  fitted(t, w, bias) AS (
-    SELECT 0, list_transform(range(0, {fit.buckets}), lambda j: 0::DOUBLE), 0::DOUBLE
+  fitted(t, w, v, bias, vb) AS (
+    SELECT 0, list_transform(range(0, {fit.buckets}), lambda j: 0::DOUBLE),
+           list_transform(range(0, {fit.buckets}), lambda j: 0::DOUBLE), 0::DOUBLE, 0::DOUBLE
     UNION ALL
-    SELECT t + 1,
-           list_transform(range(1, {fit.buckets} + 1), lambda j: w[j] * {1 - fit.rate * fit.decay!r}::DOUBLE - {fit.rate!r}::DOUBLE
-             / len(r) * coalesce(list_sum(list_transform(inv[j], lambda x: r[x.i] * x.s)), 0)),
-           bias - {fit.rate!r}::DOUBLE / len(r) * list_sum(r)
-    FROM (SELECT t, w, bias, inv, list_transform(examples, lambda e: 1 / (1 + exp(-(bias + e.s * coalesce(list_sum(
-                 list_transform(e.b, lambda b: w[b + 1])), 0)))) - e.y) AS r
-          FROM fitted CROSS JOIN packed WHERE t < {fit.steps})),
+    SELECT t + 1, list_transform(range(1, {fit.buckets} + 1), lambda j: w[j] + g[j]), g, bias + gb, gb
+    FROM (SELECT t, w, bias, list_transform(range(1, {fit.buckets} + 1), lambda j: {fit.momentum!r}::DOUBLE * v[j]
+                   - {fit.rate * fit.decay!r}::DOUBLE * w[j] - {fit.rate!r}::DOUBLE / len(r)
+                   * coalesce(list_sum(list_transform(inv[j], lambda x: r[x.i] * x.s)), 0)) AS g,
+                 {fit.momentum!r}::DOUBLE * vb - {fit.rate!r}::DOUBLE / len(r) * list_sum(r) AS gb
+          FROM (SELECT t, w, v, bias, vb, inv, list_transform(examples, lambda e: 1 / (1 + exp(-(bias + e.s * coalesce(
+                         list_sum(list_transform(e.b, lambda b: w[b + 1])), 0)))) - e.y) AS r
+                FROM fitted CROSS JOIN packed WHERE t < {fit.steps}))),
   model AS MATERIALIZED (SELECT bias, w FROM fitted WHERE t = {fit.steps}),
   weights AS (SELECT unnest(range(0, {fit.buckets})) AS b, unnest(w) AS w FROM model),
   site AS MATERIALIZED ({parts(f"({pages})")}),

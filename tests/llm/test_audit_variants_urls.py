@@ -192,7 +192,7 @@ def brute_rule(host, path, rules):
 URLS = [None, "", "nothing here", "http://", "http://com/", "http://xcom/", "http://a.COM/x?y/z#q", "http://a.com", "http://a.com?x=/en/",
         "http://example.com/en/1", "http://www.example.com/en/1", "http://b.www.example.com/en/", "http://www.example.com/e",
         "ftp://x.net/es/a://b.com/", "http://net/fr/", "http://x.net/fr", "http://ünï.org/ßé/\U0001F600", "http://x.org/" + "a" * 30_000,
-        "http://a.org/\nnew", "https://HOST.ORG#frag/en", "http://casino-win.example.org/de/1", "http://hill-walks.example.org/de/1"]
+        "http://a.org/\nnew", "https://HOST.ORG#frag/en", "http://casino-win.example.org/de/1", "http://river-history.example.org/de/1"]
 
 
 def test_rules_against_brute_force(spark, rows):
@@ -225,7 +225,7 @@ def test_model_on_urls_it_has_not_seen(spark, rows):
         got = urls.judge(fold.where(f"f = {f}"), fold.where(f"f <> {f}"), rules=()).collect()
         right += sum((x.verdict == "block") == (x.blocked == 1) for x in got)
         total += len(got)
-    assert total == labelled.count() and right >= 0.85 * total, (right, total)
+    assert total == labelled.count() and right >= 0.95 * total, (right, total)
 
 
 def test_longest_rule_wins_and_ties_are_settled(spark, rows):
