@@ -21,6 +21,12 @@ def fixed(x: Column, dp: int) -> Column:
     return F.replace(F.format_number(x, dp), F.lit(","), F.lit(""))
 
 
+def shown(x: Column, dp: int, plus: bool = False, commas: bool = False) -> Column:
+    """``f"{x:+,.{dp}f}"``, sign and commas where asked for: a text shows the exact binary value, rounded half even."""
+    text = F.format_number(x, dp) if commas else fixed(x, dp)
+    return F.concat(F.when(x >= 0, F.lit("+")).otherwise(F.lit("")), text) if plus else text
+
+
 def pct(price: Column, base: Column, dp: int = 2) -> Column:
     """E5: percent change of ``price`` over ``base``, rounded; null if either is
     null or the base is 0.  Operation order is (p - b) / b * 100."""

@@ -9,7 +9,7 @@ per key per map task) instead of a window over the hot key's partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealflow.operators.lookup import lookup
@@ -69,8 +69,8 @@ def merged_flags(feed: DataFrame, ledger: DataFrame | None = None, key: str = "a
     return f.withColumn("is_processed", seen).drop("_p", "_a", "_in")
 
 
-def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank", bucket_rows: int = 1 << 14,
-               fan_in: int = 1 << 12) -> DataFrame:
+def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank", bucket_rows: int = 1 << 16,
+               fan_in: int = 1 << 16, ranks: int = 1 << 63) -> DataFrame:
     """F9 + W3: run length of consecutive processed rows in feed order, and
     whether the scan still examines the row before it stops at the
     ``threshold``-th consecutive processed row.
@@ -78,16 +78,17 @@ def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank"
     A global running count would pull the whole feed into one task.  Instead
     rows go to buckets of at most ``bucket_rows`` consecutive ranks (ranks are
     unique, so a bucket is bounded) and runs are counted inside each bucket.
-    Buckets are summed up in one row each, those in groups of ``fan_in``
-    buckets, and the groups hand back what came before them: no window holds
-    more than ``bucket_rows`` or ``fan_in`` rows for feeds of up to
-    bucket_rows * fan_in^2 ranks (2^38).  All joins are equi-joins, and
+    Buckets are summed up in one row each, those in groups of ``fan_in``, and
+    so on over as many levels as ``ranks`` needs (three for all 64-bit ranks),
+    until one window holds what is left; each level hands back the run that
+    enters its members.  The result is the same whatever the ranks are:
+    ``ranks`` only settles the number of levels.  All joins are equi-joins, and
     nothing runs before the result is asked for.  Rows without a key
     (``is_processed`` null) neither count nor reset the run and are left out
     of the result.
     """
     keyed = flagged.where(F.col("is_processed").isNotNull())
-    b = keyed.withColumn("_bucket", F.floor(F.col(order) / F.lit(bucket_rows)).cast("bigint"))
+    b = keyed.withColumn("_bucket", _part(F.col(order).cast("bigint"), bucket_rows))
     w = Window.partitionBy("_bucket").orderBy(order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     # one partitioning and order for every window: row number, and the row
@@ -104,7 +105,7 @@ def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank"
         F.max_by("_local_run", order).alias("_trail"),
         F.min(F.when((F.col("_local_run") >= threshold) & F.col("_last_new").isNotNull(), F.col(order))).alias("_own_stop"),
         F.sort_array(F.collect_list(F.when(leading, F.col(order)))).alias("_leading"))
-    carried = _carried(summary, fan_in)
+    carried = _carried(summary, fan_in, -(-ranks // bucket_rows))
     need = F.greatest(F.lit(1), F.lit(threshold) - F.col("_carry")).cast("int")
     carried = carried.withColumn("_stop_b", F.least(F.col("_own_stop"), F.try_element_at("_leading", need)))
     stop = carried.agg(F.min("_stop_b")).scalar()
@@ -117,6 +118,11 @@ def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank"
     return b.drop("_bucket", "_rn", "_last_new", "_local_run", "_carry")
 
 
+def _part(x: Column, size: int) -> Column:
+    """The number of the part of ``size`` whole numbers that holds ``x`` (exact for all 64 bits, below zero too)."""
+    return F.call_function("div", x - F.pmod(x, F.lit(size)), F.lit(size))
+
+
 def _entering(d: DataFrame, group: str) -> DataFrame:
     """``_enters``: the run entering each row from earlier rows of its group; ``_open``: it reaches the group's begin."""
     earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -127,16 +133,16 @@ def _entering(d: DataFrame, group: str) -> DataFrame:
         "_enters", F.col("_s") + F.coalesce(F.col("_last"), F.lit(0)))
 
 
-def _carried(summary: DataFrame, fan_in: int) -> DataFrame:
-    """``summary`` with ``_carry``, the run that enters each bucket."""
-    d = summary.withColumn("_group", F.floor(F.col("_bucket") / F.lit(fan_in)).cast("bigint"))
-    d = _entering(d, "_group")
+def _carried(summary: DataFrame, fan_in: int, buckets: int) -> DataFrame:
+    """``summary`` with ``_carry``, the run that enters each bucket; ``buckets``: how far their numbers may go."""
+    if buckets <= fan_in:
+        return _entering(summary.withColumn("_all", F.lit(0)), "_all").withColumn("_carry", F.col("_enters"))
+    d = _entering(summary.withColumn("_group", _part(F.col("_bucket"), fan_in)), "_group")
     # a group ends with its last bucket's run, longer if that bucket holds no new row
     end = F.col("_trail") + F.when(F.col("_has_new"), F.lit(0)).otherwise(F.col("_enters"))
-    groups = d.groupBy("_group").agg(F.sum("_n").alias("_n"), F.max("_has_new").alias("_has_new"),
-                                     F.max_by(end, F.col("_bucket")).alias("_trail"))
-    groups = groups.withColumnRenamed("_group", "_bucket").withColumn(
-        "_super", F.floor(F.col("_bucket") / F.lit(fan_in)).cast("bigint"))
-    above = _entering(groups, "_super").select(F.col("_bucket").alias("_group"), F.col("_enters").alias("_above"))
+    groups = d.groupBy(F.col("_group").alias("_next")).agg(
+        F.sum("_n").alias("_n"), F.max("_has_new").alias("_has_new"), F.max_by(end, F.col("_bucket")).alias("_trail"))
+    above = _carried(groups.withColumnRenamed("_next", "_bucket"), fan_in, -(-buckets // fan_in))
+    above = above.select(F.col("_bucket").alias("_group"), F.col("_carry").alias("_above"))
     return d.join(above, "_group").withColumn(
         "_carry", F.col("_enters") + F.when(F.col("_open"), F.col("_above")).otherwise(F.lit(0)))

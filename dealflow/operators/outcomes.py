@@ -53,10 +53,11 @@ def session_aggregates(bars: DataFrame, keys: DataFrame | None = None,
     """One row per (ticker, session_date) with everything A1-A3 and J11-J13 need.
 
     ``keys`` (ticker, session_date) restricts the bars read to the sessions
-    some alert needs.  Windows are ``[open, open + m)``.
+    some alert needs; bars stored by ``session_date`` keep that column, so the
+    keys prune the store's folders at run time.  Windows are ``[open, open + m)``.
     """
-    b = bars.select("ticker", "ts", "open", "high", "low", "close", "volume",
-                    F.to_date("ts").alias("session_date"))
+    date = F.col("session_date") if "session_date" in bars.columns else F.to_date("ts")
+    b = bars.select("ticker", "ts", "open", "high", "low", "close", "volume", date.alias("session_date"))
     if keys is not None:
         b = b.join(keys, ["ticker", "session_date"], "left_semi")
     b = b.withColumn("_open_ts", session_open_ts(F.col("session_date"), open_minute))

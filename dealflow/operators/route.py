@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealflow.functions.identifiers import alert_key, chart_url
-from dealflow.functions.numeric import truthy
+from dealflow.functions.numeric import shown, truthy
 from dealflow.functions.text import _capped, truncate_sentence, verdict_guard
 from dealflow.functions.timefns import filing_context, iso_seconds, local_time_v2
 
@@ -178,15 +178,15 @@ def alert_embed(df: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
                  _tail(truthy_str(F.col("acq_ticker")), F.lit(" ("), F.col("acq_ticker"), F.lit(")"))),
         F.when(dv_ok, F.concat(F.lit("Value: "), dv,
                                _tail(F.col("deal_value_source") == "regex_confirmed", F.lit(" (confirmed)"))))
-         .when(truthy(F.col("deal_value_regex")), F.format_string("Value: $%,.0f (regex)", F.col("deal_value_regex"))),
+         .when(truthy(F.col("deal_value_regex")), F.concat(F.lit("Value: $"), shown(F.col("deal_value_regex"), 0, commas=True), F.lit(" (regex)"))),
         F.when(truthy(F.col("offer_price_per_share")) & truthy(F.col("tgt_price")),
                F.concat(F.lit("Offer: $"), F.col("offer_price_per_share").cast("string"),
                         F.lit(" | Price: $"), F.col("tgt_price").cast("string"))),
-        F.when(prem.isNotNull(), F.format_string("Premium: +%.1f%%", prem)),
-        F.when(F.col("upside_pct").isNotNull(), F.format_string("Upside to offer: %+.1f%%", F.col("upside_pct"))),
+        F.when(prem.isNotNull(), F.concat(F.lit("Premium: +"), shown(prem, 1), F.lit("%"))),
+        F.when(F.col("upside_pct").isNotNull(), F.concat(F.lit("Upside to offer: "), shown(F.col("upside_pct"), 1, plus=True), F.lit("%"))),
         F.when(F.col("short_squeeze_risk").isin("high", "medium"),
-               F.format_string("Short squeeze: %s (%.1f%% of float)", F.upper("short_squeeze_risk"),
-                               F.coalesce(F.col("tgt_short_percent"), F.lit(0.0)) * 100)),
+               F.concat(F.lit("Short squeeze: "), F.upper("short_squeeze_risk"), F.lit(" ("),
+                        shown(F.coalesce(F.col("tgt_short_percent"), F.lit(0.0)) * 100, 1), F.lit("% of float)"))),
         F.concat(F.lit("Signal: "), alert_signal(F.col("filer_role"), F.col("is_full_acquisition"),
                                                 F.col("deal_structure"), F.col("target_ticker"), F.col("tgt_price"))),
         F.format_string("Score %s/10 | Confidence %s/10 | %s",
@@ -201,17 +201,17 @@ def alert_embed(df: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
         F.concat(F.lit("Valuation: "), F.col("tgt_cap_formatted")),
         F.when(truthy(F.col("tgt_price")), F.concat(F.lit("Price: $"), F.col("tgt_price").cast("string"))),
         F.when(F.col("tgt_volume_spike") > 1.5,
-               F.concat(F.format_string("Volume: %.1fx avg", F.col("tgt_volume_spike")),
+               F.concat(F.lit("Volume: "), shown(F.col("tgt_volume_spike"), 1), F.lit("x avg"),
                         F.when(F.col("_vol_label").isNotNull(),
                                F.concat(F.lit(" ("), F.col("_vol_label"), F.lit(")"))).otherwise(F.lit("")))),
         F.when(F.col("tgt_week_change_pct").isNotNull(),
-               F.concat(F.format_string("Week: %+.2f%%", F.col("tgt_week_change_pct")),
+               F.concat(F.lit("Week: "), shown(F.col("tgt_week_change_pct"), 2, plus=True), F.lit("%"),
                         _tail(week_move_label(F.col("tgt_week_change_pct")).isNotNull(), F.lit(" (already moved)")))),
         F.when(F.col("_short_label").isNotNull(),
-               F.concat(F.format_string("Short: %.1f%% of float (", F.col("tgt_short_percent") * 100),
+               F.concat(F.lit("Short: "), shown(F.col("tgt_short_percent") * 100, 1), F.lit("% of float ("),
                         F.col("_short_label"), F.lit(")"))),
         F.when(F.col("_inst_label").isNotNull(),
-               F.concat(F.format_string("Institutions: %.0f%% (", F.col("tgt_institutional_pct") * 100),
+               F.concat(F.lit("Institutions: "), shown(F.col("tgt_institutional_pct") * 100, 0), F.lit("% ("),
                         F.col("_inst_label"), F.lit(")"))))
     has_tgt = F.col("tgt_ticker").isNotNull() & F.col("tgt_error").isNull()
     fields = F.array_compact(F.array(
@@ -225,10 +225,10 @@ def alert_embed(df: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
                    "\n", F.concat(F.lit("Valuation: "), F.col("acq_cap_formatted")),
                    F.concat(F.lit("Price: $"), F.col("acq_price").cast("string")),
                    F.when(F.col("acq_week_change_pct").isNotNull(), F.concat(
-                       F.format_string("Week: %+.2f%% (", F.col("acq_week_change_pct")),
+                       F.lit("Week: "), shown(F.col("acq_week_change_pct"), 2, plus=True), F.lit("% ("),
                        acquirer_week_label(F.col("acq_week_change_pct")), F.lit(")"))),
                    F.when(F.col("cap_ratio").isNotNull(),
-                          F.format_string("Acquirer/target: %.1fx valuation", F.col("cap_ratio")))), True)),
+                          F.concat(F.lit("Acquirer/target: "), shown(F.col("cap_ratio"), 1), F.lit("x valuation")))), True)),
         F.when(verdict != "", fld("Analyst view", cap_text(verdict), False)),
         F.when(F.size(F.coalesce(F.col("key_points"), F.array())) > 0,
                fld("Key points", cap_text(_bullets(F.col("key_points"), caps.get("key_points"))), False)),

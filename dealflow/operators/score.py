@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from dealflow.functions.numeric import truthy
+from dealflow.functions.numeric import shown, truthy
 from dealflow.functions.text import MA_EXCLUSIONS, MA_KEYWORDS_STRONG, any_pattern, json_block_v2
 
 Scorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
@@ -48,18 +48,18 @@ def scoring_requests(df: DataFrame) -> DataFrame:
         " | ", F.concat(F.lit("ticker "), F.col("ticker")),
         F.concat(F.lit("price "), F.coalesce(F.col("price").cast("string"), F.lit("unknown"))),
         F.concat(F.lit("capitalisation "), F.col("cap_formatted")),
-        F.when(truthy(F.col("shares_outstanding")), F.format_string("shares %,.0f", F.col("shares_outstanding")))
+        F.when(truthy(F.col("shares_outstanding")), F.concat(F.lit("shares "), shown(F.col("shares_outstanding"), 0, commas=True)))
         .otherwise(F.lit("shares unknown")),
-        F.format_string("volume %.1fx", F.coalesce(F.col("volume_spike"), F.lit(1.0))),
-        F.format_string("week %+.1f%%", F.coalesce(F.col("week_change_pct"), F.lit(0.0))),
-        F.format_string("short %.1f%% of float", short * 100),
-        F.format_string("institutions %.0f%%", F.coalesce(F.col("institutional_pct"), F.lit(0.0)) * 100))
+        F.concat(F.lit("volume "), shown(F.coalesce(F.col("volume_spike"), F.lit(1.0)), 1), F.lit("x")),
+        F.concat(F.lit("week "), shown(F.coalesce(F.col("week_change_pct"), F.lit(0.0)), 1, plus=True), F.lit("%")),
+        F.concat(F.lit("short "), shown(short * 100, 1), F.lit("% of float")),
+        F.concat(F.lit("institutions "), shown(F.coalesce(F.col("institutional_pct"), F.lit(0.0)) * 100, 0), F.lit("%")))
     value = F.col("deal_value_regex")
     return (df.withColumn("market_line", F.when(known, line).otherwise(F.lit("no market data")))
-            .withColumn("value_anchor", F.when(truthy(value), F.format_string("value in text: $%,.0f", value))
+            .withColumn("value_anchor", F.when(truthy(value), F.concat(F.lit("value in text: $"), shown(value, 0, commas=True)))
                         .otherwise(F.lit("no value found in text")))
             .withColumn("short_note", F.when(F.col("ticker").isNotNull() & (short > SHORT_NOTE_LEVEL),
-                                             F.format_string("high short interest: %.1f%% of float", short * 100))))
+                                             F.concat(F.lit("high short interest: "), shown(short * 100, 1), F.lit("% of float")))))
 
 
 def rule_score(section: Column, deal_type: Column, full: Column, structure: Column,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dealflow.plans import q_filings, q_outcomes, q_stream, q_text, q_time  # noqa: F401
+from dealflow.plans import q_filings, q_landed, q_outcomes, q_stream, q_text, q_time  # noqa: F401
 from dealflow.plans.registry import ORACLES, QUERIES, oracle_sql  # noqa: F401
 
 

@@ -7,7 +7,7 @@ fixed schemas so nothing is inferred at scale.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DateType, DoubleType, LongType, MapType, StringType,
                                StructField, StructType, TimestampNTZType)
@@ -42,18 +42,33 @@ def _ranked(rows: DataFrame) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, path: str, feed: str = "primary") -> DataFrame:
-    """Atom ``entry`` rows (built-in XML reader; the default namespace is
-    dropped, the link's ``href`` attribute becomes ``link._href``).  Malformed
-    entries are kept with ``_corrupt_record`` set (PERMISSIVE), as the second
-    scanner's tolerant parser keeps going.  Name landed files so that their
-    order is that of landing: ``feed_rank`` follows names, then places."""
-    df = (spark.read.format("xml").option("rowTag", "entry").option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record").schema(ATOM_ENTRY).load(path))
+    """Atom ``entry`` rows (the default namespace is dropped, the link's
+    ``href`` attribute becomes ``link._href``).  Files are cut at the entries'
+    ends and each entry is parsed on its own, so a malformed one is kept with
+    ``_corrupt_record`` set and its neighbours are read, as the second scanner's
+    tolerant parser keeps going; the built-in file reader would give up the
+    rest of the file.  Name landed files so that their order is that of landing:
+    ``feed_rank`` follows names, then places."""
+    cut = spark.read.option("lineSep", "</entry>").text(path).select(
+        F.regexp_extract("value", r"(?s)<entry[\s>].*", 0).alias("_raw"), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_mid"))
+    cut = cut.where(F.col("_raw") != "")
+    entry = F.from_xml(F.concat("_raw", F.lit("</entry>")), ATOM_ENTRY,
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    df = cut.select(entry.alias("e"), "_file", "_block", "_mid").select("e.*", "_file", "_block", "_mid")
     return _ranked(df.select("title", F.col("link._href").alias("link"), F.coalesce("id", F.lit("")).alias("entry_id"),
                      F.coalesce("published", F.col("updated")).alias("published_raw"), "updated",
-                     "_corrupt_record", F.lit(feed).alias("feed"),
-                     F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-                     F.monotonically_increasing_id().alias("_mid")))
+                     "_corrupt_record", F.lit(feed).alias("feed"), "_file", "_block", "_mid"))
+
+
+def render_entry(broken: Column) -> Column:
+    """A feed row as an Atom ``entry`` element, for landing; where ``broken``, its title is left open."""
+    escape = lambda c: F.replace(F.replace(F.replace(
+        F.coalesce(F.col(c), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
+    return F.concat(F.lit("<entry><title>"), escape("title"), F.when(broken, "").otherwise("</title>"),
+                    F.lit('<link rel="alternate" href="'), escape("link"), F.lit('"/><id>'), escape("entry_id"),
+                    F.lit("</id><published>"), escape("published_raw"), F.lit("</published><updated>"), escape("updated"),
+                    F.lit("</updated></entry>"))
 
 
 # ---- S3: documents -----------------------------------------------------------
@@ -72,11 +87,12 @@ ISSUER = StructType([StructField("cik_str", LongType()), StructField("ticker", S
                      StructField("title", StringType())])
 
 
-def read_issuer_map(spark: SparkSession, path: str) -> DataFrame:
+def read_issuer_map(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """The ``{"0": {cik_str, ticker, title}, ...}`` file to rows with the
-    entry's ordinal (file order).  The file is one JSON document, bounded by
-    the number of listed issuers."""
-    doc = spark.read.text(path, wholetext=True)
+    entry's ordinal (file order).  A file is one JSON document, bounded by
+    the number of listed issuers; ``lines``: each line is one, as a large map
+    lands in parts."""
+    doc = spark.read.text(path, wholetext=not lines)
     m = F.from_json(F.col("value"), MapType(StringType(), ISSUER))
     e = doc.select(F.explode(m).alias("ordinal", "v"))
     return e.select(F.col("ordinal").cast("long").alias("ordinal"), "v.cik_str", "v.ticker", "v.title")
@@ -91,10 +107,11 @@ SUBMISSIONS = StructType([
 ])
 
 
-def read_submissions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Per-issuer submissions files to (filings, tickers) rows: parallel
-    arrays are zipped and exploded; the first ticker is upper-cased."""
-    s = spark.read.option("multiLine", "true").schema(SUBMISSIONS).json(path)
+def read_submissions(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Per-issuer submissions files (``lines``: a document a line) to (filings,
+    tickers) rows: parallel arrays are zipped and exploded; the first ticker is
+    upper-cased."""
+    s = spark.read.option("multiLine", str(not lines).lower()).schema(SUBMISSIONS).json(path)
     z = s.select("cik", F.posexplode(F.arrays_zip("filings.recent.accessionNumber",
                                                   "filings.recent.items")).alias("pos", "z"))
     filings = z.select("cik", F.col("z.accessionNumber").alias("accession"),
@@ -196,7 +213,7 @@ def feed_with_times(feed: DataFrame) -> DataFrame:
     return feed.withColumn("published_ts", parse_published(F.col("published_raw")))
 
 
-__all__ = ["read_feed", "read_documents", "read_issuer_map", "read_submissions", "read_market", "read_bars",
+__all__ = ["read_feed", "render_entry", "read_documents", "read_issuer_map", "read_submissions", "read_market", "read_bars",
            "read_daily_bars", "bars_to_utc", "read_log",
            "write_bars", "append_ledger", "read_ledger", "append_log", "write_alerts", "write_report",
            "feed_with_times"]

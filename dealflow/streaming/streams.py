@@ -79,13 +79,15 @@ def daily_digest_stream(filings: DataFrame, delay: str = "1 hour", ts: str = "ev
 
 
 def run_available_now(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append",
-                      timeout_s: float | None = None) -> None:
+                      timeout_s: float | None = None) -> int:
     """ST1/ST3: process everything available, commit per micro-batch to the
     checkpoint, then stop.  A rerun resumes from the checkpoint.
 
     Without ``timeout_s`` it waits until all is processed.  With it, a run
     that isn't done by then is stopped and raises ``TimeoutError``: the sink
-    holds the committed batches only, and a rerun goes on from them."""
+    holds the committed batches only, and a rerun goes on from them.
+
+    Returns how many rows this run dropped as later than the watermark."""
     q = (stream.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).outputMode(mode)
          .trigger(availableNow=True).start())
@@ -98,3 +100,4 @@ def run_available_now(stream: DataFrame, sink: str, checkpoint: str, mode: str =
         raise q.exception()
     if timeout_s and not done:
         raise TimeoutError(f"the stream to {sink} was not finished after {timeout_s} s")
+    return sum(s.numRowsDroppedByWatermark for p in q.recentProgress for s in p.stateOperators)

@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dealflow.operators.bars import daily_bars
 from dealflow.operators.ledger import latest_per_key
 from dealflow.operators.outcomes import track_outcomes, with_session_date
 from dealflow.operators.report import report_by_context, report_by_score, report_by_structure, report_totals
+from dealflow.sources.readers import read_bars
+from dealflow.sources.store import exists, replace_partitions
 
 
 def alert_status(alerts: DataFrame, outcomes: DataFrame, key: str = "alert_id") -> DataFrame:
@@ -45,3 +48,22 @@ def weekly_report(outcomes: DataFrame, as_of: dt.date) -> dict[str, DataFrame] |
         return None
     return {"totals": report_totals(outcomes), "by_structure": report_by_structure(outcomes),
             "by_score": report_by_score(outcomes), "by_context": report_by_context(outcomes)}
+
+
+def track_step(spark: SparkSession, alerts: str, bars: str, outcomes: str, as_of: dt.date, benchmark: str = "SPY",
+               compat: bool = True) -> None:
+    """ST4 + ST5 + S10 over stored logs: measure what is pending by ``as_of`` and extend the outcome log.
+
+    ``alerts`` and ``bars`` are folders that others append to (bars as ``write_bars`` leaves them).  An alert is
+    pending until an earlier step has an outcome of it, so alerts and bars that land late are taken by the next
+    step.  A step's outcomes are one partition of the log: run again with the same ``as_of`` it replaces its own
+    rows, and steps one after the other leave what one step over everything would.
+    """
+    day = F.lit(as_of)
+    waiting = with_session_date(spark.read.parquet(alerts)).where(F.col("session_date") <= day)
+    if exists(spark, outcomes):
+        earlier = spark.read.parquet(outcomes).where(F.col("as_of") < day)
+        waiting = waiting.join(earlier.select("alert_id").distinct(), "alert_id", "left_anti")
+    seen = read_bars(spark, bars).where(F.col("session_date") <= day)
+    new = track_outcomes(waiting.drop("session_date"), seen, daily_bars(seen), benchmark, compat=compat)
+    replace_partitions(new.withColumn("as_of", day), outcomes, "as_of")
