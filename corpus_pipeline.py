@@ -3,6 +3,10 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last return the columns of
 ``documents``.  :func:`run` applies them to ``documents``, writing each stage's rows to the shared folder.
 No stage is expressible in SQL, so there is no oracle; the stages are tested against brute force.
+
+Defined cases, for each stage: null ids, texts and other columns, empty and very long texts, ties, repeated rows and
+empty tables are as in the operator's module; further columns pass through all stages but the last, whatever their
+names; ``n_chars`` is that of the text which a stage leaves (null for a null text).
 """
 
 from __future__ import annotations
@@ -15,6 +19,11 @@ from dealflow.llm import compression_bands, simhash_bktree, sos_packing, suffix_
 from dealflow.llm.common import stage, table
 
 
+#: A repeated passage is one of 200 bytes or more.  Passages of over 50 words have 315 bytes in the median, few have
+#: less than 250, and a string of the shortest kind must lie wholly inside one.
+PASSAGE = suffix_levels.Spec(length=200, window=128)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the compression bands keep."""
     return compression_bands.keep(docs)
@@ -26,8 +35,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the bytes of 400-byte strings that start elsewhere too."""
-    return suffix_levels.remove(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Every document, without the bytes of ``PASSAGE`` strings that start elsewhere too."""
+    return suffix_levels.remove(docs, spec=PASSAGE).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -199,9 +199,12 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     keep = label(docs, id_col, text_col, shingle, radius).where(F.col(id_col) == F.col("component_id"))
     keep = keep.select(id_col).distinct()
+    place = "_row"
+    while place.lower() in map(str.lower, docs.columns):      # a name that the input lacks
+        place += "_"
     first = (docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi")
-             .withColumn("_row", F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))))
-             .where("_row = 1"))
+             .withColumn(place, F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))))
+             .where(F.col(place) == 1))
     return first.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 
 

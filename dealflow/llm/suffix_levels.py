@@ -49,6 +49,7 @@ from dealflow.llm.common import stage
 
 GRAM = 8
 BLOCK = 16
+CELL = 32               # single starts to a row
 SLAB = 1 << 19          # positions handled at once: bounds a task's memory whatever a text's length
 _U = np.uint64
 
@@ -143,6 +144,13 @@ def _joined(parts: list[tuple], spec: Spec):
     return data, ok, begin, np.array([x[0] for x in parts], np.int64), np.array([x[2] for x in parts], np.int64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Small pieces of Arrow batches: what Python makes of a piece is gone before the next."""
+    for b in batches:
+        for a in range(0, b.num_rows, rows):
+            yield b.slice(a, rows)
+
+
 def _longs(*names: str) -> list[T.StructField]:
     return [T.StructField(x, T.LongType()) for x in names]
 
@@ -162,7 +170,7 @@ def sampled_suffixes(texts: DataFrame, spec: Spec) -> DataFrame:
     schema = T.StructType([texts.schema["id"], *_longs("key", "first", "n", "back", "lead", "head", "ctx")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             for parts in _slabs(b.column(2).cast(pa.large_binary()).to_pylist(), spec):
                 data, ok, begin, owner, offset = _joined(parts, spec)
                 anchor, first, last = segments(data, ok, spec)
@@ -199,14 +207,14 @@ class SuffixIndex:
             self.levels.append((2 * size, stage(merged.sortWithinPartitions("lead", "head"), "suffix-level")))
 
     def add(self, suffixes: DataFrame) -> DataFrame:
-        """Heads ``(lead, head)`` of the batch that occur twice in it or also in a level."""
+        """Heads ``(lead, head, n)`` of the batch that occur twice in it or also in a level; n: how often in the batch."""
         self._merge_equal()
         array = suffixes.groupBy("lead", "head").agg(F.count(F.lit(1)).alias("n"))
         array = stage(array.sortWithinPartitions("lead", "head"), "suffix-array")
-        found = array.where("n > 1").select("lead", "head")
+        found = array.where("n > 1").select("lead", "head", "n")
         for _, level in self.levels:
             met = array.join(level.select("lead", "head"), ["lead", "head"], "left_semi")
-            found = found.unionByName(met.select("lead", "head"))
+            found = found.unionByName(met.select("lead", "head", "n"))
         self.levels.append((1, array))
         return found
 
@@ -233,7 +241,7 @@ def _packed(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
-        for b in batches:
+        for b in _slices(batches):
             cols = list(b.columns)
             raw = cols[at].cast(pa.large_binary()).to_pylist()
             cols[at] = pa.array([pack.compress(x or b"") for x in raw], pa.binary())
@@ -249,7 +257,7 @@ def _cut_contexts(joined: DataFrame, spec: Spec) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in _slices(batches, 64):
             for i, (packed, parts) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
                 raw = unpack.decompress(packed)
                 for a in range(0, len(parts), 4096):
@@ -307,7 +315,7 @@ def _strings(joined: DataFrame, spec: Spec) -> DataFrame:
     schema = T.StructType([joined.schema["id"], *_longs("key", "first", "weight", "a", "b")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches, 64):
             first = _column(b, "first").tolist()
             raws, parts = (b.column(b.schema.get_field_index(x)).to_pylist() for x in ("bytes", "parts"))
             for i, (raw, some) in enumerate(zip(raws, parts)):
@@ -325,15 +333,21 @@ def _strings(joined: DataFrame, spec: Spec) -> DataFrame:
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec: Spec = Spec(),
             batches: int = 4) -> DataFrame:
-    """``(id, key, spans)``: for each text that has any, the runs ``[first, last]`` of starts of repeated strings."""
+    """``(id, key, spans)``: for each text that has any, the runs ``[first, last]`` of starts of repeated strings, and
+    single starts, where first and last are one: those at first + i for each bit i of ``mask``."""
     texts = _keyed(docs, id_col, text_col)
     index, every, heads = SuffixIndex(), None, None
     for i in range(batches):
         rows = stage(sampled_suffixes(texts.where(F.pmod(F.xxhash64("id", "key"), F.lit(batches)) == i), spec), "suffixes")
         found = index.add(rows)
         every, heads = (rows, found) if every is None else (every.unionByName(rows), heads.unionByName(found))
-    matched = every.join(heads.distinct(), ["lead", "head"], "left_semi").drop("lead")
-    matched = stage(matched, "matched")
+    heads = stage(heads.groupBy("lead", "head").agg(F.sum("n").alias("n")), "heads")
+    # A head that stands at a thousandth of all anchors: there are a few thousand at most (a batch names a head once
+    # for itself and once a level), so they are broadcast, and no key of the shuffled join is hot.
+    hot = F.broadcast(heads.where(F.col("n") * 1000 >= every.agg(F.count(F.lit(1))).scalar()))
+    on = ["lead", "head"]
+    matched = every.join(hot, on, "left_semi").unionByName(every.join(hot, on, "left_anti").join(heads, on, "left_semi"))
+    matched = stage(matched.drop("lead"), "matched")
 
     contexts = stage(matched.groupBy("head", "ctx").agg(
         F.count(F.lit(1)).alias("weight"), F.min(F.struct("id", "key", "first", "n", "back")).alias("owner")), "contexts")
@@ -358,17 +372,36 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spe
         r, bytes_["id"].eqNullSafe(r["_id"]) & (bytes_["key"] == r["_key"]) & (bytes_["first"] == r["of"]))
     strings = stage(_strings(joined, spec), "strings")
     twice = stage(strings.groupBy("a", "b").agg(F.sum("weight").alias("w")).where("w > 1"), "repeated-strings")
-    single = strings.where("weight = 1").join(twice, ["a", "b"], "left_semi").select(
-        "id", "key", "first", F.col("first").alias("last"))
-
-    spans = sure.unionByName(settled).unionByName(single)
-    return spans.groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    single = strings.where("weight = 1").join(twice, ["a", "b"], "left_semi")
+    # single starts, 32 to a row, so that a text's list is as long as its runs rather than its bytes
+    cell = F.col("first") - F.pmod(F.col("first"), F.lit(CELL))
+    masks = single.groupBy("id", "key", cell.alias("cell")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(first, {CELL}) as int))")).alias("mask"))
+    masks = masks.select("id", "key", F.col("cell").alias("first"), F.col("cell").alias("last"), "mask")
+
+    spans = sure.unionByName(settled).withColumn("mask", F.lit(1).cast("long")).unionByName(masks)
+    return spans.groupBy("id", "key").agg(F.collect_list(F.struct("first", "last", "mask")).alias("spans"))
+
+
+def _starts(spans: list[dict] | None) -> Iterator[tuple[int, int]]:
+    """First and last start of each run."""
+    for x in spans or ():
+        first, mask = x["first"], x["mask"]
+        if mask == 1:
+            yield first, x["last"]
+            continue
+        while mask:
+            skip = (mask & -mask).bit_length() - 1
+            mask >>= skip
+            size = (~mask & (mask + 1)).bit_length() - 1
+            yield first + skip, first + skip + size - 1
+            first, mask = first + skip + size, mask >> size
 
 
 def _runs(spans: list[dict] | None, length: int) -> list[tuple[int, int]]:
     """Maximal removed runs ``[begin, end)``."""
     out: list[tuple[int, int]] = []
-    for a, z in sorted((x["first"], x["last"] + length) for x in spans or ()):
+    for a, z in sorted((first, last + length) for first, last in _starts(spans)):
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], max(z, out[-1][1]))
         else:
@@ -384,31 +417,30 @@ def _kept(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, raw[at:]])
 
 
-def _joined_spans(rows: DataFrame, id_col: str, text_col: str, spec: Spec, batches: int) -> DataFrame:
-    spans = repeats(rows, id_col, text_col, spec, batches).withColumnsRenamed({"id": "_id", "key": "_k", "spans": "_spans"})
-    packed = _packed(rows.withColumn("_key", F.xxhash64(text_col)).withColumnRenamed(text_col, "text"))
-    return packed.join(spans, packed[id_col].eqNullSafe(spans["_id"]) & (packed["_key"] == spans["_k"]), "left")
+def _joined_spans(rows: DataFrame, spec: Spec, batches: int) -> DataFrame:
+    """``rows(id, text, ..)`` with compressed texts and their ``spans``; names are this module's own."""
+    spans = repeats(rows, "id", "text", spec, batches)
+    return _with_owner(_packed(rows.withColumn("key", F.xxhash64("text"))), spans, "left")
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec: Spec = Spec(),
             batches: int = 4) -> DataFrame:
     """For each row: the id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``."""
-    joined = _joined_spans(docs.select(id_col, text_col), id_col, text_col, spec, batches).select(
-        id_col, "text", "_spans")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    joined = _joined_spans(rows, spec, batches).select("id", "text", "spans")
     schema = T.StructType([docs.schema[id_col], *_longs("n_bytes", "n_removed", "n_spans"),
                            T.StructField("kept_sha256", T.StringType())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for b in it:
+        for b in _slices(it):
             rows = []
-            for packed, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                raw, runs = unpack.decompress(packed), _runs(spans, spec.length)
+            for packed, spans in zip(b.column(1), b.column(2)):
+                raw, runs = unpack.decompress(packed.as_py()), _runs(spans.as_py(), spec.length)
                 rows.append((len(raw), sum(z - a for a, z in runs), len(runs),
                              hashlib.sha256(_kept(raw, runs)).hexdigest()))
-            cols = list(zip(*rows)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *(pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 3 + [pa.string()]))],
+                [b.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64()] * 3 + [pa.string()]))],
                 names=schema.names)
 
     return joined.mapInArrow(run, schema)
@@ -418,20 +450,22 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spec
            batches: int = 4) -> DataFrame:
     """``docs`` with the repeated bytes gone from its texts; a character that loses a byte goes whole.
 
-    Null texts stay null; every row stays, also one left without text.
+    Null texts stay null; every row stays, also one left without text; other columns stay, whatever their names.
     """
     names = docs.columns
-    joined = _joined_spans(docs.withColumn("_null", F.col(text_col).isNull()), id_col, text_col, spec, batches)
-    joined = joined.withColumnRenamed("text", text_col).select(*names, "_null", "_spans")
-    at = names.index(text_col)
+    at, others = names.index(text_col), [c for c in names if c != text_col]
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(text_col).isNull().alias("none"),
+                       F.struct(*others).alias("row"))
+    joined = _joined_spans(rows, spec, batches).select("text", "none", "spans", "row")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for b in it:
-            cols = list(b.columns)
-            texts = [None if null else _kept(unpack.decompress(x), _runs(spans, spec.length)).decode("utf-8", "ignore")
-                     for x, null, spans in zip(cols[at].to_pylist(), cols[-2].to_pylist(), cols[-1].to_pylist())]
-            cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols[:-2], names=names)
+        for b in _slices(it):
+            texts = [None if none.as_py() else
+                     _kept(unpack.decompress(x.as_py()), _runs(spans.as_py(), spec.length)).decode("utf-8", "ignore")
+                     for x, none, spans in zip(*b.columns[:3])]
+            cols = b.column(3).flatten()
+            cols.insert(at, pa.array(texts, pa.string()))
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return joined.mapInArrow(run, docs.schema)

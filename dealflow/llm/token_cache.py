@@ -5,8 +5,10 @@ separates pre-tokens (a leading space belongs to what follows it), so a text who
 is the concatenation of its chunks, each encoded on its own; a text with any other run of white space is encoded
 as a whole.  Letters and a full stop or comma after them are different pre-tokens too, so ``word,`` is composed of
 ``word`` and ``,`` where the word is still all letters after composition and lower case, as a vocabulary's normaliser
-may apply them before it splits (a dotted capital I, say, becomes a letter and a mark, which joins the comma).  New chunks of a group of texts go to the library in one call, parted by the vocabulary's
-end-of-text token.  The cache only saves time: ids never depend on it, and its size is bounded.
+may apply them before it splits (a dotted capital I, say, becomes a letter and a mark, which joins the comma).  New
+chunks of a group of texts go to the library in one call, parted by the vocabulary's end-of-text token.  The library
+keeps its plain setting, so a special token's string in a text is that token; a text with one, in any case of its
+letters, is encoded as a whole.  The cache only saves time: ids never depend on it, and its size is bounded.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import numpy as np
 CACHE_ENTRIES = 900_000
 GROUP_CHARS = 1 << 20
 END = "<|endoftext|>"
+BLANK = " "                                    # stands for no ids; no chunk holds a space
 
 
 def regular(chunk: str) -> bool:
@@ -42,10 +45,10 @@ class TokenCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True          # their strings in a text are ordinary text
-        self.parting = Tokenizer.from_file(path)              # here the end-of-text token parts the chunks
-        self.end = self.parting.token_to_id(END)
-        self.known: dict[str, bytes] = {}
+        self.end = self.tokenizer.token_to_id(END)             # parts the chunks that are learned
+        self.special = [x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {BLANK: b""}
+        self.first: dict[str, bytes] = {}                      # chunks that begin a text
         self.marks = {c: self._ids(c) for c in ".,"}
         self.limit = limit
 
@@ -56,7 +59,7 @@ class TokenCache:
         for a in range(0, len(chunks), 2048):
             some = chunks[a:a + 2048]
             text = END.join([c if c[0] == "\n" else " " + c for c in some])
-            ids = np.array(self.parting.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.nonzero(ids == self.end)[0]
             raw = ids.tobytes()
             begin = [0, *(4 * cuts + 4).tolist()]
@@ -78,22 +81,39 @@ class TokenCache:
         for c in composed:
             self.known[c] = self.known[c[:-1]] + self.marks[c[-1]]
 
+    def _begin(self, chunk: str) -> bytes:
+        ids = self.first.get(chunk)
+        if ids is None:
+            ids = self._ids(chunk)
+            if len(self.first) < self.limit // 16:
+                self.first[chunk] = ids
+        return ids
+
     def _group(self, texts: list[str]) -> list[bytes]:
         known, before = self.known, len(self.known)
         split = [x.replace("\n", " \n").split(" ") for x in texts]
-        new = {c for chunks in split for c in chunks[1:] if c not in known}
+        # first chunks are few, and mostly met elsewhere too
+        new = set().union(*split).difference(known)
         odd = {c for c in new if not regular(c)}
-        special = [c for c in new if "<|" in c or "|>" in c]
-        for c in special:
-            if c not in odd:
-                known[c] = self._ids(c if c[0] == "\n" else " " + c)
-        self._compose(list(new.difference(odd, special)))
+        marked = {c for c in new if "<|" in c or "|>" in c}
+        odd |= {c for c in marked if any(s in c.lower() for s in self.special)}
+        for c in marked - odd:                                 # near the mark that parts the others: each on its own
+            known[c] = self._ids(c if c[0] == "\n" else " " + c)
+        self._compose(list(new.difference(odd, marked)))
         out = []
-        for text, (first, *rest) in zip(texts, split):
-            if not rest or not regular(first) or first[0] == "\n" or (odd and not odd.isdisjoint(rest)):
+        get = known.__getitem__
+        for text, chunks in zip(texts, split):
+            first = chunks[0]
+            if len(chunks) == 1 or not regular(first) or first[0] == "\n" or first in odd:
+                out.append(self._ids(text))
+                continue
+            chunks[0] = BLANK
+            try:
+                ids = b"".join(map(get, chunks))
+            except KeyError:                                   # an odd chunk
                 out.append(self._ids(text))
             else:
-                out.append(b"".join([self._ids(first), *map(known.__getitem__, rest)]))
+                out.append(self._begin(first) + ids)
         if len(known) > self.limit:                            # keep those met first: the common ones
             for c in list(known)[max(before, self.limit):]:
                 del known[c]

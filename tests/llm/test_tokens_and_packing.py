@@ -27,7 +27,6 @@ SCHEMA = "doc_id long, text string, ids string"
 
 def library(path):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
