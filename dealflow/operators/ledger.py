@@ -69,8 +69,8 @@ def merged_flags(feed: DataFrame, ledger: DataFrame | None = None, key: str = "a
     return f.withColumn("is_processed", seen).drop("_p", "_a", "_in")
 
 
-def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank", bucket_rows: int = 1 << 16,
-               fan_in: int = 1 << 16, ranks: int = 1 << 63) -> DataFrame:
+def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank", bucket_rows: int = 1 << 18,
+               fan_in: int = 1 << 23, ranks: int = 1 << 63) -> DataFrame:
     """F9 + W3: run length of consecutive processed rows in feed order, and
     whether the scan still examines the row before it stops at the
     ``threshold``-th consecutive processed row.
@@ -79,7 +79,7 @@ def early_stop(flagged: DataFrame, threshold: int = 15, order: str = "feed_rank"
     rows go to buckets of at most ``bucket_rows`` consecutive ranks (ranks are
     unique, so a bucket is bounded) and runs are counted inside each bucket.
     Buckets are summed up in one row each, those in groups of ``fan_in``, and
-    so on over as many levels as ``ranks`` needs (three for all 64-bit ranks),
+    so on over as many levels as ``ranks`` needs (two for all 64-bit ranks),
     until one window holds what is left; each level hands back the run that
     enters its members.  The result is the same whatever the ranks are:
     ``ranks`` only settles the number of levels.  All joins are equi-joins, and
