@@ -206,15 +206,15 @@ def test_pipeline_against_its_parts(spark, tmp_path, sf_small):
             assert set(now) == set(group.values())
         if name == "repeated_passages":
             assert set(now) == set(seen)
-            counts = {}
+            counts, n = {}, corpus_pipeline.PASSAGE.length
             for x in seen.values():
                 raw = x.text.encode()
-                for p in range(len(raw) - 399):
-                    counts[raw[p:p + 400]] = counts.get(raw[p:p + 400], 0) + 1
+                for p in range(len(raw) - n + 1):
+                    counts[raw[p:p + n]] = counts.get(raw[p:p + n], 0) + 1
             for i, x in now.items():
                 raw = seen[i].text.encode()
-                spans = [{"first": p, "last": p} for p in range(len(raw) - 399) if counts[raw[p:p + 400]] > 1]
-                kept = suf._kept(raw, suf._runs(spans, 400)).decode("utf-8", "ignore")
+                spans = [{"first": p, "last": p, "mask": 1} for p in range(len(raw) - n + 1) if counts[raw[p:p + n]] > 1]
+                kept = suf._kept(raw, suf._runs(spans, n)).decode("utf-8", "ignore")
                 assert x.text == kept and x.n_chars == len(kept)
         pdf, seen = out, now
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "repeated_passages", "packing"]
@@ -230,3 +230,20 @@ def test_pipeline_of_odd_rows(spark, rows):
         for _, step in corpus_pipeline.STAGES:
             d = step(spark, d, "")
         assert {x.doc_id for x in d.collect()} == ({None, 4} if n else set())
+
+
+def test_stages_keep_columns_of_any_name(spark, rows):
+    text = " ".join(f"word{i}" for i in range(60))
+    schema = ("doc_id long, text string, lang string, source string, n_chars long, _null int, _spans int, _k int, _id int, "
+              "_key int, _row int, id int, key int, row int, fp int")
+    data = [(i, f"{text} own{i} {'abc' * i}", "en", "s", 1, *range(10)) for i in (1, 2)]
+    d = rows(schema, data)
+    for _, step in corpus_pipeline.STAGES[:3]:
+        d = step(spark, d, "")
+        assert d.columns == rows(schema, data).columns
+        assert {tuple(x)[5:] for x in d.collect()} == {tuple(range(10))}
+
+
+def test_starts_of_masks():
+    assert list(suf._starts([{"first": 64, "last": 64, "mask": 0b1011_0110}, {"first": 3, "last": 9, "mask": 1}])) == [
+        (65, 66), (68, 69), (71, 71), (3, 9)]
