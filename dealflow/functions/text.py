@@ -73,8 +73,15 @@ def decode_entities(s: pd.Series) -> pd.Series:
     return s.map(lambda v: html.unescape(v) if isinstance(v, str) and "&" in v else v)
 
 
-# A tag starts with ``<`` and a letter, ``/``, ``!`` or ``?``; any other ``<`` is text.
-TAG = r"(?s)<[A-Za-z/!?][^>]*>"
+# What is not text, as one pattern, so that each piece is read once and from its own start: comments; script, style
+# and noscript with their bodies (unclosed: to the end); tags.  A tag starts with ``<`` and a letter, ``/``, ``!`` or
+# ``?``; any other ``<`` is text.  A quote after ``=`` hides ``>`` up to its partner; without one it is a mere character.
+_GAP = r"[ \t\n\r\f]"
+_ATTRIBUTES = rf"""(?:[^>=]++|={_GAP}*+"[^"]*+"|={_GAP}*+'[^']*+'|=)*+"""
+_BODIES = "|".join(rf"{t}(?:(?:{_GAP}|/){_ATTRIBUTES})?>.*?(?:</{t}(?:{_GAP}|/)*+>|\z)" for t in ("script", "style", "noscript"))
+MARKUP = rf"(?is)<(?:!--.*?(?:-->|\z)|{_BODIES}|[a-z]{_ATTRIBUTES}>|[a-z/!?][^>]*+>)"
+# RE2 never backtracks and has no possessive form
+MARKUP_RE2 = MARKUP.replace("*+", "*").replace("++", "+")
 
 
 def strip_lines(t: Column) -> Column:
@@ -89,18 +96,12 @@ def with_clean_html(df: DataFrame, raw: str, out: str, decode: bool = True) -> D
     """Text nodes, one stripped non-blank line each, joined by newlines.
 
     Comments, doctype and the bodies of script, style and noscript go; every
-    other tag becomes a line break.  The comment and doctype passes only run
-    on rows that contain ``<!`` (checked with a plain substring test)."""
-    r = F.col(raw)
-    tmp = f"_{out}_m"
-    d = df.withColumn(tmp, F.when(r.contains("<!"), F.regexp_replace(
-        F.regexp_replace(r, r"(?s)<!--.*?-->", "\n"), r"(?is)<!DOCTYPE[^>]*>", "\n")).otherwise(r))
-    t = F.col(tmp)
-    t = F.regexp_replace(t, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>", "\n")
-    t = F.regexp_replace(t, TAG, "\n")
+    other tag becomes a line break.  A ``>`` inside a quoted attribute does not
+    end its tag; an unclosed comment or body goes to the end of the text."""
+    t = F.regexp_replace(F.col(raw), MARKUP, "\n")
     if decode:
         t = decode_entities(t)
-    return d.withColumn(out, strip_lines(t)).drop(tmp)
+    return df.withColumn(out, strip_lines(t))
 
 
 def cleaning_ratio(raw: Column, clean: Column) -> Column:

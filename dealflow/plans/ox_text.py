@@ -42,11 +42,7 @@ def rstrip_sql(x: str) -> str:
 
 
 def clean_html_sql(raw: str) -> str:
-    t = f"regexp_replace({raw}, '(?s)<!--.*?-->', chr(10), 'g')"
-    t = f"regexp_replace({t}, '(?is)<!DOCTYPE[^>]*>', chr(10), 'g')"
-    for tag in ("script", "style", "noscript"):
-        t = f"regexp_replace({t}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', chr(10), 'g')"
-    t = f"regexp_replace({t}, {q(T.TAG)}, chr(10), 'g')"
+    t = f"regexp_replace({raw}, {q(T.MARKUP_RE2)}, chr(10), 'g')"
     for ent, ch in ORACLE_ENTITIES:
         t = f"replace({t}, {q(ent)}, {q(ch)})"
     return strip_sql(f"regexp_replace({t}, {q(T.WS_NO_NL_RE2 + '*' + chr(92) + 'n' + T.WS_RE2 + '*')}, chr(10), 'g')")

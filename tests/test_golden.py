@@ -303,3 +303,39 @@ def test_long_texts_reach_section_and_value(spark):
 def test_one_scan_gives_both_unit_readings(spark, text, loose, tight):
     d = T.with_deal_value(spark.createDataFrame([(text,)], "x string"), "x", "a", "b").first()
     assert d.a == (loose if loose > 1e6 else (5e6 if "major" in text else None)) and d.b == tight
+
+
+MARKUP_ROWS = {
+    '<a title="a > b">x</a> y': "x\ny",
+    "<a title='1 > 0' href=x>z</a>": "z",
+    '<p title="open>a</p>b': "a\nb",
+    "<p it's>a</p><p it's>b</p>": "a\nb",
+    "a<script>if (a < b) { x = '<!--'; }</script>b": "a\nb",
+    "a<script src='x>y'>c": "a",
+    "a<style>p > b": "a",
+    "a<noscript><p>n</p></noscript >b": "a\nb",
+    "a<!-- <script> --> b</p>": "a\nb",
+    "a<!-- b <p>c": "a",
+    "a<scripted>b</scripted>": "a\nb",
+    "<!DOCTYPE html><P CLASS = \"x>\" >A": "A",
+    "1 < 2 and 3 > 2, <5": "1 < 2 and 3 > 2, <5",
+    "a <b": "a <b",
+    "": "",
+}
+
+
+def test_markup_quotes_and_unclosed(spark):
+    """T1 on quoted attributes, unclosed bodies and comments; the oracle's spelling gives the same."""
+    import duckdb
+
+    from dealflow.plans import ox_text
+    for raw, clean in MARKUP_ROWS.items():
+        assert via(spark, T.with_clean_html, raw) == clean, raw
+        sql = "SELECT " + ox_text.clean_html_sql("raw") + " FROM (SELECT ? AS raw)"
+        assert duckdb.execute(sql, [raw]).fetchone()[0] == clean, raw
+
+
+def test_markup_long_tags(spark):
+    """A tag of a megabyte is one match, without recursion."""
+    many = "<p " + "a=\"x > y\" b='z' " * 60_000 + ">t</p>" + "<!-- " + "- " * 300_000 + "-->u"
+    assert via(spark, T.with_clean_html, many) == "t\nu"
