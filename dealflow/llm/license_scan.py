@@ -1,44 +1,44 @@
-"""Licence scan: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
-
-Every line of every file is a sparse vector of its words' tf-idf weights; document frequencies are counted over
-all files, and a word outside the templates weighs like one no file has.  A line whose cosine to a template reaches
-``threshold`` is evidence for that licence.  A file's own licence is its best line's.  A file whose words lie to
-``file_share`` or more in evidence lines is a licence file, and speaks for its directory.  A file without a licence
-of its own takes that of the nearest ancestor directory that has one, by joins on directory paths.
-
-DataFrame functions only.  A line can only reach the threshold if it holds one of a template's *heavy* words (those
-without which the rest of the template's vector is too short), so the words of other lines are never exploded; the
-test is exact.  Directories are resolved once each, not once per file.  Templates and their words are the only
-things that pass through the driver.
+"""Licence scan: sparse TF-IDF cosine of headers, notices and licence files to templates, then inheritance from the
+nearest ancestor directory.
+
+A file's passages are its sentences (a line is cut at stops followed by a blank), its blocks (runs of lines with
+words; the first one is its header) and the whole file.  A passage is the sparse vector of its words' tf-idf weights
+(document frequencies over all files).  It is evidence for the licence of a template if it holds all words that the
+template requires (version numbers and the like) and their cosine reaches ``threshold``.  A file's own licence is that
+of its best evidence, a reservation of rights only where there is no other.  A file speaks for its directory if its
+first block is a licence's title, or if the evidence of one kind of passage holds ``file_share`` of its words or more.
+A file without a licence of its own takes that of the nearest ancestor directory that has one, by joins on paths.
+
+DataFrame functions only.  Each template requires an *anchor*, a word that few texts hold, so only passages with one
+are ever exploded (exact).  Document frequencies are counted per task before the shuffle.  The templates, which don't
+grow with the data, are the only thing broadcast, and the number of files the only thing collected.  A frequent word's
+rows are dealt over copies of its frequency.  Directories are resolved once each, not once per file.
 
 Defined cases: a null text has no words; a null part of a path reads ``-``; of equal cosines the licence first in
-alphabet, then the earlier line; a directory with several licence files takes the best cosine, then the smallest
-path; repeated rows each get a row; further columns are ignored; an empty table gives no rows.
+alphabet, then the smaller passage kind and the earlier passage; a directory with several files that speak takes the
+best as among evidence, then the smallest path; repeated rows each get a row; further columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dealflow.llm.common import stage
+from dealflow.llm.license_templates import PROPRIETARY, TEMPLATES, Template
+from dealflow.operators.lookup import lookup
+
 THRESHOLD = 0.6
 FILE_SHARE = 0.3
 WORD_BREAK = r"[^\p{L}\p{N}]+"
-
-#: Notices by licence.
-TEMPLATES = {
-    "MIT": "Released under the MIT License.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0.",
-    "proprietary": "All rights reserved.",
-}
+SENTENCE_BREAK = r"[.!?]+[ \t]+|\n"
+BLOCK_BREAK = r"\n(?:[^\p{L}\p{N}\n]*+\n)++"
+BLOCK_BREAK_RE2 = BLOCK_BREAK.replace("*+", "*").replace("++", "+")
+SALTS = 16
 
 
 def words(text: str) -> Counter:
@@ -49,56 +49,71 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), WORD_BREAK), "")
 
 
-def _heavy(weights: dict[str, float], threshold: float) -> set[str]:
-    """The fewest heaviest words without which a template's vector is shorter than threshold times its length."""
-    total = math.sqrt(sum(w * w for w in weights.values()))
-    left, out = sum(w * w for w in weights.values()), set()
-    for word in sorted(weights, key=lambda x: (-weights[x], x)):
-        if math.sqrt(max(left, 0.0)) < 0.999 * threshold * total:
-            break
-        out.add(word)
-        left -= weights[word] ** 2
-    return out
+def anchors(templates: list[Template]) -> list[str]:
+    return sorted({t.required.split()[0] for t in templates})
+
+
+def passages(text: Column) -> Column:
+    """``(kind, pos, body)`` of a text's sentences, blocks and the whole."""
+    def numbered(kind: str, parts: Column) -> Column:
+        return F.transform(parts, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), x.alias("body")))
+
+    start = F.regexp_replace(text, r"^[^\p{L}\p{N}]+", "")
+    return F.concat(numbered("sentence", F.split(text, SENTENCE_BREAK)), numbered("block", F.split(start, BLOCK_BREAK)),
+                    numbered("file", F.array(text)))
 
 
-def _literals(values: list[str]) -> Column:
-    return F.array(*map(F.lit, sorted(values)))
+def _template_rows(templates: list[Template]) -> tuple[str, str]:
+    """SQL rows ``(t, word, n, required)`` of the templates' words, and ``(t, license, kind, n_required)`` of the templates."""
+    word_rows = ", ".join(f"({i}, '{w}', {n}, {int(w in t.required.split())})"
+                          for i, t in enumerate(templates) for w, n in words(t.text).items())
+    rows = ", ".join(f"({i}, '{t.license}', '{t.kind}', {len(set(t.required.split()))})" for i, t in enumerate(templates))
+    return word_rows, rows
 
 
-def evidence(files: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``(path, h, line, license, score, line_words, file_words)``: lines of ``files(path, h, text)`` that match."""
+def evidence(files: DataFrame, templates: list[Template] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """``(path, h, kind, pos, license, title, score, n_words, file_words)``: passages of ``files(path, h, text)`` that match."""
     spark = files.sparkSession
-    tf = {name: words(text) for name, text in templates.items()}
-    vocabulary = sorted({w for t in tf.values() for w in t})
-    total = files.count()
-    seen = files.select(F.explode(F.array_intersect(word_array(F.col("text")), _literals(vocabulary))).alias("word"))
-    df = {r["word"]: r["n"] for r in seen.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
-    idf = {w: math.log((1 + total) / (1 + df.get(w, 0))) + 1 for w in vocabulary}
-    unknown = math.log(1 + total) + 1
-
-    weights = {name: {w: n * idf[w] for w, n in t.items()} for name, t in tf.items()}
-    heavy = _literals(sorted(set().union(*(_heavy(w, threshold) for w in weights.values()))))
-    rows = ", ".join(f"('{name}', '{w}', {x / math.sqrt(sum(v * v for v in t.values()))!r}D)"
-                     for name, t in weights.items() for w, x in t.items())
-    template = spark.sql(f"SELECT * FROM VALUES {rows} AS t(license, word, unit)")
-    known = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{w}', {x!r}D)" for w, x in idf.items()) + " AS t(word, idf)")
-
-    all_words = word_array(F.col("text"))
-    some = files.where(F.arrays_overlap(all_words, heavy)).dropDuplicates(["path", "h"])
-    lines = (some.select("path", "h", F.size(all_words).alias("file_words"),
-                         F.posexplode(F.split("text", "\n")).alias("line", "body"))
-             .withColumn("words", word_array(F.col("body"))).where(F.arrays_overlap("words", heavy)))
-    each = (lines.select("path", "h", "line", "file_words", F.size("words").alias("line_words"), F.explode("words").alias("word"))
-            .groupBy("path", "h", "line", "file_words", "line_words", "word").agg(F.count(F.lit(1)).alias("tf"))
-            .join(F.broadcast(known), "word", "left")
-            .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown))))
-    key = ["path", "h", "line"]
+    word_rows, rows = _template_rows(templates)
+    template = spark.sql(f"SELECT * FROM VALUES {word_rows} AS w(t, word, n, required)").join(
+        spark.sql(f"SELECT * FROM VALUES {rows} AS t(t, license, template_kind, n_required)"), "t")
+    total = F.lit(files.count())
+    idf = F.log((1 + total) / (1 + F.coalesce("df", F.lit(0)))) + 1
+    seen = files.select(F.explode(F.array_distinct(word_array(F.col("text")))).alias("word"))
+    freq = seen.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+
+    any_anchor = F.array(*map(F.lit, anchors(templates)))
+    some = files.withColumn("w", word_array(F.col("text"))).where(F.arrays_overlap("w", any_anchor))
+    some = some.select("path", "h", F.size("w").alias("file_words"), "text").dropDuplicates(["path", "h"])
+    parts = (some.select("path", "h", "file_words", F.explode(passages(F.col("text"))).alias("p"))
+             .select("path", "h", "file_words", "p.kind", "p.pos", word_array(F.col("p.body")).alias("words"))
+             .where(F.arrays_overlap("words", any_anchor)))
+    key = ["path", "h", "kind", "pos"]
+    counted = stage(parts.select(*key, "file_words", F.size("words").alias("n_words"), F.explode("words").alias("word"))
+                    .groupBy(*key, "file_words", "n_words", "word").agg(F.count(F.lit(1)).alias("tf")), "license-words")
+    known = counted.select("word").distinct().join(freq, "word").select(F.col("word").alias("known"), "df")
+    known = stage(known.unionByName(template.select(F.col("word").alias("known")).distinct().join(
+        freq.withColumnRenamed("word", "known"), "known").select("known", "df")).distinct(), "license-idf")
+
+    units = template.join(known, F.col("word") == F.col("known"), "left").withColumn("x", F.col("n") * idf)
+    length = units.groupBy("t").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
+    units = units.join(length, "t").select("t", "word", "license", "template_kind", "n_required", "required",
+                                           (F.col("x") / F.col("length")).alias("unit"))
+    each = counted.withColumn("passage", F.xxhash64(*key))
+    each = stage(lookup(each, known, [(F.col("word"), "known")], "passage", SALTS)
+                 .select(*key, "file_words", "n_words", "word", (F.col("tf") * idf).alias("w")), "license-weights")
     norms = each.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = each.join(F.broadcast(template), "word").groupBy(*key, "file_words", "line_words", "license").agg(
-        F.sum(F.col("w") * F.col("unit")).alias("dot"))
-    scored = dots.join(norms, key).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
-    best = F.min_by(F.struct("license", "score", "line_words", "file_words"), F.struct(-F.col("score"), "license"))
-    return (scored.where(F.col("score") >= threshold).groupBy(*key).agg(best.alias("b")).select(*key, "b.*"))
+    hits = each.join(F.broadcast(units), "word").groupBy(
+        *key, "file_words", "n_words", "t", "license", "template_kind", "n_required").agg(
+        F.sum(F.col("w") * F.col("unit")).alias("dot"), F.sum("required").alias("held"))
+    first = (F.col("kind") == "block") & (F.col("pos") == 0)
+    hits = hits.where((F.col("held") == F.col("n_required")) & ((F.col("template_kind") != "title") | first))
+    scored = hits.join(norms, key).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(
+        F.col("score") >= threshold)
+    order = F.struct(F.col("license") == PROPRIETARY, -F.col("score"), "license")
+    return scored.groupBy(*key).agg(
+        F.min_by(F.struct("license", "score", "n_words", "file_words"), order).alias("b"),
+        F.max(F.col("template_kind") == "title").alias("title")).select(*key, "title", "b.*")
 
 
 def parent(path: Column) -> Column:
@@ -113,20 +128,23 @@ def ancestors(directory: Column) -> Column:
 
 
 def scan(files: DataFrame, id_col: str = "file_id", path_col: str = "path", text_col: str = "text",
-         templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, file_share: float = FILE_SHARE) -> DataFrame:
+         templates: list[Template] = TEMPLATES, threshold: float = THRESHOLD, file_share: float = FILE_SHARE) -> DataFrame:
     """``(id, path, license, score, origin, from_path)``; origin is ``own``, ``inherited`` or ``none``."""
     base = files.select(F.col(id_col).alias("id"), F.coalesce(F.col(path_col), F.lit("-")).alias("path"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    found = evidence(base.select("path", "h", "text"), templates, threshold)
+    found = stage(evidence(base.select("path", "h", "text"), templates, threshold), "license-evidence")
+    weak = lambda name: F.col(name) == PROPRIETARY
+    share = found.groupBy("path", "h", "kind").agg((F.sum("n_words") / F.max("file_words")).alias("share"))
+    share = share.groupBy("path", "h").agg(F.max("share").alias("share"))
     own = found.groupBy("path", "h").agg(
-        F.min_by(F.struct("license", "score"), F.struct(-F.col("score"), "license", "line")).alias("own"),
-        (F.sum("line_words") / F.max("file_words")).alias("share"))
+        F.min_by(F.struct("license", "score"), F.struct(weak("license"), -F.col("score"), "license", "kind", "pos")).alias("own"),
+        F.max("title").alias("title")).join(share, ["path", "h"])
 
-    speaks = own.where(F.col("share") >= file_share).withColumn("directory", parent(F.col("path")))
+    speaks = own.where(F.col("title") | (F.col("share") >= file_share)).withColumn("directory", parent(F.col("path")))
     chosen = speaks.groupBy("directory").agg(
         F.min_by(F.struct("own.license", "own.score", F.col("path").alias("from_path")),
-                 F.struct(-F.col("own.score"), "path", "own.license")).alias("inherited"))
-    marked = base.select("id", "path", "h").join(own.drop("share"), ["path", "h"], "left").withColumn(
+                 F.struct(weak("own.license"), -F.col("own.score"), "path", "own.license")).alias("inherited"))
+    marked = base.select("id", "path", "h").join(own.select("path", "h", "own"), ["path", "h"], "left").withColumn(
         "directory", parent(F.col("path")))
     wanted = marked.where(F.col("own").isNull()).select("directory").distinct()
     steps = wanted.select("directory", F.posexplode(ancestors(F.col("directory"))).alias("up", "above"))
@@ -142,44 +160,55 @@ def scan(files: DataFrame, id_col: str = "file_id", path_col: str = "path", text
         F.when(has_own, F.col("path")).otherwise(F.col("inherited.from_path")).alias("from_path"))
 
 
-def oracle_sql(files: str, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,
+def oracle_sql(files: str, templates: list[Template] = TEMPLATES, threshold: float = THRESHOLD,
                file_share: float = FILE_SHARE) -> str:
     """DuckDB SQL for :func:`scan` over ``files``, a query of ``(id, path, text)`` with unique paths.
 
-    Scores every line of every file; the heavy words play no part in it.
+    Compares every passage of every file with every template; anchors play no part in it.
     """
-    rows = ", ".join(f"('{n}', '{w}', {c})" for n, t in templates.items() for w, c in words(t).items())
+    word_rows, rows = _template_rows(templates)
     return rf"""
 WITH files AS ({files}),
-  template(license, word, n) AS (VALUES {rows}),
-  lines AS (SELECT id, path, unnest(range(1, len(l) + 1)) AS line, unnest(l) AS body
-            FROM (SELECT id, path, string_split(coalesce(text, ''), chr(10)) AS l FROM files)),
-  tokens AS (SELECT id, path, line, unnest(regexp_split_to_array(lower(body), '[^\p{{L}}\p{{N}}]+')) AS word FROM lines),
-  counted AS (SELECT id, path, line, word, count(*) AS tf FROM tokens WHERE word <> '' GROUP BY ALL),
-  freq AS (SELECT word, count(DISTINCT path) AS df FROM counted GROUP BY word),
+  template_words(t, word, n, required) AS (VALUES {word_rows}),
+  template(t, license, template_kind, n_required) AS (VALUES {rows}),
+  cut AS (SELECT path, string_split_regex(body, '{SENTENCE_BREAK}') AS sentences, [body] AS whole,
+                 string_split_regex(regexp_replace(body, '^[^\p{{L}}\p{{N}}]+', ''), '{BLOCK_BREAK_RE2}') AS blocks
+          FROM (SELECT path, coalesce(text, '') AS body FROM files)),
+  passages AS (SELECT path, 'sentence' AS kind, unnest(range(len(sentences))) AS pos, unnest(sentences) AS body FROM cut
+               UNION ALL SELECT path, 'block', unnest(range(len(blocks))), unnest(blocks) FROM cut
+               UNION ALL SELECT path, 'file', 0, unnest(whole) FROM cut),
+  tokens AS (SELECT path, kind, pos, unnest(string_split_regex(lower(body), '[^\p{{L}}\p{{N}}]+')) AS word FROM passages),
+  counted AS (SELECT path, kind, pos, word, count(*) AS tf FROM tokens WHERE word <> '' GROUP BY ALL),
+  freq AS (SELECT word, count(*) AS df FROM counted WHERE kind = 'file' GROUP BY word),
   size AS (SELECT count(*) AS n FROM files),
   idf AS (SELECT v.word, ln((1 + s.n) / (1 + coalesce(f.df, 0))) + 1 AS idf
-          FROM (SELECT DISTINCT word FROM template) v LEFT JOIN freq f ON f.word = v.word CROSS JOIN size s),
-  unit AS (SELECT t.license, t.word, t.n * i.idf / sqrt(sum(t.n * i.idf * t.n * i.idf) OVER (PARTITION BY t.license)) AS unit
-           FROM template t JOIN idf i ON i.word = t.word),
-  weighed AS (SELECT c.id, c.path, c.line, c.word, c.tf, c.tf * coalesce(i.idf, ln(1 + s.n) + 1) AS w
-              FROM counted c LEFT JOIN idf i ON i.word = c.word CROSS JOIN size s),
-  norms AS (SELECT path, line, sqrt(sum(w * w)) AS norm, sum(tf) AS line_words FROM weighed GROUP BY path, line),
-  file_words AS (SELECT path, sum(tf) AS file_words FROM weighed GROUP BY path),
-  dots AS (SELECT w.path, w.line, u.license, sum(w.w * u.unit) AS dot
-           FROM weighed w JOIN unit u ON u.word = w.word GROUP BY w.path, w.line, u.license),
-  scored AS (SELECT d.path, d.line, d.license, round(d.dot / n.norm, 6) AS score, n.line_words
-             FROM dots d JOIN norms n ON n.path = d.path AND n.line = d.line),
-  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY path, line ORDER BY score DESC, license) AS r
-                          FROM scored WHERE score >= {threshold}) WHERE r = 1),
+          FROM (SELECT word FROM template_words UNION SELECT word FROM counted) v LEFT JOIN freq f ON f.word = v.word
+          CROSS JOIN size s),
+  unit AS (SELECT t.t, t.word, t.required, t.n * i.idf / sqrt(sum(t.n * i.idf * t.n * i.idf) OVER (PARTITION BY t.t)) AS unit
+           FROM template_words t JOIN idf i ON i.word = t.word),
+  weighed AS (SELECT c.*, c.tf * i.idf AS w FROM counted c JOIN idf i ON i.word = c.word),
+  norms AS (SELECT path, kind, pos, sqrt(sum(w * w)) AS norm, sum(tf) AS n_words FROM weighed GROUP BY ALL),
+  dots AS (SELECT w.path, w.kind, w.pos, u.t, sum(w.w * u.unit) AS dot, sum(u.required) AS held
+           FROM weighed w JOIN unit u ON u.word = w.word GROUP BY ALL),
+  scored AS (SELECT d.path, d.kind, d.pos, t.license, t.template_kind = 'title' AS title, n.n_words,
+                    round(d.dot / n.norm, 6) AS score
+             FROM dots d JOIN template t ON t.t = d.t AND t.n_required = d.held
+             JOIN norms n ON n.path = d.path AND n.kind = d.kind AND n.pos = d.pos
+             WHERE t.template_kind <> 'title' OR (d.kind = 'block' AND d.pos = 0)),
+  matched AS (SELECT * FROM scored WHERE score >= {threshold}),
   own AS (SELECT path, license, score FROM (
-            SELECT *, row_number() OVER (PARTITION BY path ORDER BY score DESC, license, line) AS q FROM best) WHERE q = 1),
-  share AS (SELECT b.path, sum(b.line_words) / max(f.file_words) AS share
-            FROM best b JOIN file_words f ON f.path = b.path GROUP BY b.path),
+            SELECT *, row_number() OVER (PARTITION BY path ORDER BY license = '{PROPRIETARY}', score DESC, license, kind, pos) AS q
+            FROM matched) WHERE q = 1),
+  share AS (SELECT path, max(share) AS share FROM (
+              SELECT m.path, m.kind, sum(m.n_words) / max(f.n_words) AS share
+              FROM (SELECT DISTINCT path, kind, pos, n_words FROM matched) m
+              JOIN norms f ON f.path = m.path AND f.kind = 'file' GROUP BY m.path, m.kind) GROUP BY path),
+  titled AS (SELECT path, bool_or(title) AS title FROM matched GROUP BY path),
   speaks AS (SELECT o.*, regexp_replace(o.path, '/?[^/]*$', '') AS directory
-             FROM own o JOIN share s ON s.path = o.path WHERE s.share >= {file_share}),
-  chosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY directory ORDER BY score DESC, path) AS r FROM speaks)
-             WHERE r = 1),
+             FROM own o JOIN share s ON s.path = o.path JOIN titled t ON t.path = o.path
+             WHERE t.title OR s.share >= {file_share}),
+  chosen AS (SELECT * FROM (SELECT *, row_number() OVER (
+               PARTITION BY directory ORDER BY license = '{PROPRIETARY}', score DESC, path) AS r FROM speaks) WHERE r = 1),
   above AS (SELECT f.id, f.path, c.license, c.score, c.path AS from_path,
                    row_number() OVER (PARTITION BY f.path ORDER BY length(c.directory) DESC) AS r
             FROM files f JOIN chosen c ON starts_with(f.path, c.directory || '/'))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as se
 from dealflow.llm import learned_partitions as lp
 from dealflow.llm import license_scan as lic
+from dealflow.llm import license_templates as lt
 from dealflow.llm import site_template as site
 
 
@@ -76,7 +77,8 @@ def test_scan_matches_sql(spark, sf_small):
 
 
 def test_inheritance_from_the_nearest_ancestor(rows):
-    mit, apache, gpl = (lic.TEMPLATES[x] for x in ("MIT", "Apache-2.0", "GPL-3.0"))
+    mit, apache, gpl = "Released under the MIT License.", lt.APACHE_HEADER, (
+        "This work is licensed under the GNU General Public License, version 3.")
     data = [(1, "r/LICENSE", mit), (2, "r/a/b/code.c", "some code here\nand more"), (3, "r/a/LICENSE", apache),
             (4, "r/a/b/own.c", "/* " + gpl + " */\n" + "many other words in this file " * 40), (5, "r/x.c", "text"),
             (6, "other/y.c", "text"), (7, "top.c", None), (8, None, ""), (9, "r/a/b/code.c", "some code here\nand more"),
@@ -90,6 +92,77 @@ def test_inheritance_from_the_nearest_ancestor(rows):
     assert lic.scan(d.limit(0)).count() == 0
 
 
+def wrapped(text, mark=" * ", width=64):
+    import textwrap
+
+    return "/*\n" + "\n".join(mark + x for x in textwrap.wrap(text, width)) + "\n */\n"
+
+
+CODE = "\n\nint main(void)\n{\n    return frob(table, row, column);\n}\n" + "value = other + more;\n" * 200
+GPL = lt.GNU_HEADER.format(name="GNU General Public License", version="2")
+LGPL = lt.GNU_HEADER.format(name="GNU Lesser General Public License", version="2.1")
+HOLDER = "Copyright (c) 2021 Some Person and Others. All rights reserved.\n\n"
+#: text of a file: its own licence
+LICENSED = {
+    "MIT License\n\n" + HOLDER + lt.MIT_GRANT + "\n\n" + lt.MIT_REST: "MIT",
+    wrapped(lt.MIT_GRANT) + CODE: "MIT",
+    "ISC License\n\n" + HOLDER + lt.ISC_GRANT + "\n\n" + lt.ISC_REST: "ISC",
+    HOLDER + "\n".join((lt.BSD_GRANT, lt.BSD_TWO, lt.BSD_REST)): "BSD-2-Clause",
+    HOLDER + "\n".join((lt.BSD_GRANT, lt.BSD_TWO, lt.BSD_THIRD, lt.BSD_REST)): "BSD-3-Clause",
+    wrapped(lt.APACHE_HEADER, "# ") + CODE: "Apache-2.0",
+    wrapped(lt.MPL_HEADER, "// ") + CODE: "MPL-2.0",
+    wrapped(GPL) + CODE: "GPL-2.0", wrapped(LGPL) + CODE: "LGPL-2.1",
+    "Intro.\n\nThis is licensed under the GNU Affero General Public License, version 3.\n" + CODE: "AGPL-3.0",
+    "// SPDX-License-Identifier: Apache-2.0" + CODE: "Apache-2.0",
+    "# SPDX-License-Identifier: GPL-2.0-or-later" + CODE: "GPL-2.0",
+    "# SPDX-License-Identifier: CC-BY-NC-SA-4.0" + CODE: "CC-BY-NC-SA-4.0",
+    "Licensed under CC BY 4.0." + CODE: "CC-BY-4.0", "Licensed under CC BY-NC 4.0." + CODE: "CC-BY-NC-4.0",
+    "text\nThis project is licensed under the terms of the MIT license. See LICENSE.\nmore" + CODE: "MIT",
+    "This software is released under the MIT License, see the LICENSE file for details." + CODE: "MIT",
+    "Copyright 2024 Example Corp. All rights reserved." + CODE: "proprietary",
+    "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\n" + "a long body of terms " * 900: "GPL-3.0",
+}
+#: near misses
+UNLICENSED = [
+    "Mozilla Public License, version 1.1" + CODE, "Licensed under the Apache License, Version 1.1." + CODE,
+    "# SPDX-License-Identifier: EUPL-1.2" + CODE, "GNU General Public License, version 1" + CODE,
+    "Licensed under CC BY." + CODE, "They fuhren mit dem Zug, a license to drive in hand" + CODE,
+    "We never liked how the MIT license came up again and again in talks about dinner" + CODE,
+    "All seats reserved for members with rights" + CODE, "License", "", None,
+]
+
+
+def test_licences_found_and_near_misses_refused(rows):
+    import duckdb
+
+    texts = [*LICENSED, *UNLICENSED]
+    data = [(i, f"d{i}/file", t) for i, t in enumerate(texts)]
+    d = rows("doc_id long, path string, text string", data)
+    got = {r.doc_id: r.license for r in lic.scan(d, id_col="doc_id").collect()}
+    assert {texts[i]: x for i, x in got.items() if i < len(LICENSED)} == LICENSED
+    assert [texts[i] for i, x in got.items() if i >= len(LICENSED) and x] == []
+    frame = d.toPandas()  # noqa: F841
+    con = duckdb.connect()
+    con.register("frame", frame)
+    want = con.execute(lic.oracle_sql("SELECT doc_id AS id, path, text FROM frame")).fetchall()
+    assert sorted((r[0], r[2]) for r in want) == sorted(got.items())
+
+
+def test_a_licence_file_speaks_for_its_directory(rows):
+    title = "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\n" + "a long body of terms " * 900
+    data = [(1, "a/COPYING", title), (2, "a/b/c/x.c", "int x;" + CODE), (3, "m/LICENSE", HOLDER + lt.MIT_GRANT + "\n" + lt.MIT_REST),
+            (4, "m/y.c", "int y;"), (5, "n/README", "words of a manual " * 300 + "\nReleased under the MIT License.\n"), (6, "n/z.c", "int z;")]
+    d = rows("file_id long, path string, text string", data)
+    got = {r.file_id: (r.license, r.origin) for r in lic.scan(d).collect()}
+    assert got == {1: ("GPL-3.0", "own"), 2: ("GPL-3.0", "inherited"), 3: ("MIT", "own"), 4: ("MIT", "inherited"),
+                   5: ("MIT", "own"), 6: (None, "none")}
+
+
+def test_templates_require_words_of_theirs():
+    for t in lic.TEMPLATES:
+        assert set(t.required.split()) <= set(lic.words(t.text)), t
+
+
 def test_scan_is_native(spark, sf_small):
     plan = se.queries()["op2_license_scan"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "CartesianProduct" not in plan
