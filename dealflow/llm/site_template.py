@@ -2,8 +2,8 @@
 
 Every page is parsed once into its element tree.  Each block-level subtree is hashed (tag and contents up the
 tree, without attributes, so that links that vary don't matter), the hashes are counted per host over distinct
-articles, and a subtree that occurs with ``min_pages`` articles of its host is deleted with all it holds, inside
-article and main elements too.  Pages of equal main text are one article, and so are near copies: pages whose main
+articles, and a subtree that occurs with ``min_pages`` articles of its host and with ``min_share`` of them is deleted
+with all it holds, inside article and main elements too: an ordinary line recurs on a large host, a template on much of it.  Pages of equal main text are one article, and so are near copies: pages whose main
 texts share seven tenths of their three-word strings, found by bands of a min-hash sketch and linked to groups.  So
 a passage that recurs because its article was copied stays, and one that recurs in different articles goes.
 
@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealflow.llm.common import components, stage
+from dealflow.operators.lookup import lookup
 
 MIN_PAGES = 5
+MIN_SHARE = 0.2
 BANDS, BAND_ROWS = 8, 6
 NEAR = 0.7
 
@@ -266,21 +268,25 @@ def articles(trees: DataFrame) -> DataFrame:
     return components(near.select(F.col("node").alias("u"), F.col("leader").alias("v")))
 
 
-def templates(trees: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``(host, subtree, n_pages, n_articles)`` of the subtrees with ``min_pages`` distinct articles of a host or more."""
+def templates(trees: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """``(host, subtree, n_pages, n_articles)`` of the subtrees with ``min_pages`` distinct articles of a host or more
+    that are ``min_share`` of the host's articles or more."""
     pages = trees.select("host", "key", F.xxhash64("host", "content").alias("node"), "subtrees").dropDuplicates(["host", "key"])
     pages = pages.join(articles(trees), "node", "left").withColumn("article", F.coalesce("root", "node"))
+    hosts = (pages.groupBy("host", "article").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("host").alias("whole"))
+             .agg(F.count(F.lit(1)).alias("host_articles")))
     each = pages.select("host", "article", F.explode("subtrees").alias("subtree"))
     each = each.groupBy("host", "subtree", "article").agg(F.count(F.lit(1)).alias("n"))
-    return (each.groupBy("host", "subtree").agg(F.sum("n").alias("n_pages"), F.count(F.lit(1)).alias("n_articles"))
-            .where(F.col("n_articles") >= min_pages))
+    often = each.groupBy("host", "subtree").agg(F.sum("n").alias("n_pages"), F.count(F.lit(1)).alias("n_articles"))
+    often = lookup(often.where(F.col("n_articles") >= min_pages), hosts, [(F.col("host"), "whole")], "subtree", salts=16)
+    return often.where(F.col("n_articles") >= min_share * F.col("host_articles")).drop("host_articles")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            min_pages: int = MIN_PAGES) -> DataFrame:
+            min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every row of ``pages``."""
     trees = stage(parsed(pages, url_col, html_col, id_col), "page-trees")
-    common = stage(templates(trees, min_pages).select("host", "subtree"), "page-templates")
+    common = stage(templates(trees, min_pages, min_share).select("host", "subtree"), "page-templates")
     owners = trees.dropDuplicates(["key"]).select("key", "host", F.explode("owners").alias("subtree"))
     dead = owners.join(common, ["host", "subtree"], "left_semi").groupBy("key").agg(F.collect_set("subtree").alias("dead"))
 

@@ -268,3 +268,68 @@ def test_near_copies_are_one_article(rows):
 def test_hostile_html_ends(html):
     blocks, _ = site.parse(html)
     assert isinstance(blocks, list)
+
+
+def plain_extract(pages, min_pages=site.MIN_PAGES, min_share=site.MIN_SHARE):
+    """Site template removal by plain counting: texts by page id of rows ``(page_id, url, html)``."""
+    import re
+    from collections import defaultdict
+
+    own, host_of, article, bands = {}, {}, {}, defaultdict(set)
+    for i, url, html in pages:
+        m = re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
+        host_of[i] = m[1].lower() if m else ""
+        blocks, found = site.parse(html or "")
+        own[i] = site._main(blocks), set(found)
+        node = host_of[i], "\n".join(b[0] for b in own[i][0])
+        if node not in article:
+            article[node] = node
+            s = site.sketch(node[1])
+            for b in range(site.BANDS if s else 0):
+                bands[node[0], b, tuple(s[b * site.BAND_ROWS:(b + 1) * site.BAND_ROWS])].add(node)
+        host_of[i] = node
+
+    def root(n):
+        while article[n] != n:
+            n = article[n]
+        return n
+
+    for same in bands.values():
+        same = sorted(same)
+        for a in same:
+            for b in same:
+                x, y = site.sketch(a[1]), site.sketch(b[1])
+                if a < b and sum(p == q for p, q in zip(x, y)) >= site.NEAR * len(x):
+                    article[root(a)] = root(b)
+    seen, total = defaultdict(set), defaultdict(set)
+    for i, (_, found) in own.items():
+        total[host_of[i][0]].add(root(host_of[i]))
+        for subtree in found:
+            seen[host_of[i][0], subtree].add(root(host_of[i]))
+    dead = {k for k, arts in seen.items() if len(arts) >= min_pages and len(arts) >= min_share * len(total[k[0]])}
+    return {i: "\n\n".join(b[0] for b in blocks if not any((host_of[i][0], o) in dead for o in b[3]))
+            for i, (blocks, _) in own.items()}, dead
+
+
+@pytest.mark.parametrize("min_share", [site.MIN_SHARE, 0.0])
+def test_extract_against_plain_counting(spark, sf_small, min_share):
+    pages = spark.read.parquet(f"{sf_small}/pages.parquet")
+    some = [(r.page_id, r.url, r.html) for r in pages.collect()]
+    want, dead = plain_extract(some, 2, min_share)
+    assert texts(site.extract(pages, min_pages=2, min_share=min_share)) == want and dead
+
+
+def test_a_line_that_recurs_on_a_large_host_stays(rows):
+    data = [(i, "http://h.org/%d" % i, "<article><p>Article %d about %d things and %d more</p>%s<p>Subscribe now</p></article>"
+             % (i, i * 7, i * 13, "<p>Introduction</p>" if i % 10 == 0 else "")) for i in range(100)]
+    got = texts(site.extract(rows("page_id long, url string, html string", data)))
+    want, _ = plain_extract(data)
+    assert got == want and got[10] == "Article 10 about 70 things and 130 more\n\nIntroduction"
+
+
+def test_ties_beyond_a_block_go_to_smaller_ids(rows):
+    """More distinct vectors with the border's score than an answer holds."""
+    data = [(0, [1.0] + [0.0] * 63)] + [(i, [2.0] + [float(i >> j & 1) for j in range(63)]) for i in range(1, 400)]
+    d = rows("vec_id long, embedding array<double>", data)
+    got = lp.search(d, F.col("vec_id") == 0, k=20, fit=lp.Fit(sample_size=16, block=64)).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == list(range(1, 21)) and {r.score for r in got} == {2.0}
