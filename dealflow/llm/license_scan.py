@@ -9,8 +9,8 @@ of its best evidence, a reservation of rights only where there is no other.  A f
 first block is a licence's title, or if the evidence of one kind of passage holds ``file_share`` of its words or more.
 A file without a licence of its own takes that of the nearest ancestor directory that has one, by joins on paths.
 
-DataFrame functions only.  Each template requires an *anchor*, a word that few texts hold, so only passages with one
-are ever exploded (exact).  Document frequencies are counted per task before the shuffle.  The templates, which don't
+DataFrame functions only.  Only passages that hold all words of some template's requirement are ever exploded (exact).
+Document frequencies are counted per task before the shuffle.  The templates, which don't
 grow with the data, are the only thing broadcast, and the number of files the only thing collected.  A frequent word's
 rows are dealt over copies of its frequency.  Directories are resolved once each, not once per file.
 
@@ -71,49 +71,77 @@ def _template_rows(templates: list[Template]) -> tuple[str, str]:
     return word_rows, rows
 
 
+def comparable(text_words: Column, templates: list[Template]) -> Column:
+    """Whether an array of words holds all that some template requires: one look at the words, then a pattern over the
+    few of them that any template requires."""
+    needs = sorted({tuple(sorted(set(t.required.split()))) for t in templates})
+    held = F.array_intersect(text_words, F.array(*map(F.lit, sorted({w for n in needs for w in n}))))
+    pattern = "^(?:" + "|".join("".join(f"(?=.* {w} )" for w in n) for n in needs) + ")"
+    return F.concat(F.lit(" "), F.array_join(held, "  "), F.lit(" ")).rlike(pattern)
+
+
+KEY = ["path", "h", "kind", "pos"]
+
+
+def _passage_words(files: DataFrame, templates: list[Template]) -> DataFrame:
+    """``(path, h, file_words, kind, pos, words)``: passages of ``files`` that hold all that a template requires."""
+    any_anchor = F.array(*map(F.lit, anchors(templates)))
+    whole = word_array(F.col("text"))
+    some = files.where(F.arrays_overlap(whole, any_anchor)).where(comparable(whole, templates)).dropDuplicates(["path", "h"])
+    parts = some.select("path", "h", F.size(whole).alias("file_words"), F.explode(passages(F.col("text"))).alias("p")).select(
+        "path", "h", "file_words", "p.kind", "p.pos", word_array(F.col("p.body")).alias("words"))
+    return parts.where(F.arrays_overlap("words", any_anchor)).where(comparable(F.col("words"), templates))
+
+
 def evidence(files: DataFrame, templates: list[Template] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``(path, h, kind, pos, license, title, score, n_words, file_words)``: passages of ``files(path, h, text)`` that match."""
+    """``(path, h, kind, pos, title, license, score, n_words, file_words)``: passages of ``files(path, h, text)`` that match.
+
+    The templates' words give a passage's products; with them and the number of its other words, which weigh 1 each
+    at least, the cosine is bounded from above, and only passages that may reach the threshold get all words weighed.
+    """
     spark = files.sparkSession
     word_rows, rows = _template_rows(templates)
-    template = spark.sql(f"SELECT * FROM VALUES {word_rows} AS w(t, word, n, required)").join(
-        spark.sql(f"SELECT * FROM VALUES {rows} AS t(t, license, template_kind, n_required)"), "t")
+    template_words = spark.sql(f"SELECT * FROM VALUES {word_rows} AS w(t, word, n, required)")
+    template = spark.sql(f"SELECT * FROM VALUES {rows} AS t(t, license, template_kind, n_required)")
     total = F.lit(files.count())
     idf = F.log((1 + total) / (1 + F.coalesce("df", F.lit(0)))) + 1
     seen = files.select(F.explode(F.array_distinct(word_array(F.col("text")))).alias("word"))
-    freq = seen.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    freq = stage(seen.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "license-frequencies")
 
-    any_anchor = F.array(*map(F.lit, anchors(templates)))
-    some = files.withColumn("w", word_array(F.col("text"))).where(F.arrays_overlap("w", any_anchor))
-    some = some.select("path", "h", F.size("w").alias("file_words"), "text").dropDuplicates(["path", "h"])
-    parts = (some.select("path", "h", "file_words", F.explode(passages(F.col("text"))).alias("p"))
-             .select("path", "h", "file_words", "p.kind", "p.pos", word_array(F.col("p.body")).alias("words"))
-             .where(F.arrays_overlap("words", any_anchor)))
-    key = ["path", "h", "kind", "pos"]
-    counted = stage(parts.select(*key, "file_words", F.size("words").alias("n_words"), F.explode("words").alias("word"))
-                    .groupBy(*key, "file_words", "n_words", "word").agg(F.count(F.lit(1)).alias("tf")), "license-words")
-    known = counted.select("word").distinct().join(freq, "word").select(F.col("word").alias("known"), "df")
-    known = stage(known.unionByName(template.select(F.col("word").alias("known")).distinct().join(
-        freq.withColumnRenamed("word", "known"), "known").select("known", "df")).distinct(), "license-idf")
-
-    units = template.join(known, F.col("word") == F.col("known"), "left").withColumn("x", F.col("n") * idf)
+    vocabulary = template_words.select("word").distinct()
+    vocabulary = stage(freq.join(F.broadcast(vocabulary), "word", "right").select("word", idf.alias("idf")), "license-vocabulary")
+    units = template_words.join(vocabulary, "word").withColumn("x", F.col("n") * F.col("idf"))
     length = units.groupBy("t").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
-    units = units.join(length, "t").select("t", "word", "license", "template_kind", "n_required", "required",
-                                           (F.col("x") / F.col("length")).alias("unit"))
-    each = counted.withColumn("passage", F.xxhash64(*key))
-    each = stage(lookup(each, known, [(F.col("word"), "known")], "passage", SALTS)
-                 .select(*key, "file_words", "n_words", "word", (F.col("tf") * idf).alias("w")), "license-weights")
-    norms = each.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    hits = each.join(F.broadcast(units), "word").groupBy(
-        *key, "file_words", "n_words", "t", "license", "template_kind", "n_required").agg(
-        F.sum(F.col("w") * F.col("unit")).alias("dot"), F.sum("required").alias("held"))
+    units = units.join(length, "t").select("t", "word", (F.col("x") / F.col("length")).alias("unit"))
+
+    parts = _passage_words(files, templates)
+    exploded = parts.select(*KEY, "file_words", F.size("words").alias("n_words"), F.explode("words").alias("word"))
+    counted = stage(exploded.join(F.broadcast(vocabulary), "word").groupBy(*KEY, "file_words", "n_words", "word", "idf").agg(
+        F.count(F.lit(1)).alias("tf")).withColumn("w", F.col("tf") * F.col("idf")), "license-words")
+    required = template_words.where("required = 1").join(template, "t").select("t", "word", "license", "template_kind", "n_required")
     first = (F.col("kind") == "block") & (F.col("pos") == 0)
-    hits = hits.where((F.col("held") == F.col("n_required")) & ((F.col("template_kind") != "title") | first))
-    scored = hits.join(norms, key).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(
+    pairs = (counted.join(F.broadcast(required), "word").where((F.col("template_kind") != "title") | first)
+             .groupBy(*KEY, "t", "license", "template_kind", "n_required").agg(F.count(F.lit(1)).alias("held"))
+             .where(F.col("held") == F.col("n_required")).drop("held", "n_required"))
+    inner = counted.groupBy(*KEY).agg(F.sum(F.col("w") * F.col("w")).alias("inner"), F.sum("tf").alias("n_inner"))
+    dots = (counted.join(pairs, KEY).join(F.broadcast(units), ["t", "word"])
+            .groupBy(*KEY, "file_words", "n_words", "t", "license", "template_kind").agg(F.sum(F.col("w") * F.col("unit")).alias("dot")))
+    least = F.sqrt(F.col("inner") + F.col("n_words") - F.col("n_inner"))
+    hopeful = stage(dots.join(inner, KEY).where(F.col("dot") / least >= threshold - 1e-5).drop("inner", "n_inner"), "license-hopeful")
+
+    some = files.join(hopeful.select("path", "h").distinct(), ["path", "h"], "left_semi")
+    again = _passage_words(some, templates).join(hopeful.select(*KEY).distinct(), KEY, "left_semi")
+    each = stage(again.select(*KEY, F.explode("words").alias("word")).groupBy(*KEY, "word").agg(
+        F.count(F.lit(1)).alias("tf")).withColumn("passage", F.xxhash64(*KEY)), "license-passages")
+    known = each.select("word").distinct().join(freq, "word").select(F.col("word").alias("known"), "df")
+    w = F.col("tf") * idf
+    norms = lookup(each, known, [(F.col("word"), "known")], "passage", SALTS).groupBy(*KEY).agg(F.sqrt(F.sum(w * w)).alias("norm"))
+    scored = hopeful.join(norms, KEY).withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(
         F.col("score") >= threshold)
     order = F.struct(F.col("license") == PROPRIETARY, -F.col("score"), "license")
-    return scored.groupBy(*key).agg(
+    return scored.groupBy(*KEY).agg(
         F.min_by(F.struct("license", "score", "n_words", "file_words"), order).alias("b"),
-        F.max(F.col("template_kind") == "title").alias("title")).select(*key, "title", "b.*")
+        F.max(F.col("template_kind") == "title").alias("title")).select(*KEY, "title", "b.*")
 
 
 def parent(path: Column) -> Column:
