@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 
 from dealflow.llm.token_cache import token_cache
 
+GROUP_CHARS = 1 << 23                          # characters encoded at once
+
 
 def tokenised(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, shard, before, n_tokens, ids)`` in ascending order of id within and across partitions."""
@@ -39,9 +41,9 @@ def tokenised(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, shard, before = token_cache(path), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for a in range(0, whole.num_rows, 512):
-                b = whole.slice(a, 512)
-                ids = [x + end for x in cache.encode_all(b.column(1).to_pylist())]
+            for a in range(0, whole.num_rows, 2048):
+                b = whole.slice(a, 2048)
+                ids = [x + end for x in cache.encode_all(b.column(1).to_pylist(), GROUP_CHARS)]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 ends = np.cumsum(n)
                 flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))

@@ -3,10 +3,11 @@
 A boundary between a non-space character and a single space or line feed before another non-space one always
 separates pre-tokens (a leading space belongs to what follows it), so a text whose white space is all of that kind
 is the concatenation of its chunks, each encoded on its own; a text with any other run of white space is encoded
-as a whole.  Letters and a full stop or comma after them are different pre-tokens too, so ``word,`` is composed of
-``word`` and ``,`` where the word is still all letters after composition and lower case, as a vocabulary's normaliser
-may apply them before it splits (a dotted capital I, say, becomes a letter and a mark, which joins the comma).  New
-chunks of a group of texts go to the library in one call, parted by the vocabulary's end-of-text token.  The library
+as a whole.  A group of texts is split and its chunks numbered by Arrow, so that Python handles each distinct chunk of
+a group once and ids are gathered by number.  Letters and the run of signs after them are different pre-tokens too,
+so ``word,`` is composed of ``word`` and ``,`` where the word is still all letters after composition and lower case, as
+a vocabulary's normaliser may apply them before it splits (a dotted capital I, say, becomes a letter and a mark, which
+joins the comma).  New chunks go to the library many in a call, parted by the token that opens each, or by the end-of-text token.  The library
 keeps its plain setting, so a special token's string in a text is that token; a text with one, in any case of its
 letters, is encoded as a whole.  The cache only saves time: ids never depend on it, and its size is bounded.
 """
@@ -16,13 +17,19 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE_ENTRIES = 900_000
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 21
+LEARNED = 128                                  # chunks of a call: the library slows down on longer texts
 END = "<|endoftext|>"
-BLANK = " "                                    # stands for no ids; no chunk holds a space
+OPENS = "\u0120\u010a"                          # a space and a line feed as byte-level vocabularies write them
+SIGNS = "!\"#$%&()*+,-./:;=?@[]^_{|}~"          # all but the apostrophe, which starts contractions, and < >
+MARKS = 10_000                                 # remembered runs of signs
 
 
 def regular(chunk: str) -> bool:
@@ -33,9 +40,7 @@ def regular(chunk: str) -> bool:
 
 def letters(base: str) -> bool:
     """Whether a word is all letters, as it stands and normalised."""
-    if base.isascii() or not base.isalpha():
-        return base.isalpha()
-    return "".join([c.lower() for c in unicodedata.normalize("NFC", base)]).isalpha()
+    return base.isalpha() and (base.isascii() or unicodedata.normalize("NFC", base).lower().isalpha())
 
 
 class TokenCache:
@@ -47,39 +52,54 @@ class TokenCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.end = self.tokenizer.token_to_id(END)             # parts the chunks that are learned
         self.special = [x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {BLANK: b""}
+        self.known: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}                      # chunks that begin a text
-        self.marks = {c: self._ids(c) for c in ".,"}
+        self.marks: dict[str, bytes] = {}                      # signs after a word
+        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.opens[[i for t, i in self.tokenizer.get_vocab().items() if t[0] in OPENS]] = True
         self.limit = limit
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, chunks: list[str]) -> None:
-        for a in range(0, len(chunks), 2048):
-            some = chunks[a:a + 2048]
-            text = END.join([c if c[0] == "\n" else " " + c for c in some])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.nonzero(ids == self.end)[0]
+        for a in range(0, len(chunks), LEARNED):
+            some = chunks[a:a + LEARNED]
+            parts = [c if c[0] == "\n" else " " + c for c in some]
+            # a vocabulary that keeps white space begins each chunk, and nothing else, with a space or line feed
+            ids = self._flat("".join(parts))
+            begin = np.nonzero(self.opens[ids])[0]
+            end = np.append(begin[1:], len(ids))
+            if len(begin) != len(some) or begin[0] != 0:
+                ids = self._flat(END.join(parts))
+                end = np.append(np.nonzero(ids == self.end)[0], len(ids))
+                begin = np.append(0, end[:-1] + 1)
             raw = ids.tobytes()
-            begin = [0, *(4 * cuts + 4).tolist()]
-            for chunk, p, q in zip(some, begin, [*(4 * cuts).tolist(), len(raw)]):
+            for chunk, p, q in zip(some, (4 * begin).tolist(), (4 * end).tolist()):
                 self.known[chunk] = raw[p:q]
 
+    def _flat(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
     def _compose(self, new: list[str]) -> None:
-        """Learn new regular chunks, a trailing full stop or comma apart."""
+        """Learn new regular chunks, signs after a word apart."""
         whole, composed = set(), []
         for c in new:
-            base = c[:-1]
-            if c[-1] in ".," and letters(base[1:] if base[:1] == "\n" else base):
-                composed.append(c)
+            base = c.rstrip(SIGNS)
+            if len(base) < len(c) and letters(base[1:] if base[:1] == "\n" else base):
+                composed.append((c, base, c[len(base):]))
                 if base not in self.known:
                     whole.add(base)
             else:
                 whole.add(c)
         self._learn(list(whole))
-        for c in composed:
-            self.known[c] = self.known[c[:-1]] + self.marks[c[-1]]
+        for c, base, signs in composed:
+            marks = self.marks.get(signs)
+            if marks is None:
+                marks = self._ids(signs)
+                if len(self.marks) < MARKS:
+                    self.marks[signs] = marks
+            self.known[c] = self.known[base] + marks
 
     def _begin(self, chunk: str) -> bytes:
         ids = self.first.get(chunk)
@@ -91,41 +111,49 @@ class TokenCache:
 
     def _group(self, texts: list[str]) -> list[bytes]:
         known, before = self.known, len(self.known)
-        split = [x.replace("\n", " \n").split(" ") for x in texts]
-        # first chunks are few, and mostly met elsewhere too
-        new = set().union(*split).difference(known)
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n"), " ")
+        bounds = split.offsets.to_numpy()
+        coded = split.values.dictionary_encode()
+        chunks, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
+        firsts = codes[bounds[:-1]].tolist()
+        found = list(map(known.get, chunks))
+        lacking = [i for i, x in enumerate(found) if x is None]
+        new = {chunks[i] for i in lacking}
         odd = {c for c in new if not regular(c)}
         marked = {c for c in new if "<|" in c or "|>" in c}
         odd |= {c for c in marked if any(s in c.lower() for s in self.special)}
         for c in marked - odd:                                 # near the mark that parts the others: each on its own
             known[c] = self._ids(c if c[0] == "\n" else " " + c)
         self._compose(list(new.difference(odd, marked)))
+        for i in lacking:
+            found[i] = known.get(chunks[i], b"")
+        # chunks by code, and one more without ids in the place of each first chunk
+        codes[bounds[:-1]] = len(chunks)
+        strange = np.array([c in odd for c in chunks] + [False]) if odd else np.zeros(len(chunks) + 1, bool)
+        whole = np.add.reduceat(strange[codes], bounds[:-1]) > 0
+        ids = pa.array(found + [b""], pa.large_binary()).take(pa.array(codes))
+        raw = memoryview(ids.buffers()[2])
+        cuts = np.frombuffer(ids.buffers()[1], np.int64)[bounds].tolist()
         out = []
-        get = known.__getitem__
-        for text, chunks in zip(texts, split):
-            first = chunks[0]
-            if len(chunks) == 1 or not regular(first) or first[0] == "\n" or first in odd:
-                out.append(self._ids(text))
-                continue
-            chunks[0] = BLANK
-            try:
-                ids = b"".join(map(get, chunks))
-            except KeyError:                                   # an odd chunk
+        for i, text in enumerate(texts):
+            first = chunks[firsts[i]]
+            if whole[i] or bounds[i + 1] - bounds[i] == 1 or first in odd or not regular(first) or first[0] == "\n":
                 out.append(self._ids(text))
             else:
-                out.append(self._begin(first) + ids)
+                out.append(self._begin(first) + raw[cuts[i]:cuts[i + 1]])
         if len(known) > self.limit:                            # keep those met first: the common ones
-            for c in list(known)[max(before, self.limit):]:
+            for c in list(islice(known, max(before, self.limit), None)):
                 del known[c]
         return out
 
-    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text, in order (null: of the empty text); texts are handled in groups of bounded size."""
+    def encode_all(self, texts: list[str | None], group_chars: int = GROUP_CHARS) -> Iterator[bytes]:
+        """The ids of each text, in order (null: of the empty text); texts are handled in groups of bounded size:
+        larger ones take more memory and less time."""
         group, size = [], 0
         for x in texts:
             group.append(x or "")
             size += len(group[-1])
-            if size >= GROUP_CHARS:
+            if size >= group_chars:
                 yield from self._group(group)
                 group, size = [], 0
         if group:
