@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dealflow.functions.identifiers import alert_key, chart_url
 from dealflow.functions.numeric import shown, truthy
 from dealflow.functions.text import _capped, truncate_sentence, verdict_guard
-from dealflow.functions.timefns import filing_context, iso_seconds, local_time_v2
+from dealflow.functions.timefns import filing_context, iso_seconds, local_time_v1, local_time_v2
 
 # Fixed values (reference): priority thresholds and embed colours.
 PRIORITY_BANDS = (("MEGA", 9), ("MAJOR", 7), ("STANDARD", 5))
@@ -252,3 +252,74 @@ def alert_payload(df: DataFrame, caps: dict[str, int] | None = None) -> DataFram
     e = alert_embed(df, caps)
     embed = F.struct("title", "description", "color", "fields", "url")
     return e.select("k", "priority", F.to_json(F.struct(F.array(embed).alias("embeds"))).alias("payload"))
+
+
+# Fixed values (reference): what the v1 payload shows of lists and texts at most; its chart address.
+V1_CAPS = {"key_points": 3, "risks": 3, "sympathy": 4, "text": 500}
+V1_CHART = "https://www.tradingview.com/chart/?symbol="
+
+
+def alert_embed_v1(df: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
+    """R6 + R7 (v1 layout) as columns: one market block, calculation and
+    rationale, lists, trading warnings, the footer with the local time, the
+    filing's ``url`` and a chart link as ``author``.  Null or empty parts and
+    numbers that are null or 0 are skipped; ``caps`` as in ``alert_embed``."""
+    caps = caps or {}
+    line = lambda name, value, shown_if: F.when(shown_if, F.concat(F.lit(name + ": "), value))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("N/A"))
+    listed = F.col("tgt_ticker").isNotNull() & F.col("tgt_error").isNull()
+    price, week = F.col("tgt_price"), F.col("tgt_week_change_pct")
+    desc = F.concat_ws(
+        "\n",
+        F.concat(F.coalesce("target_company", "company", F.lit("Unknown")), F.lit(" → "), F.coalesce("acquirer", F.lit("Unknown"))),
+        line("Deal value", F.col("deal_value"), truthy_str(F.col("deal_value"))),
+        line("Premium", F.concat(F.col("premium_pct").cast("string"), F.lit("%"),
+                                 _tail(listed & truthy(price), F.lit(" (from $"), price.cast("string"), F.lit(")"))),
+             truthy(F.col("premium_pct"))),
+        line("Offer price", F.concat(F.lit("$"), F.col("offer_price_per_share").cast("string"), F.lit("/share")),
+             truthy(F.col("offer_price_per_share"))),
+        line("Upside to offer", F.concat(F.col("upside_pct").cast("string"), F.lit("%")), F.col("upside_pct").isNotNull()),
+        F.concat(F.lit("Impact: "), F.coalesce(F.col("impact_score").cast("string"), F.lit("0")), F.lit("/10")),
+        F.concat(F.lit("Verdict: "), text("verdict")), F.concat(F.lit("Short term: "), text("short_term_move")),
+        F.concat(F.lit("Confidence: "), F.coalesce(F.col("confidence").cast("string"), F.lit("0")), F.lit("/10")),
+        line("Structure", F.col("deal_structure"), truthy_str(F.col("deal_structure"))))
+    market = F.concat_ws(
+        "\n",
+        line("Market cap", F.col("tgt_cap_formatted"), truthy_str(F.col("tgt_cap_formatted"))),
+        line("Price", F.concat(F.lit("$"), price.cast("string")), truthy(price)),
+        line("Volume spike", F.concat(shown(F.col("tgt_volume_spike"), 1), F.lit("x normal")), F.col("tgt_volume_spike") > 2),
+        line("Week", F.concat(shown(week, 2, plus=True), F.lit("%")), truthy(week)),
+        line("Institutions", F.concat(shown(F.col("tgt_institutional_pct") * 100, 1), F.lit("%")),
+             truthy(F.col("tgt_institutional_pct"))))
+    warnings = F.concat_ws(
+        "\n",
+        line("Leak detected", F.coalesce(F.col("leak_reasoning"), F.lit("Unusual price action")),
+             F.coalesce(F.col("leak_detected"), F.lit(False))),
+        line("Liquidity", F.col("liquidity_warning"), truthy_str(F.col("liquidity_warning"))))
+    fld = lambda name, value, shown_if: F.when(shown_if, F.struct(
+        F.lit(name).alias("name"), value.alias("value"), F.lit(False).alias("inline")))
+    some = lambda c: F.size(F.coalesce(F.col(c), F.array().cast("array<string>"))) > 0
+    fields = F.array_compact(F.array(
+        fld("Market data", market, listed & (market != "")),
+        *(fld(name, _capped(F.col(c), caps.get("text")), truthy_str(F.col(c)))
+          for name, c in (("Premium calculation", "premium_calculation"), ("Strategic rationale", "strategic_rationale"))),
+        fld("Key points", _bullets(F.col("key_points"), caps.get("key_points")), some("key_points")),
+        fld("Risks", _bullets(F.col("risks"), caps.get("risks")), some("risks")),
+        fld("Trading warnings", warnings, warnings != ""),
+        fld("Sympathy plays", _bullets(F.col("sympathy_plays"), caps.get("sympathy")), some("sympathy_plays"))))
+    color = F.create_map(*[x for kv in PRIORITY_COLOR.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    ticker = F.nullif(F.col("tgt_ticker"), F.lit(""))
+    return df.select(
+        "k", "priority", F.concat(F.col("priority"), F.lit(" M&A - Item 1.01")).alias("title"), desc.alias("description"),
+        color[F.col("priority")].alias("color"), fields.alias("fields"),
+        F.coalesce(local_time_v1(F.col("published_ts")), F.lit("")).alias("footer"),
+        F.nullif(F.col("link"), F.lit("")).alias("url"),
+        F.concat(F.lit("View "), ticker, F.lit(" Chart")).alias("author"), F.concat(F.lit(V1_CHART), ticker).alias("author_url"))
+
+
+def alert_payload_v1(df: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
+    """The v1 embed as one JSON document per alert."""
+    author = F.when(F.col("author").isNotNull(), F.struct(F.col("author").alias("name"), F.col("author_url").alias("url")))
+    embed = F.struct("title", "description", "color", "fields", F.struct(F.col("footer").alias("text")).alias("footer"), "url",
+                     author.alias("author"))
+    return alert_embed_v1(df, caps).select("k", "priority", F.to_json(F.struct(F.array(embed).alias("embeds"))).alias("payload"))

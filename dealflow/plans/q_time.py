@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dealflow.functions import timefns as tf
+from dealflow.functions.numeric import truthy
 from dealflow.operators import enrich, gates, route, score
 from dealflow.operators.lookup import lookup
 from dealflow.operators.bars import daily_bars
@@ -244,3 +245,74 @@ def alert_payload(spark, sf_dir):
     joined = lambda part, sep: F.array_join(F.transform("fields", lambda f: f[part]), sep)
     return e.select("k", "priority", "title", "description", "color", "url", joined("name", "|").alias("field_names"),
                     joined("value", " ## ").alias("field_values"))
+
+
+def _alert_v1_sql() -> str:
+    """Twin of ``route.alert_embed_v1`` under the reference's caps, over the columns of ``v1_frame``."""
+    tr = lambda c: f"({c} IS NOT NULL AND {c} <> 0)"
+    has = lambda c: f"({c} IS NOT NULL AND {c} <> '')"
+    bullets = lambda c, n: f"CASE WHEN len({c}) > 0 THEN array_to_string(list_transform({c}[1:{n}], lambda x: '• ' || x), chr(10)) END"  # noqa: E731,E501
+    listed = "(tgt_ticker IS NOT NULL AND tgt_error IS NULL)"
+    desc = f"""concat_ws(chr(10), coalesce(target_company, company, 'Unknown') || ' → ' || coalesce(acquirer, 'Unknown'),
+      CASE WHEN {has('deal_value')} THEN 'Deal value: ' || deal_value END,
+      CASE WHEN {tr('premium_pct')} THEN 'Premium: ' || CAST(premium_pct AS VARCHAR) || '%'
+           || (CASE WHEN {listed} AND {tr('tgt_price')} THEN ' (from $' || CAST(tgt_price AS VARCHAR) || ')' ELSE '' END) END,
+      CASE WHEN {tr('offer_price_per_share')} THEN 'Offer price: $' || CAST(offer_price_per_share AS VARCHAR) || '/share' END,
+      CASE WHEN upside_pct IS NOT NULL THEN 'Upside to offer: ' || CAST(upside_pct AS VARCHAR) || '%' END,
+      'Impact: ' || coalesce(CAST(impact_score AS VARCHAR), '0') || '/10', 'Verdict: ' || coalesce(verdict, 'N/A'),
+      'Short term: ' || coalesce(short_term_move, 'N/A'),
+      'Confidence: ' || coalesce(CAST(confidence AS VARCHAR), '0') || '/10',
+      CASE WHEN {has('deal_structure')} THEN 'Structure: ' || deal_structure END)"""
+    market = f"""concat_ws(chr(10), CASE WHEN {has('tgt_cap_formatted')} THEN 'Market cap: ' || tgt_cap_formatted END,
+      CASE WHEN {tr('tgt_price')} THEN 'Price: $' || CAST(tgt_price AS VARCHAR) END,
+      CASE WHEN tgt_volume_spike > 2 THEN printf('Volume spike: %.1fx normal', tgt_volume_spike) END,
+      CASE WHEN {tr('tgt_week_change_pct')} THEN printf('Week: %+.2f%%', tgt_week_change_pct) END,
+      CASE WHEN {tr('tgt_institutional_pct')} THEN printf('Institutions: %.1f%%', tgt_institutional_pct * 100) END)"""
+    warnings = f"""concat_ws(chr(10), CASE WHEN leak_detected THEN 'Leak detected: ' || coalesce(leak_reasoning, 'Unusual price action') END,
+      CASE WHEN {has('liquidity_warning')} THEN 'Liquidity: ' || liquidity_warning END)"""
+    n = route.V1_CAPS
+    fields = [
+        ("Market data", f"CASE WHEN {listed} THEN nullif({market}, '') END"),
+        ("Premium calculation", f"substr(nullif(premium_calculation, ''), 1, {n['text']})"),
+        ("Strategic rationale", f"substr(nullif(strategic_rationale, ''), 1, {n['text']})"),
+        ("Key points", bullets("key_points", n["key_points"])), ("Risks", bullets("risks", n["risks"])),
+        ("Trading warnings", f"nullif({warnings}, '')"), ("Sympathy plays", bullets("sympathy_plays", n["sympathy"]))]
+    names = ", ".join(f"CASE WHEN f{i} IS NOT NULL THEN '{x}' END" for i, (x, _) in enumerate(fields))
+    values = ", ".join(f"f{i}" for i in range(len(fields)))
+    colors = " ".join(f"WHEN '{p}' THEN {c}" for p, c in route.PRIORITY_COLOR.items())
+    return sql(SNAP_SQL, ROLES_SQL, f"""
+v0 AS (SELECT *, {oi.parse_published_sql('published_raw')} AS published_ts, {_priority_sql('impact_score')} AS priority,
+              CASE WHEN k % 3 <> 0 THEN title END AS company, CASE WHEN k % 4 <> 0 THEN 'hold for ' || CAST(k % 7 AS VARCHAR) || ' days' END
+                AS verdict,
+              CASE WHEN upside_pct > 5 THEN 'up' WHEN upside_pct < -5 THEN 'down' END AS short_term_move,
+              CASE WHEN {tr('tgt_price')} THEN CAST(offer_price_per_share AS VARCHAR) || ' against ' || CAST(tgt_price AS VARCHAR) END
+                AS premium_calculation, reasoning AS strategic_rationale, CASE WHEN k % 2 = 0 THEN alert_headline END AS leak_reasoning,
+              CASE WHEN tgt_volume_spike < 0.5 THEN 'thin volume' END AS liquidity_warning FROM roles2)""", f"""
+v1 AS (SELECT *, {', '.join(f'({v}) AS f{i}' for i, (_, v) in enumerate(fields))} FROM v0 WHERE priority IS NOT NULL)""", query=f"""
+SELECT k, priority, priority || ' M&A - Item 1.01' AS title, {desc} AS description, CASE priority {colors} END AS color,
+       concat_ws('|', {names}) AS field_names, concat_ws(' ## ', {values}) AS field_values,
+       coalesce({_local_v1_sql('published_ts')}, '') AS footer, nullif(link, '') AS url,
+       'View ' || nullif(tgt_ticker, '') || ' Chart' AS author, '{route.V1_CHART}' || nullif(tgt_ticker, '') AS author_url
+FROM v1""")
+
+
+def v1_frame(spark, sf_dir):
+    """Routed filings with the further answers that the v1 layout shows, derived from the given columns."""
+    k = F.col("k")
+    return gates.routed(routed_frame(spark, sf_dir)).select(
+        "*", F.when(k % 3 != 0, F.col("title")).alias("company"),
+        F.when(k % 4 != 0, F.concat(F.lit("hold for "), (k % 7).cast("string"), F.lit(" days"))).alias("verdict"),
+        F.when(F.col("upside_pct") > 5, F.lit("up")).when(F.col("upside_pct") < -5, F.lit("down")).alias("short_term_move"),
+        F.when(truthy(F.col("tgt_price")), F.concat(F.col("offer_price_per_share").cast("string"), F.lit(" against "),
+                                                   F.col("tgt_price").cast("string"))).alias("premium_calculation"),
+        F.col("reasoning").alias("strategic_rationale"), F.when(k % 2 == 0, F.col("alert_headline")).alias("leak_reasoning"),
+        F.when(F.col("tgt_volume_spike") < 0.5, F.lit("thin volume")).alias("liquidity_warning"))
+
+
+@register("alert_payload_v1", _alert_v1_sql)
+def alert_payload_v1(spark, sf_dir):
+    """R6, R7, S11 (v1 layout, the reference's caps): no filing document is read for it."""
+    e = route.alert_embed_v1(v1_frame(spark, sf_dir), route.V1_CAPS)
+    joined = lambda part, sep: F.array_join(F.transform("fields", lambda f: f[part]), sep)
+    return e.select("k", "priority", "title", "description", "color", joined("name", "|").alias("field_names"),
+                    joined("value", " ## ").alias("field_values"), "footer", "url", "author", "author_url")

@@ -82,3 +82,40 @@ def test_alert_payload_json(spark, sf_small):
     for row in route.alert_payload(r, route.V2_CAPS).limit(5).collect():
         embed = json.loads(row.payload)["embeds"][0]
         assert embed["title"].startswith(row.priority) and {f["name"] for f in embed["fields"]} >= {"Form"}
+
+
+V1_ROW = ("k bigint, priority string, published_ts timestamp_ntz, company string, target_company string, acquirer string, "
+          "deal_value string, premium_pct double, offer_price_per_share double, upside_pct double, impact_score double, "
+          "verdict string, short_term_move string, confidence double, deal_structure string, tgt_ticker string, tgt_error string, "
+          "tgt_price double, tgt_cap_formatted string, tgt_volume_spike double, tgt_week_change_pct double, "
+          "tgt_institutional_pct double, premium_calculation string, strategic_rationale string, key_points array<string>, "
+          "risks array<string>, leak_detected boolean, leak_reasoning string, liquidity_warning string, "
+          "sympathy_plays array<string>, link string")
+
+
+def test_alert_payload_v1_layout(spark):
+    import datetime as dt
+    import json
+    from dealflow.operators import route
+    full = (1, "MEGA", dt.datetime(2024, 3, 26, 10), "Filer", "Target", "Buyer", "$5M", 22.25, 12.5, 8.1, 9.0, "Buy", "up", 8.0,
+            "all-cash", "TGT", None, 10.0, "$2.00B", 2.25, -3.125, 0.5, "x" * 600, "", list("abcde"), list("abcde"), True, None,
+            "thin", list("abcde"), "http://f")
+    bare = (2, "STANDARD", None) + (None,) * 28
+    unlisted = (3, "MAJOR", None, "Filer", None, None, "", 0.0, 0.0, None, None, None, None, None, "", "TGT", "no data", 10.0,
+                "$2.00B", 3.0, 1.0, 0.5, None, None, [], [], False, "x", "", [], "")
+    rows = spark.createDataFrame([full, bare, unlisted], V1_ROW)
+    a, b, c = [json.loads(r.payload)["embeds"][0] for r in route.alert_payload_v1(rows, route.V1_CAPS).orderBy("k").collect()]
+    assert a["title"] == "MEGA M&A - Item 1.01" and a["color"] == 15158332 and a["url"] == "http://f"
+    assert a["description"].split("\n")[:4] == ["Target → Buyer", "Deal value: $5M", "Premium: 22.25% (from $10.0)",
+                                               "Offer price: $12.5/share"]
+    fields = {f["name"]: f["value"] for f in a["fields"]}
+    assert fields == {
+        "Market data": "Market cap: $2.00B\nPrice: $10.0\nVolume spike: 2.2x normal\nWeek: -3.12%\nInstitutions: 50.0%",
+        "Premium calculation": "x" * 500, "Key points": "• a\n• b\n• c", "Risks": "• a\n• b\n• c",
+        "Trading warnings": "Leak detected: Unusual price action\nLiquidity: thin", "Sympathy plays": "• a\n• b\n• c\n• d"}
+    assert a["footer"]["text"] == "2024-03-26 o 12:00:00 CEST" and a["author"]["url"].endswith("?symbol=TGT")
+    assert b["description"].startswith("Unknown → Unknown\nImpact: 0/10\nVerdict: N/A") and b["fields"] == []
+    assert "url" not in b and "author" not in b and b["footer"]["text"] == ""
+    assert c["fields"] == [] and "Premium" not in c["description"] and "url" not in c
+    whole = json.loads(route.alert_payload_v1(rows).where("k = 1").head().payload)["embeds"][0]["fields"]
+    assert {f["name"]: len(f["value"]) for f in whole}["Premium calculation"] == 600
