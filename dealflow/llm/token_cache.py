@@ -57,6 +57,8 @@ class TokenCache:
         self.marks: dict[str, bytes] = {}                      # signs after a word
         self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.opens[[i for t, i in self.tokenizer.get_vocab().items() if t[0] in OPENS]] = True
+        # a vocabulary that keeps white space begins each chunk, and nothing else, with a space or line feed
+        self.keeps_space = self.opens[self._flat(" a\nb")].sum() == 2
         self.limit = limit
 
     def _ids(self, text: str) -> bytes:
@@ -66,11 +68,12 @@ class TokenCache:
         for a in range(0, len(chunks), LEARNED):
             some = chunks[a:a + LEARNED]
             parts = [c if c[0] == "\n" else " " + c for c in some]
-            # a vocabulary that keeps white space begins each chunk, and nothing else, with a space or line feed
-            ids = self._flat("".join(parts))
-            begin = np.nonzero(self.opens[ids])[0]
-            end = np.append(begin[1:], len(ids))
-            if len(begin) != len(some) or begin[0] != 0:
+            begin = None
+            if self.keeps_space:
+                ids = self._flat("".join(parts))
+                begin = np.nonzero(self.opens[ids])[0]
+                end = np.append(begin[1:], len(ids))
+            if begin is None or len(begin) != len(some) or begin[0] != 0:
                 ids = self._flat(END.join(parts))
                 end = np.append(np.nonzero(ids == self.end)[0], len(ids))
                 begin = np.append(0, end[:-1] + 1)
